@@ -19,8 +19,15 @@ _NON_WS = r"[^\s\x1c-\x1f]"
 
 
 def strip_text(text: Column) -> Column:
-    """Text without leading and trailing white space; NULL stays NULL."""
-    return F.trim(text, F.lit(WHITESPACE))
+    """Text without leading and trailing white space; NULL stays NULL.
+
+    Trimming a set of characters looks up both ends in the whole set. Nearly
+    all texts begin and end with a printable ASCII character, which two
+    comparisons find out; they are left as they are.
+    """
+    last = F.right(text, F.lit(1))
+    clean = (text >= "!") & (text < "\x7f") & (last >= "!") & (last < "\x7f")
+    return F.when(clean, text).otherwise(F.trim(text, F.lit(WHITESPACE)))
 
 
 def match_key(name: Column) -> Column:
@@ -28,7 +35,10 @@ def match_key(name: Column) -> Column:
 
     A missing name has the empty key, so the result is never NULL.
     """
-    return F.coalesce(F.translate(strip_text(F.lower(name)), ",. ", ""), F.lit(""))
+    key = strip_text(F.lower(name))
+    for mark in (",", ".", " "):
+        key = F.replace(key, F.lit(mark), F.lit(""))
+    return F.coalesce(key, F.lit(""))
 
 
 def item_key(item: Column) -> Column:

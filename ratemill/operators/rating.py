@@ -27,7 +27,7 @@ from ..functions.keys import match_key, strip_text
 DIMENSIONS = ("customer", "county", "type")
 DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
 
-_LEVEL_TYPE = "struct<score:int,priority:bigint,price_level:string,rule_id:bigint>"
+_RULE_TYPE = "struct<rule_id:bigint,price_level_name:string>"
 
 
 @dataclass(frozen=True)
@@ -64,10 +64,6 @@ class RuleShape:
     n_rules: int
     n_bytes: int
 
-    @property
-    def name(self) -> str:
-        return "_hit_" + ("_".join(self.fixed) or "none")
-
 
 def _key(dimension: str) -> str:
     return f"_{dimension}_key"
@@ -119,7 +115,7 @@ def rule_shapes(rules: DataFrame, mode: MatchMode) -> list[RuleShape]:
         .agg(F.count("*").alias("n_rules"), F.sum(row_bytes).alias("n_bytes"))
         .collect()
     )
-    return [
+    shapes = [
         RuleShape(
             tuple(d for d in DIMENSIONS if d in row["_shape"].split("_")),
             keyed.filter(F.col("_shape") == row["_shape"]),
@@ -128,20 +124,22 @@ def rule_shapes(rules: DataFrame, mode: MatchMode) -> list[RuleShape]:
         )
         for row in measured
     ]
+    return sorted(shapes, key=lambda s: (-len(s.fixed), s.fixed))
 
 
 def _join_shape(lines: DataFrame, shape: RuleShape, how: str | None) -> DataFrame:
-    hit = F.col("_rule").alias(shape.name)
+    """Add the shape's matching rule as ``_hit``, NULL where none matches."""
+    hit = F.col("_rule").alias("_hit")
     if not shape.fixed:
         # Every dimension is a wildcard: one key, hence one rule, for all lines.
-        return lines.withColumn(shape.name, shape.rules.select(hit).scalar())
+        return lines.withColumn("_hit", shape.rules.select(hit).scalar())
     keys = [_key(d) for d in shape.fixed]
     side = shape.rules.select(*keys, hit)
     return lines.join(side.hint(how) if how else side, keys, "left")
 
 
-def _candidate(shape: RuleShape, mode: MatchMode) -> Column:
-    """The shape's hit with its score, NULL where no rule of the shape matches.
+def _score(shape: RuleShape, mode: MatchMode) -> Column:
+    """The score of the shape's rule for a line it matches.
 
     A line may itself hold the wildcard's text. That is an equality, so it
     counts 2 against a wildcard too.
@@ -151,46 +149,50 @@ def _candidate(shape: RuleShape, mode: MatchMode) -> Column:
         if d not in shape.fixed:
             equal = F.col(_key(d)) == mode.wildcard(d)
             score = score + F.when(equal, 2).otherwise(1)
-    rule = F.col(shape.name)
-    return F.when(
-        rule.isNotNull(),
-        F.struct(
-            score.alias("score"),
-            (-rule["rule_id"]).alias("priority"),
-            rule["price_level_name"].alias("price_level"),
-            rule["rule_id"].alias("rule_id"),
-        ).cast(_LEVEL_TYPE),
-    )
+    return score
 
 
-def _join_shapes(
-    lines: DataFrame,
+def _best_rule(
+    keyed_lines: DataFrame,
     shapes: list[RuleShape],
     mode: MatchMode,
-    hints: dict[str, str | None],
+    hints: dict[tuple[str, ...], str | None],
 ) -> DataFrame:
-    matched = _with_keys(lines, {d: d for d in DIMENSIONS}, mode)
-    for shape in shapes:
-        matched = _join_shape(matched, shape, hints[shape.name])
-    return matched
-
+    """Add ``_best``, the rule with the highest score, or NULL.
 
-def _best(shapes: list[RuleShape], mode: MatchMode) -> Column:
-    candidates = [_candidate(shape, mode) for shape in shapes]
-    if not candidates:
-        return F.lit(None).cast(_LEVEL_TYPE)
-    return F.greatest(*candidates) if len(candidates) > 1 else candidates[0]
+    The best so far is kept from join to join. Comparing all hits at the end
+    would make one expression too large for the JVM to compile.
+    """
+    best = keyed_lines.withColumns(
+        {"_best": F.lit(None).cast(_RULE_TYPE), "_best_score": F.lit(-1)}
+    )
+    for shape in shapes:
+        best = _join_shape(best, shape, hints[shape.fixed]).withColumn(
+            "_score", F.when(F.col("_hit").isNotNull(), _score(shape, mode)).otherwise(-2)
+        )
+        better = (F.col("_score") > F.col("_best_score")) | (
+            (F.col("_score") == F.col("_best_score"))
+            & (F.col("_hit.rule_id") < F.col("_best.rule_id"))
+        )
+        best = best.withColumns(
+            {
+                "_best": F.when(better, F.col("_hit")).otherwise(F.col("_best")),
+                "_best_score": F.greatest("_score", "_best_score"),
+            }
+        ).drop("_hit", "_score")
+    return best
 
 
 def _hints(
     shapes: list[RuleShape], strategy: str, broadcast_bytes: int
-) -> dict[str, str | None]:
+) -> dict[tuple[str, ...], str | None]:
+    """Broadcast the smallest shapes as long as all of them fit the limit."""
     if strategy == "shuffle":
-        return {shape.name: "merge" for shape in shapes}
+        return {shape.fixed: "merge" for shape in shapes}
     left, hints = broadcast_bytes, {}
     for shape in sorted(shapes, key=lambda s: s.n_bytes):
         fits = shape.n_bytes <= left
-        hints[shape.name] = "broadcast" if fits else None
+        hints[shape.fixed] = "broadcast" if fits else None
         left -= shape.n_bytes if fits else 0
     return hints
 
@@ -199,7 +201,7 @@ class Rater:
     """Rules, split and measured once, ready to rate lines.
 
     ``in_place`` tells whether every shape is small enough to be broadcast. If
-    so lines are rated where they are read, without any shuffle. Otherwise the
+    so lines are rated where they are, without any shuffle. Otherwise the
     distinct (customer, county, type) triples are rated and joined back.
     """
 
@@ -215,15 +217,10 @@ class Rater:
         self.mode = mode
         self.shapes = rule_shapes(rules, mode)
         self._hint = _hints(self.shapes, strategy, broadcast_bytes)
-        self.in_place = all(
-            self._hint[s.name] == "broadcast" for s in self.shapes if s.fixed
-        )
+        self.in_place = all(self._hint[s.fixed] == "broadcast" for s in self.shapes if s.fixed)
 
     def rate(
-        self,
-        lines: DataFrame,
-        default_level: str,
-        triples_from: DataFrame | None = None,
+        self, lines: DataFrame, default_level: str, triples_from: DataFrame | None = None
     ) -> DataFrame:
         """``lines`` with their ``price_level``.
 
@@ -231,30 +228,19 @@ class Rater:
         ``lines`` is the result of an aggregation.
         """
         if self.in_place:
-            best = self._match(lines, F.col("_best.price_level"))
-            return best.withColumn(
-                "price_level", F.coalesce("price_level", F.lit(default_level))
-            )
-        triples = (lines if triples_from is None else triples_from).select(
-            *(F.col(d).alias(f"_t_{d}") for d in DIMENSIONS)
-        )
-        distinct = triples.distinct().withColumns(
-            {d: F.col(f"_t_{d}") for d in DIMENSIONS}
-        )
-        rated = self._match(distinct, F.col("_best.price_level")).select(
-            *(f"_t_{d}" for d in DIMENSIONS),
-            F.coalesce("price_level", F.lit(default_level)).alias("price_level"),
+            return self._match(lines, default_level)
+        source = lines if triples_from is None else triples_from
+        rated = self._match(source.select(*DIMENSIONS).distinct(), default_level).select(
+            *(F.col(d).alias(f"_rated_{d}") for d in DIMENSIONS), "price_level"
         )
-        same = [lines[d].eqNullSafe(rated[f"_t_{d}"]) for d in DIMENSIONS]
-        return lines.join(rated, same, "left").drop(*(f"_t_{d}" for d in DIMENSIONS))
+        same = [lines[d].eqNullSafe(rated[f"_rated_{d}"]) for d in DIMENSIONS]
+        return lines.join(rated, same, "left").select(lines["*"], rated["price_level"])
 
-    def _match(self, lines: DataFrame, level: Column) -> DataFrame:
-        matched = _join_shapes(lines, self.shapes, self.mode, self._hint)
-        return (
-            matched.withColumn("_best", _best(self.shapes, self.mode))
-            .withColumn("price_level", level)
-            .select(*lines.columns, "price_level")
-        )
+    def _match(self, lines: DataFrame, default_level: str) -> DataFrame:
+        keyed = _with_keys(lines, {d: d for d in DIMENSIONS}, self.mode)
+        best = _best_rule(keyed, self.shapes, self.mode, self._hint)
+        level = F.coalesce("_best.price_level_name", F.lit(default_level))
+        return best.select(*lines.columns, level.alias("price_level"))
 
     def candidates(self, lines: DataFrame) -> DataFrame:
         """Every distinct triple of ``lines`` with each matching rule and its score.
@@ -262,13 +248,24 @@ class Rater:
         Of rules with equal keys only the first is listed, so a triple has at
         most eight rows, one per shape.
         """
-        triples = lines.select(*DIMENSIONS).distinct()
-        matched = _join_shapes(triples, self.shapes, self.mode, self._hint)
-        hits = F.array(*(_candidate(s, self.mode) for s in self.shapes))
+        columns = {d: d for d in DIMENSIONS}
+        keyed = _with_keys(lines.select(*DIMENSIONS).distinct(), columns, self.mode)
+        hits = []
+        for i, shape in enumerate(self.shapes):
+            keyed = _join_shape(keyed, shape, self._hint[shape.fixed]).withColumnRenamed(
+                "_hit", f"_hit_{i}"
+            )
+            rule = F.col(f"_hit_{i}")
+            scored = F.struct(
+                rule["rule_id"].alias("rule_id"),
+                rule["price_level_name"].alias("price_level"),
+                _score(shape, self.mode).alias("score"),
+            )
+            hits.append(F.when(rule.isNotNull(), scored))
         return (
-            matched.select(*DIMENSIONS, F.explode(hits).alias("_hit"))
-            .filter("_hit IS NOT NULL")
-            .select(*DIMENSIONS, "_hit.rule_id", "_hit.price_level", "_hit.score")
+            keyed.select(*DIMENSIONS, F.explode(F.array(*hits)).alias("_candidate"))
+            .filter("_candidate IS NOT NULL")
+            .select(*DIMENSIONS, "_candidate.*")
         )
 
 

@@ -14,11 +14,7 @@ def drop_null_keys(lines: DataFrame) -> DataFrame:
 
 
 def combine_lines(lines: DataFrame) -> DataFrame:
-    """Add up the units of lines that no later step can tell apart.
-
-    Done before a rating that has to shuffle, so that what is shuffled are
-    distinct lines and a hot customer weighs no more than its distinct lines.
-    """
+    """Add up the units of lines that no later step can tell apart."""
     return lines.groupBy("customer", "item", "county", "type", "ca_line").agg(
         F.sum("units").alias("units")
     )

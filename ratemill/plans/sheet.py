@@ -88,23 +88,14 @@ def rated_quantities(
 ) -> DataFrame:
     """Customer, item, price level, flag and quantity.
 
-    With rules small enough to broadcast, lines are rated as they are read and
-    the rollup is the only shuffle. Otherwise lines that cannot be told apart
-    are added up first, and what remains is rated.
+    Lines that no later step can tell apart are added up first, and what
+    remains is rated: a distinct line is rated once however often it occurs,
+    and a hot customer weighs no more than its distinct lines.
     """
     rater = Rater(rules, mode, options.strategy, options.broadcast_bytes)
-    read = drop_null_keys(billing)
-    lines = read.select(
-        "customer",
-        "item",
-        "county",
-        "type",
-        state_flag(F.col("state"), options.flagged_state).alias("ca_line"),
-        "units",
-    )
-    if not rater.in_place:
-        lines = combine_lines(lines)
-    rated = rater.rate(lines, default_level, triples_from=read)
+    flag = state_flag(F.col("state"), options.flagged_state)
+    billed = drop_null_keys(billing).withColumn("ca_line", flag)
+    rated = rater.rate(combine_lines(billed), default_level, triples_from=billed)
     if from_template:
         rated = rated.withColumn(
             "price_level", fill_level_template(F.col("price_level"), F.col("customer"))

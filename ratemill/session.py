@@ -14,6 +14,9 @@ def build_session(app_name: str = "ratemill", **settings: str) -> SparkSession:
     for key, value in {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # HotSpot does not compile methods above 8000 bytes; without generated
+        # code they are at least compiled operator by operator.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         **settings,

@@ -25,14 +25,11 @@ VIEWS = {
         JOIN {{nation}} ON c_nationkey = n_nationkey
         JOIN {{region}} ON n_regionkey = r_regionkey
     """,
-    # The oddities: lines with the highest tax, one kind per discount step, and
-    # untaxed lines for the type column.
+    # Odd customers and items are among the lines with the highest tax, odd
+    # counties, types, units and states among the untaxed ones.
     "line": f"""
-        SELECT {_NAME} AS name, c_custkey, l_orderkey, l_linenumber, l_partkey,
-               o_orderpriority, n_name, r_name, l_returnflag, l_quantity, l_shipdate,
-               CASE WHEN round(l_tax * 100) = 8 THEN CAST(round(l_discount * 100) AS INT)
-                    WHEN round(l_tax * 100) = 0 THEN 100 + CAST(round(l_discount * 100) AS INT)
-                    ELSE -1 END AS oddity
+        SELECT {_NAME} AS name, CAST(l_partkey AS STRING) AS part, o_orderpriority, n_name,
+               r_name, l_returnflag, l_quantity, l_discount, l_tax, l_shipdate
         FROM {{lineitem}}
         JOIN {{orders}} ON l_orderkey = o_orderkey
         JOIN {{customer}} ON o_custkey = c_custkey
@@ -41,52 +38,54 @@ VIEWS = {
         JOIN {{region}} ON n_regionkey = r_regionkey
     """,
     "billing": """
-        SELECT CASE oddity WHEN 0 THEN NULL
-                           WHEN 6 THEN ' ' || upper(name) || '.'
-                           WHEN 7 THEN 'Default'
-                           WHEN 8 THEN 'DEFAULT'
-                           ELSE name END AS customer,
-               CASE oddity WHEN 1 THEN NULL
-                           WHEN 9 THEN CAST(l_partkey AS STRING) || '.0'
-                           WHEN 10 THEN 'setup fee'
-                           ELSE CAST(l_partkey AS STRING) END AS item,
+        SELECT CASE WHEN l_tax < 0.08 THEN name
+                    WHEN l_discount = 0.0 THEN NULL
+                    WHEN l_discount = 0.01 THEN ' ' || upper(name) || '.'
+                    WHEN l_discount = 0.02 THEN 'Default'
+                    WHEN l_discount = 0.03 THEN 'DEFAULT'
+                    ELSE name END AS customer,
+               CASE WHEN l_tax < 0.08 THEN part
+                    WHEN l_discount = 0.04 THEN NULL
+                    WHEN l_discount = 0.05 THEN part || '.0'
+                    WHEN l_discount = 0.06 THEN 'setup fee'
+                    ELSE part END AS item,
                o_orderpriority AS location,
-               CASE oddity WHEN 104 THEN NULL ELSE n_name END AS state,
-               CASE oddity WHEN 2 THEN NULL
-                           WHEN 3 THEN 'ANY'
-                           WHEN 4 THEN ' ' || r_name || ' '
-                           ELSE r_name END AS county,
-               CASE oddity WHEN 100 THEN NULL
-                           WHEN 101 THEN 'ANY'
-                           WHEN 102 THEN ' ' || l_returnflag
-                           ELSE l_returnflag END AS type,
-               CASE oddity WHEN 5 THEN NULL ELSE l_quantity END AS units,
+               CASE WHEN l_tax = 0.0 AND l_discount = 0.07 THEN NULL ELSE n_name END AS state,
+               CASE WHEN l_tax > 0.0 THEN r_name
+                    WHEN l_discount = 0.0 THEN NULL
+                    WHEN l_discount = 0.01 THEN 'ANY'
+                    WHEN l_discount = 0.02 THEN ' ' || r_name || ' '
+                    ELSE r_name END AS county,
+               CASE WHEN l_tax > 0.0 THEN l_returnflag
+                    WHEN l_discount = 0.03 THEN NULL
+                    WHEN l_discount = 0.04 THEN 'ANY'
+                    WHEN l_discount = 0.05 THEN ' ' || l_returnflag
+                    ELSE l_returnflag END AS type,
+               CASE WHEN l_tax = 0.0 AND l_discount = 0.06 THEN NULL
+                    ELSE l_quantity END AS units,
                CAST(l_shipdate AS DATE) AS billing_date
         FROM {line}
     """,
     # All eight shapes of a rule, ties between shapes, and late copies that never win.
     "rules": """
-        SELECT c_custkey * 10 + 1000 AS rule_id, name AS customer_name, 'ANY' AS county,
-               'ANY' AS type, 'FLAT-' || CAST(c_custkey AS STRING) AS price_level_name
-        FROM {client} WHERE segment = 'BUILDING'
-        UNION ALL
-        SELECT c_custkey * 10 + 1001, lower(name), 'ANY', 'ANY', 'LATE'
-        FROM {client} WHERE segment = 'BUILDING'
-        UNION ALL
-        SELECT c_custkey * 10 + 1002, upper(name), r_name, 'A', 'TYPEA'
-        FROM {client} WHERE segment = 'MACHINERY'
-        UNION ALL
-        SELECT c_custkey * 10 + 1003, name, r_name, 'N', 'TYPEN '
-        FROM {client} WHERE segment = 'MACHINERY'
-        UNION ALL
-        SELECT c_custkey * 10 + 1004, name, ' ' || r_name, 'ANY', 'COUNTY-' || r_name
-        FROM {client} WHERE segment IN ('FURNITURE', 'AUTOMOBILE')
-        UNION ALL
-        SELECT c_custkey * 10 + 1005, name, 'ANY', 'R', 'RETURN'
-        FROM {client} WHERE segment IN ('FURNITURE', 'AUTOMOBILE')
-        UNION ALL
-        SELECT c_custkey * 10 + 1006, name, 'ANY', 'ANY', '{{Customer}} / {{Customer}} list'
-        FROM {client} WHERE segment = 'HOUSEHOLD'
+        SELECT c_custkey * 10 + 1000 + kind AS rule_id,
+               CASE kind WHEN 1 THEN lower(name) WHEN 2 THEN upper(name)
+                         ELSE name END AS customer_name,
+               CASE WHEN kind IN (2, 3) THEN r_name WHEN kind = 4 THEN ' ' || r_name
+                    ELSE 'ANY' END AS county,
+               CASE kind WHEN 2 THEN 'A' WHEN 3 THEN 'N' WHEN 5 THEN 'R'
+                         ELSE 'ANY' END AS type,
+               CASE kind WHEN 0 THEN 'FLAT-' || CAST(c_custkey AS STRING)
+                         WHEN 1 THEN 'LATE'
+                         WHEN 2 THEN 'TYPEA'
+                         WHEN 3 THEN 'TYPEN '
+                         WHEN 4 THEN 'COUNTY-' || r_name
+                         WHEN 5 THEN 'RETURN'
+                         ELSE '{{Customer}} / {{Customer}} list' END AS price_level_name
+        FROM {client}
+        JOIN (VALUES ('BUILDING', 0), ('BUILDING', 1), ('MACHINERY', 2), ('MACHINERY', 3),
+                     ('FURNITURE', 4), ('FURNITURE', 5), ('AUTOMOBILE', 4), ('AUTOMOBILE', 5),
+                     ('HOUSEHOLD', 6)) AS kinds(of_segment, kind) ON segment = of_segment
         UNION ALL
         SELECT CAST(r_regionkey AS BIGINT) + 1, 'DEFAULT', r_name, 'A', r_name || '-A'
         FROM {region}
