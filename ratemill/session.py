@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "ratemill", **settings: str) -> SparkSession:
@@ -25,14 +25,29 @@ def build_session(app_name: str = "ratemill", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A fresh directory name in the folder the cluster shares (``spark.checkpoint.dir``).
+def _shared_base(spark: SparkSession) -> str:
+    """The folder the cluster shares between executors (``spark.checkpoint.dir``).
 
-    Only a local session may go without the setting and use a temporary folder.
+    Only a local session may go without the setting; it gets a temporary
+    folder once.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="ratemill-")
-    return f"{base.rstrip('/')}/ratemill-{uuid.uuid4().hex}"
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(base)
+    return base
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """A fresh directory name in the shared folder."""
+    return f"{_shared_base(spark).rstrip('/')}/ratemill-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows as they are now, saved in the shared folder."""
+    _shared_base(df.sparkSession)
+    return df.checkpoint()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import BILLING, BILLING_HEADER, CLIENTS_HEADER, RULES_HEADER
+from ..session import checkpointed
 
 # Texts that stand for a missing value in the files to be read
 # (the documented defaults of the common CSV reader in Python).
@@ -64,9 +65,8 @@ def read_billing_text(spark: SparkSession, path: str, multi_line: bool = False)
 
 def typed_billing(text: DataFrame) -> DataFrame:
     """Billing lines in the layout of ``schemas.BILLING``; rejected lines left out."""
-    return (
-        text.filter(~_is_rejected())
-        .select(*(F.col(f.name).cast(f.dataType) for f in BILLING))
+    return text.filter(~_is_rejected()).select(
+        *(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in BILLING)
     )
 
 
@@ -98,6 +98,11 @@ def read_billing(spark: SparkSession, path: str, multi_line: bool = False) -> Da
     return typed_billing(read_billing_text(spark, path, multi_line))
 
 
+def read_billing_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """Billing lines from parquet under the column names of ``schemas.BILLING``."""
+    return spark.read.schema(BILLING).parquet(path)
+
+
 def read_rules(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Rules from CSV; ``rule_id`` is the position in the file, from 1."""
     text = _read_text(spark, path, RULES_HEADER, multi_line)
@@ -110,14 +115,26 @@ def read_clients(spark: SparkSession, path: str, multi_line: bool = False) -> Da
     return number_in_file_order(text, "seq").select("seq", *CLIENTS_HEADER.values())
 
 
+def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows for a reference table from CSV under the table's column names, with ``seq``."""
+    fields = [f for f in schema if f.name not in ("seq", "rule_id")]
+    text = _read_text(spark, path, {f.name: f.name for f in fields}, False)
+    return number_in_file_order(text, "seq").select(
+        "seq", *(F.col(f.name).cast(f.dataType).alias(f.name) for f in fields)
+    )
+
+
 def number_in_file_order(rows: DataFrame, as_name: str) -> DataFrame:
     """Number rows 1, 2, … by file name and position, without sorting them.
 
     Every task numbers the rows of its file splits; the rows before each split
     are counted from one summary row per split. Only that summary, whose
     length is the number of splits, goes through a window.
+
+    Splits depend on the cores at hand, which may change between two reads,
+    so the rows are saved with their split before they are counted.
     """
-    numbered = rows.withColumn("_id", F.monotonically_increasing_id())
+    numbered = checkpointed(rows.withColumn("_id", F.monotonically_increasing_id()))
     splits = numbered.groupBy("_file", "_start").agg(
         F.count("*").alias("_rows"), F.min("_id").alias("_first")
     )
