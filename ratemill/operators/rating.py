@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import match_key, strip_text
+from ..session import shared_dir
 
 DIMENSIONS = ("customer", "county", "type")
 DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
@@ -64,6 +65,10 @@ class RuleShape:
     n_rules: int
     n_bytes: int
 
+    @property
+    def hit(self) -> str:
+        return "_hit_" + ("_".join(self.fixed) or "none")
+
 
 def _key(dimension: str) -> str:
     return f"_{dimension}_key"
@@ -76,49 +81,47 @@ def _with_keys(df: DataFrame, columns: dict[str, str], mode: MatchMode) -> DataF
 
 
 def first_rule_per_key(rules: DataFrame, mode: MatchMode) -> DataFrame:
-    """Rules with equal keys tie on every line; only the first can ever win.
+    """Rules under their keys and ``shape``.
 
-    ``_shape`` is the name of the rule's shape. It is taken through the
-    aggregation, though the keys determine it, so that a later filter on it
-    stays above the shuffle: the shapes then share one shuffle of the rules
-    instead of reading them once each.
+    Rules with equal keys tie on every line and only the first can ever win,
+    so there is one per key.
     """
     columns = {"customer": "customer_name", "county": "county", "type": "type"}
-    fixed = F.concat_ws(
-        "_",
-        *(F.when(F.col(_key(d)) != mode.wildcard(d), d) for d in DIMENSIONS),
-    )
     keyed = _with_keys(rules, columns, mode).dropna(subset=[_key(d) for d in DIMENSIONS])
-    return (
-        keyed.withColumn("_fixed", fixed)
-        .groupBy(*map(_key, DIMENSIONS))
-        .agg(
-            F.min(F.struct("rule_id", "price_level_name")).alias("_rule"),
-            F.max("_fixed").alias("_shape"),
-        )
+    first = keyed.groupBy(*map(_key, DIMENSIONS)).agg(
+        F.min(F.struct("rule_id", "price_level_name")).alias("_rule")
     )
+    fixed = (F.when(F.col(_key(d)) != mode.wildcard(d), d) for d in DIMENSIONS)
+    shape = F.coalesce(F.nullif(F.concat_ws("_", *fixed), F.lit("")), F.lit("none"))
+    return first.withColumn("shape", shape)
 
 
 def rule_shapes(rules: DataFrame, mode: MatchMode) -> list[RuleShape]:
     """Split the rules by shape and measure each one; shapes without rules are left out.
 
-    Runs one job over the rules. What comes back to the driver is one count
-    and size per shape, eight rows at most.
+    The split rules are written to the shared folder, one partition per shape,
+    so that up to eight joins read their own rules only and none of them
+    repeats the work behind ``rules``. What comes back to the driver is one
+    count and size per shape, eight rows at most.
     """
+    spark = rules.sparkSession
     keyed = first_rule_per_key(rules, mode)
+    path = shared_dir(spark)
+    keyed.write.partitionBy("shape").parquet(path)
+    split = spark.read.schema(keyed.schema).parquet(path)
     texts = [*(F.col(_key(d)) for d in DIMENSIONS), F.col("_rule.price_level_name")]
     row_bytes = F.lit(16)
     for text in texts:
         row_bytes = row_bytes + F.coalesce(F.octet_length(text), F.lit(0))
     measured = (
-        keyed.groupBy("_shape")
+        split.groupBy("shape")
         .agg(F.count("*").alias("n_rules"), F.sum(row_bytes).alias("n_bytes"))
         .collect()
     )
     shapes = [
         RuleShape(
-            tuple(d for d in DIMENSIONS if d in row["_shape"].split("_")),
-            keyed.filter(F.col("_shape") == row["_shape"]),
+            tuple(d for d in DIMENSIONS if d in row["shape"].split("_")),
+            split.filter(F.col("shape") == row["shape"]),
             row["n_rules"],
             row["n_bytes"],
         )
@@ -127,22 +130,48 @@ def rule_shapes(rules: DataFrame, mode: MatchMode) -> list[RuleShape]:
     return sorted(shapes, key=lambda s: (-len(s.fixed), s.fixed))
 
 
-def _join_shape(lines: DataFrame, shape: RuleShape, how: str | None) -> DataFrame:
-    """Add the shape's matching rule as ``_hit``, NULL where none matches."""
-    hit = F.col("_rule").alias("_hit")
-    if not shape.fixed:
-        # Every dimension is a wildcard: one key, hence one rule, for all lines.
-        return lines.withColumn("_hit", shape.rules.select(hit).scalar())
-    keys = [_key(d) for d in shape.fixed]
-    side = shape.rules.select(*keys, hit)
-    return lines.join(side.hint(how) if how else side, keys, "left")
+def _join_shapes(
+    keyed_lines: DataFrame,
+    shapes: list[RuleShape],
+    hints: dict[tuple[str, ...], str | None],
+) -> DataFrame:
+    """Add each shape's matching rule as a column, NULL where none matches."""
+    matched = keyed_lines
+    for shape in shapes:
+        hit = F.col("_rule").alias(shape.hit)
+        if not shape.fixed:
+            # Every dimension is a wildcard: one key, hence one rule, for all lines.
+            matched = matched.withColumn(shape.hit, shape.rules.select(hit).scalar())
+            continue
+        keys = [_key(d) for d in shape.fixed]
+        side = shape.rules.select(*keys, hit)
+        how = hints[shape.fixed]
+        matched = matched.join(side.hint(how) if how else side, keys, "left")
+    return matched
+
+
+def _best_hit(shapes: list[RuleShape]) -> Column:
+    """The hit with the highest score, or NULL.
+
+    The score is 3 plus the number of fixed dimensions. A line that itself
+    holds a wildcard's text scores one more with every rule that has that
+    wildcard; but no other rule matches such a line, so the order is the same.
+    Hence the hits of the shapes that fix most win, and within equally many
+    fixed dimensions the lowest ``rule_id``, the first field of a hit.
+    """
+    best = []
+    for n in range(len(DIMENSIONS), -1, -1):
+        tied = [F.col(s.hit) for s in shapes if len(s.fixed) == n]
+        if tied:
+            best.append(F.least(*tied) if len(tied) > 1 else tied[0])
+    return F.coalesce(*best, F.lit(None).cast(_RULE_TYPE))
 
 
 def _score(shape: RuleShape, mode: MatchMode) -> Column:
     """The score of the shape's rule for a line it matches.
 
-    A line may itself hold the wildcard's text. That is an equality, so it
-    counts 2 against a wildcard too.
+    Equality is tested before the wildcard, so a line that itself holds the
+    wildcard's text counts 2.
     """
     score = F.lit(2 * len(shape.fixed))
     for d in DIMENSIONS:
@@ -152,37 +181,6 @@ def _score(shape: RuleShape, mode: MatchMode) -> Column:
     return score
 
 
-def _best_rule(
-    keyed_lines: DataFrame,
-    shapes: list[RuleShape],
-    mode: MatchMode,
-    hints: dict[tuple[str, ...], str | None],
-) -> DataFrame:
-    """Add ``_best``, the rule with the highest score, or NULL.
-
-    The best so far is kept from join to join. Comparing all hits at the end
-    would make one expression too large for the JVM to compile.
-    """
-    best = keyed_lines.withColumns(
-        {"_best": F.lit(None).cast(_RULE_TYPE), "_best_score": F.lit(-1)}
-    )
-    for shape in shapes:
-        best = _join_shape(best, shape, hints[shape.fixed]).withColumn(
-            "_score", F.when(F.col("_hit").isNotNull(), _score(shape, mode)).otherwise(-2)
-        )
-        better = (F.col("_score") > F.col("_best_score")) | (
-            (F.col("_score") == F.col("_best_score"))
-            & (F.col("_hit.rule_id") < F.col("_best.rule_id"))
-        )
-        best = best.withColumns(
-            {
-                "_best": F.when(better, F.col("_hit")).otherwise(F.col("_best")),
-                "_best_score": F.greatest("_score", "_best_score"),
-            }
-        ).drop("_hit", "_score")
-    return best
-
-
 def _hints(
     shapes: list[RuleShape], strategy: str, broadcast_bytes: int
 ) -> dict[tuple[str, ...], str | None]:
@@ -237,10 +235,13 @@ class Rater:
         return lines.join(rated, same, "left").select(lines["*"], rated["price_level"])
 
     def _match(self, lines: DataFrame, default_level: str) -> DataFrame:
+        matched = self._join(lines)
+        level = F.coalesce(_best_hit(self.shapes)["price_level_name"], F.lit(default_level))
+        return matched.select(*lines.columns, level.alias("price_level"))
+
+    def _join(self, lines: DataFrame) -> DataFrame:
         keyed = _with_keys(lines, {d: d for d in DIMENSIONS}, self.mode)
-        best = _best_rule(keyed, self.shapes, self.mode, self._hint)
-        level = F.coalesce("_best.price_level_name", F.lit(default_level))
-        return best.select(*lines.columns, level.alias("price_level"))
+        return _join_shapes(keyed, self.shapes, self._hint)
 
     def candidates(self, lines: DataFrame) -> DataFrame:
         """Every distinct triple of ``lines`` with each matching rule and its score.
@@ -248,14 +249,9 @@ class Rater:
         Of rules with equal keys only the first is listed, so a triple has at
         most eight rows, one per shape.
         """
-        columns = {d: d for d in DIMENSIONS}
-        keyed = _with_keys(lines.select(*DIMENSIONS).distinct(), columns, self.mode)
         hits = []
-        for i, shape in enumerate(self.shapes):
-            keyed = _join_shape(keyed, shape, self._hint[shape.fixed]).withColumnRenamed(
-                "_hit", f"_hit_{i}"
-            )
-            rule = F.col(f"_hit_{i}")
+        for shape in self.shapes:
+            rule = F.col(shape.hit)
             scored = F.struct(
                 rule["rule_id"].alias("rule_id"),
                 rule["price_level_name"].alias("price_level"),
@@ -263,7 +259,8 @@ class Rater:
             )
             hits.append(F.when(rule.isNotNull(), scored))
         return (
-            keyed.select(*DIMENSIONS, F.explode(F.array(*hits)).alias("_candidate"))
+            self._join(lines.select(*DIMENSIONS).distinct())
+            .select(*DIMENSIONS, F.explode(F.array(*hits)).alias("_candidate"))
             .filter("_candidate IS NOT NULL")
             .select(*DIMENSIONS, "_candidate.*")
         )
