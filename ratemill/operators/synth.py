@@ -21,6 +21,7 @@ DAYS_BACK = 25
 # A multiplicative generator of full period, 2^31 - 1, one step per column.
 _PRIME = 2147483647
 _FACTOR = 48271
+_WARM_UP = 2  # the first draws of small ids are small themselves
 
 
 def client_map(ids: DataFrame, id_column: str = "id") -> DataFrame:
@@ -42,9 +43,10 @@ def synthetic_billing(
     """
     seed = F.pmod(F.col(id_column), F.lit(_PRIME - 1)) + 1
     draws: list[Column] = []
-    for _ in range(8):
+    for _ in range(_WARM_UP + 8):
         seed = F.pmod(seed * _FACTOR, F.lit(_PRIME))
         draws.append(seed)
+    draws = draws[_WARM_UP:]
     names = ["customer", *CHOICES]
     lists = [clients, *CHOICES.values()]
     drawn = ids.select(*(d.alias(f"_draw_{i}") for i, d in enumerate(draws)))

@@ -23,7 +23,7 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 def compare(actual: DataFrame, connection, sql: str) -> tuple[str, int]:
     """An empty text if both hold the same rows, else what differs; and the row count."""
     found = actual.toArrow()
-    expected = connection.execute(sql).to_arrow_table()
+    expected = connection.sql(sql).to_arrow_table()
     names = sorted(found.column_names)
     if names != sorted(expected.column_names):
         return f"columns {names} and {sorted(expected.column_names)}", found.num_rows

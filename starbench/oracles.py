@@ -204,13 +204,13 @@ def _null_counts(table: str, name: str, columns: str) -> str:
 def _draws() -> str:
     step = "SELECT *, (d{a} * 48271) % 2147483647 AS d{b} FROM ({inner})"
     sql = "SELECT (l_orderkey * 8 + l_linenumber) % 2147483646 + 1 AS d0 FROM lineitem"
-    for i in range(8):
+    for i in range(10):
         sql = step.format(a=i, b=i + 1, inner=sql)
     return sql
 
 
 def _pick(i: int, n: int) -> str:
-    return f"CAST(floor(d{i} * {n} / 2147483647) AS INTEGER)"
+    return f"CAST(floor(d{i + 2} * {n} / 2147483647) AS INTEGER)"
 
 
 def _list_pick(i: int, values: list[str]) -> str:
