@@ -175,10 +175,6 @@ VIEWS = {
 }
 
 
-def load_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in STAR_TABLES}
-
-
 def _used(name: str) -> list[str]:
     return [n for n in [*STAR_TABLES, *VIEWS] if "{" + n + "}" in VIEWS[name]]
 
@@ -188,12 +184,15 @@ class Star:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
-        self._frames = load_tables(spark, sf_dir)
+        self._sf_dir = sf_dir.rstrip("/")
+        self._frames: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in VIEWS and name not in STAR_TABLES:
             raise AttributeError(name)
-        if name not in self._frames:
+        if name in STAR_TABLES and name not in self._frames:
+            self._frames[name] = self.spark.read.parquet(f"{self._sf_dir}/{name}.parquet")
+        elif name not in self._frames:
             needed = {n: getattr(self, n) for n in _used(name)}
             self._frames[name] = self.spark.sql(VIEWS[name], **needed)
         return self._frames[name]
