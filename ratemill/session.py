@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,20 +27,25 @@ def build_session(app_name: str = "ratemill", **settings: str) -> SparkSession:
 def _shared_base(spark: SparkSession) -> str:
     """The folder the cluster shares between executors (``spark.checkpoint.dir``).
 
-    Only a local session may go without the setting; it gets a temporary
-    folder once.
+    It has to be set, by the cluster or with ``use_shared_folder``.
     """
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="ratemill-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if not context.getCheckpointDir():
         context.setCheckpointDir(base)
     return base
 
 
+def use_shared_folder(spark: SparkSession) -> None:
+    """Where ``spark.checkpoint.dir`` is unset, use a folder in the warehouse, which is shared too."""
+    context = spark.sparkContext
+    if not (spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()):
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        context.setCheckpointDir(f"{warehouse.rstrip('/')}/ratemill-shared")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A fresh directory name in the shared folder."""
     return f"{_shared_base(spark).rstrip('/')}/ratemill-{uuid.uuid4().hex}"
