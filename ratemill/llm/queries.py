@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, quality, secrets, sharding, simhash
+from ratemill.session import shared_dir
+
+from . import (
+    bpe,
+    language,
+    mixing,
+    neighbours,
+    quality,
+    repeats,
+    secrets,
+    sharding,
+    simhash,
+    warc,
+)
 from .tables import read
 
 #: Small shards, so that the small tables fill several; a parameter of the operator.
@@ -57,6 +70,13 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(docs, spec, bpe.build_lexicon(docs, spec))
 
 
+@query
+def op4_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(
+        read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, neighbours=5
+    )
+
+
 @query
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=4, max_bits=4)
@@ -76,6 +96,34 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return repeats.remove_repeats(docs, length=400, with_text=False).drop("kept")
+
+
+@query
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all pages, the text model from all documents."""
+    model = language.fit(read(spark, sf_dir, "documents"))
+    return language.identify(read(spark, sf_dir, "pages"), model)
+
+
+@query
+def op9_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.plan_records(read(spark, sf_dir, "pages"), least_shared=1000)
+    manifest = warc.write_archives(records, shared_dir(spark))
+    found = warc.read_archives(manifest, payloads=False)
+    return found.select(
+        F.col("headers")["page-id"].cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        F.col("headers")["warc-type"].alias("record_type"),
+        F.col("headers")["refers-to-page-id"].cast("long").alias("refers_to"),
+        "problem",
+    )
+
+
 @query
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.span_digests(secrets.find_secrets(read(spark, sf_dir, "documents")))
@@ -83,6 +131,22 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op9_warc_zstd": """
+            WITH sized AS (
+              SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+                     sha1(coalesce(html, '')) AS payload_digest
+              FROM pages),
+            last AS (
+              SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last_id FROM sized),
+            typed AS (
+              SELECT *, payload_bytes >= 1000 AND last_id IS NOT NULL
+                        AND coalesce(page_id < last_id, true) AS again
+              FROM last)
+            SELECT page_id, payload_bytes, payload_digest,
+                   CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+                   CASE WHEN again THEN last_id END AS refers_to,
+                   CAST(NULL AS VARCHAR) AS problem
+            FROM typed""",
         "op2_mix_sources": r"""
             WITH docs AS (
               SELECT doc_id, source, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS k,

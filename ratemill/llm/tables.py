@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,3 +50,10 @@ def chunks(texts: list[bytes], most: int = 1 << 20) -> Iterator[slice]:
         size += len(text)
     if start < len(texts):
         yield slice(start, len(texts))
+
+
+def filesystem(folder: str) -> tuple[fs.FileSystem, str]:
+    """The store of a folder, and the folder's path there."""
+    if folder.startswith("file:") and not folder.startswith("file://"):
+        folder = "file://" + folder[5:]
+    return fs.FileSystem.from_uri(folder)
