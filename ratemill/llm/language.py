@@ -183,7 +183,7 @@ def identify(
         size = F.aggregate(votes, F.lit(0.0), lambda a, x: a + x)
         prior = F.zip_with(votes, prior, _smoothed(size, smoothing))
     joined = joined.withColumn("prior", prior)
-    evidence = _plus(F.col("text_log"), F.transform("prior", F.log))
+    evidence = _plus(F.col("text_log"), F.transform("prior", lambda x: F.log(x)))
     for key in ("suffix", "declared"):
         votes = F.col(f"{key}_votes")
         share = (F.aggregate(votes, F.lit(0.0), lambda a, x: a + x) + 1) / (whole + 2)
