@@ -128,7 +128,7 @@ class _Archive:
     ) -> None:
         trained = _dictionary(samples, size)
         self.name, self.records, self.bytes = name, 0, 0
-        self.out = system.open_output_stream(f"{base}/{name}")
+        self.out = system.open_output_stream(f"{base}/{name}", compression=None)
         if trained:
             packed = zstandard.ZstdCompressor().compress(trained.as_bytes())
             self._write(struct.pack("<II", DICTIONARY, len(packed)) + packed)
@@ -336,7 +336,7 @@ def _records_of(path: str) -> Iterator[dict]:
     nothing = {"headers": None, "payload": None, "payload_bytes": None, "payload_digest": None}
     offset = 0
     try:
-        with system.open_input_stream(at) as file:
+        with system.open_input_stream(at, compression=None) as file:
             for offset, data in frames(file):
                 try:
                     record = parse_record(data) | {"problem": None}
