@@ -324,7 +324,8 @@ def _settled(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
     groups = classes.groupBy("core").agg(
         F.sum("n").alias("total"), F.sum((F.col("n") == 1).cast("int")).alias("single")
     )
-    groups = groups.where("total > 1 AND single > 0").select("core")
+    # Stored, so that the join deals out both sides anew and can split a common core.
+    groups = stored(groups.where("total > 1 AND single > 0").select("core"))
     still_open = classes.join(groups, "core", "left_semi").select("first.row", "first.place")
     whole = classes.where("n > 1").select("core", "span", "span2")
     repeated = runs.join(whole, ["core", "span", "span2"], "left_semi").select("row", "place")
@@ -339,7 +340,7 @@ def repeated_runs(store: TextStore, length: int, every: int) -> DataFrame:
         )
     )
     shared = first.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
-    still_open = first.join(shared, "core", "left_semi").select("row", "place")
+    still_open = first.join(stored(shared), "core", "left_semi").select("row", "place")
     done = []
     for width in (None, *FINER):
         runs = stored(store.visit(still_open, _round(width, length), RUNS))
