@@ -18,6 +18,7 @@ encoded each. An empty table gives an empty lexicon and no rows.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import json
 import re
@@ -49,6 +50,11 @@ SPACE = r"\t-\r \x85\xa0  -     　"
 PIECES = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 
 
+#: Characters that are worked on at a time, and the longest word that is merged without a queue.
+CHUNK = 1 << 22
+SHORT = 64
+
+
 def _byte_letters() -> dict[str, int]:
     """The letters that stand for bytes in the vocabulary file: printable ones for themselves."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -75,10 +81,11 @@ class Tokenizer:
         self.byte_ids = [0] * 256
         for letter, byte in letters.items():
             self.byte_ids[byte] = vocabulary[letter]
-        self.merges = {}
+        self.merges, self.joined = {}, []
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.merges[vocabulary[a], vocabulary[b]] = (rank, vocabulary[a + b])
+            self.merges[vocabulary[a], vocabulary[b]] = rank
+            self.joined.append(vocabulary[a + b])
         self.added = {}
         for token in spec["added_tokens"]:
             if token["single_word"] or token["lstrip"] or token["rstrip"]:
@@ -92,34 +99,55 @@ class Tokenizer:
     def _merge(self, word: bytes) -> tuple[int, ...]:
         """Token ids of a word: the lowest-ranked pair is joined, leftmost first, until none is left."""
         ids = [self.byte_ids[b] for b in word]
-        after = list(range(1, len(ids) + 1))
-        before = list(range(-1, len(ids) - 1))
-        merges = self.merges
+        return self._merge_long(ids) if len(ids) > SHORT else self._merge_short(ids)
+
+    def _merge_short(self, ids: list[int]) -> tuple[int, ...]:
+        find, none = self.merges.get, len(self.joined)
+        ranks = [find(pair, none) for pair in zip(ids, ids[1:])]
+        while ranks and (rank := min(ranks)) < none:
+            i = ranks.index(rank)
+            new = self.joined[rank]
+            ids[i : i + 2] = [new]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = find((ids[i - 1], new), none)
+            if i < len(ranks):
+                ranks[i] = find((new, ids[i + 1]), none)
+        return tuple(ids)
+
+    def _merge_long(self, ids: list[int | None]) -> tuple[int, ...]:
+        """The same with a queue of pairs; those that have changed since are passed over."""
+        after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
+        find = self.merges.get
         queue = [
-            (merges[pair][0], i, merges[pair][1], pair)
+            (rank, i, pair)
             for i, pair in enumerate(zip(ids, ids[1:]))
-            if pair in merges
+            if (rank := find(pair)) is not None
         ]
         heapq.heapify(queue)
         while queue:
-            _, i, new, pair = heapq.heappop(queue)
-            j = after[i] if ids[i] is not None else len(ids)
-            if j >= len(ids) or (ids[i], ids[j]) != pair:
+            rank, i, pair = heapq.heappop(queue)
+            j = after[i]
+            if ids[i] is None or j >= len(ids) or (ids[i], ids[j]) != pair:
                 continue
-            ids[i], ids[j] = new, None
+            ids[i], ids[j] = self.joined[rank], None
             after[i] = after[j]
             if after[j] < len(ids):
                 before[after[j]] = i
             for left in (before[i], i):
                 right = after[left] if left >= 0 else len(ids)
-                if right < len(ids) and (found := merges.get((ids[left], ids[right]))):
-                    heapq.heappush(queue, (found[0], left, found[1], (ids[left], ids[right])))
+                if right < len(ids):
+                    pair = (ids[left], ids[right])
+                    if (rank := find(pair)) is not None:
+                        heapq.heappush(queue, (rank, left, pair))
         return tuple(i for i in ids if i is not None)
 
     def parts(self, piece: str) -> list[tuple[str, int | None]]:
         """Words of a piece, and added tokens with their ids."""
+        if not self.added or not self.cut.search(piece):
+            return [(word, None) for word in WORDS.findall(piece)]
         found = []
-        for n, text in enumerate(self.cut.split(piece)) if self.added else [(0, piece)]:
+        for n, text in enumerate(self.cut.split(piece)):
             if n % 2:
                 found.append((text, self.added[text]))
             else:
@@ -138,18 +166,19 @@ def _texts(column: pa.Array) -> list[str]:
 
 def _word_counts(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.RecordBatch]:
     """Words with their counts, in parts of bounded size."""
+    gc.disable()  # millions of small objects and no cycles
     tokenizer, total = load_tokenizer(spec), Counter()
     for batch in batches:
-        pieces: Counter = Counter()
-        for text in _texts(batch.column("text")):
-            pieces.update(PIECES.findall(text))
-        for piece, n in pieces.items():
-            for word, added in tokenizer.parts(piece):
-                if added is None:
-                    total[word] += n
-        if len(total) > 200_000:
-            yield _counted(total)
-            total = Counter()
+        texts = _texts(batch.column("text"))
+        for part in chunks(texts, CHUNK):
+            pieces = Counter(piece for text in texts[part] for piece in PIECES.findall(text))
+            for piece, n in pieces.items():
+                for word, added in tokenizer.parts(piece):
+                    if added is None:
+                        total[word] += n
+            if len(total) > 100_000:
+                yield _counted(total)
+                total = Counter()
     if total:
         yield _counted(total)
 
@@ -168,7 +197,7 @@ def _merged(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.RecordB
         )
 
 
-def build_lexicon(docs: DataFrame, spec: str, most_words: int = 1 << 16, longest: int = 64) -> str:
+def build_lexicon(docs: DataFrame, spec: str, most_words: int = 1 << 17, longest: int = 64) -> str:
     """Compile the most frequent words of all texts; the name of the file sent to the executors.
 
     At most ``most_words`` words of at most ``longest`` bytes come to the driver.
@@ -214,6 +243,7 @@ class Encoder:
     """Encodes the pieces of a batch, distinct ones once."""
 
     def __init__(self, spec: str, lexicon: Lexicon) -> None:
+        gc.disable()  # millions of small objects and no cycles
         self.tokenizer, self.lexicon = load_tokenizer(spec), lexicon
 
     def piece_ids(self, pieces: list[str]) -> list[list[int]]:
@@ -265,26 +295,20 @@ def _digests(batches: Iterator[pa.RecordBatch], spec: str, name: str) -> Iterato
     bytes_of = encoder.tokenizer.bytes_of
     for batch in batches:
         texts = _texts(batch.column("text"))
-        found: list[tuple] = []
-        for part in chunks(texts, 1 << 23):
+        for part in chunks(texts, CHUNK):
             ids, order, sizes = encoder.batch(texts[part])
             counts = np.fromiter(map(len, ids), np.int64, len(ids))[order]
             running = np.concatenate([[0], np.cumsum(counts)])
             ends = np.cumsum(sizes)
-            totals = running[ends] - running[ends - sizes]
             listed = ["".join(f"{i}," for i in x).encode() for x in ids]
             decoded = [b"".join(map(bytes_of.__getitem__, x)) for x in ids]
-            found.extend(
-                zip(
-                    totals.tolist(),
-                    _hashes(listed, order, sizes, 1),
-                    _hashes(decoded, order, sizes, 0),
-                )
-            )
-        if found:
-            n, a, b = zip(*found)
             yield pa.record_batch(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(a), pa.array(b)],
+                [
+                    batch.column("doc_id")[part],
+                    running[ends] - running[ends - sizes],
+                    pa.array(_hashes(listed, order, sizes, 1)),
+                    pa.array(_hashes(decoded, order, sizes, 0)),
+                ],
                 [field.split()[0] for field in RESULT.split(", ")],
             )
 
@@ -304,16 +328,21 @@ def _encoded(batches: Iterator[pa.RecordBatch], spec: str, name: str) -> Iterato
     encoder = Encoder(spec, _lexicon(name))
     for batch in batches:
         texts = _texts(batch.column("text"))
-        rows = []
-        for part in chunks(texts, 1 << 23):
+        for part in chunks(texts, CHUNK):
             ids, order, sizes = encoder.batch(texts[part])
-            ends = np.cumsum(sizes)
-            for a, b in zip(ends - sizes, ends):
-                rows.append([i for at in order[a:b].tolist() for i in ids[at]])
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(rows, pa.list_(pa.int32()))],
-            names=[*batch.schema.names, "token_ids"],
-        )
+            counts = np.fromiter(map(len, ids), np.int64, len(ids))
+            flat = np.fromiter((i for x in ids for i in x), np.int32, int(counts.sum()))
+            # The ids of all pieces in order, gathered from those of the distinct ones.
+            taken = counts[order]
+            ends = np.cumsum(taken)
+            first = (np.cumsum(counts) - counts)[order]
+            at = np.arange(int(taken.sum())) + np.repeat(first - (ends - taken), taken)
+            edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]
+            tokens = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(flat[at]))
+            yield pa.RecordBatch.from_arrays(
+                [*(c[part] for c in batch.columns), tokens],
+                names=[*batch.schema.names, "token_ids"],
+            )
 
 
 def encode(docs: DataFrame, spec: str, lexicon: str) -> DataFrame:

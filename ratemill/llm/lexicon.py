@@ -96,7 +96,7 @@ class Lexicon:
     """A compiled lexicon, mapped from its file."""
 
     def __init__(self, path: str) -> None:
-        data = np.memmap(path, np.int64, "r")
+        data = np.asarray(np.memmap(path, np.int64, "r"))  # a plain view of the mapped pages
         if data[0] != MAGIC:
             raise ValueError(f"{path} is not a lexicon")
         self.root, ends = int(data[1]), 8 + np.cumsum(data[2:8])
