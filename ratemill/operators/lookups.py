@@ -18,18 +18,24 @@ def _payload(df: DataFrame, keys: list[str], order: str) -> Column:
     return F.struct(*(c for c in df.columns if c not in keys and c != order))
 
 
+def required_order(order: str) -> Column:
+    """The order column; a NULL in it fails the job, since no row may be picked by chance."""
+    missing = F.raise_error(F.lit(f"a row has no {order}"))
+    return F.coalesce(F.col(order), missing.cast("long"))
+
+
 def first_per_key(df: DataFrame, keys: list[str], order: str = "seq") -> DataFrame:
     """One row per key, the one that comes first in ``order``.
 
     ``dropDuplicates`` would keep an arbitrary row.
     """
-    picked = F.min_by(_payload(df, keys, order), order).alias("_row")
+    picked = F.min_by(_payload(df, keys, order), required_order(order)).alias("_row")
     return df.groupBy(*keys).agg(picked).select(*keys, "_row.*")
 
 
 def last_per_key(df: DataFrame, keys: list[str], order: str = "seq") -> DataFrame:
     """One row per key, the one that comes last in ``order``."""
-    picked = F.max_by(_payload(df, keys, order), order).alias("_row")
+    picked = F.max_by(_payload(df, keys, order), required_order(order)).alias("_row")
     return df.groupBy(*keys).agg(picked).select(*keys, "_row.*")
 
 

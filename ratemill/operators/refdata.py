@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
 from ..sources.reference import append_rows, create_tables, read_table
 from .checks import orphans, reference_orphans
+from .lookups import required_order
 
 # Keys and required columns of the tables to be matched.
 KEYS = {
@@ -42,7 +44,7 @@ def new_rows(
     first = (
         batch.dropna(subset=required)
         .groupBy(*keys, F.when(incomplete, F.col("seq")).alias("_own"))
-        .agg(F.min_by(F.struct(*payload), "seq").alias("_row"))
+        .agg(F.min_by(F.struct(*payload), required_order("seq")).alias("_row"))
         .select(*keys, "_row.*")
     )
     return first.join(existing.select(*keys), keys, "left_anti").select(*batch.columns)
@@ -98,16 +100,21 @@ def build_reference_store(
 
     ``seeds`` maps table names to rows with a ``seq``. With ``skip_unknown``
     the foreign keys are not checked, except that rules of unknown customers
-    are left out.
+    are left out. Everything is built and checked in a folder of its own first; a
+    store that is at ``location`` stays as it is if that fails.
     """
-    create_tables(spark, location)
+    fresh = shared_dir(spark)
+    create_tables(spark, fresh)
     for name, keys in KEYS.items():
-        rows = new_rows(read_table(spark, location, name), seeds[name], keys, REQUIRED[name])
-        append_rows(rows, location, name)
-    load_rules(spark, location, seeds["price_level_rules"], skip_unknown)
+        rows = new_rows(read_table(spark, fresh, name), seeds[name], keys, REQUIRED[name])
+        append_rows(rows, fresh, name)
+    load_rules(spark, fresh, seeds["price_level_rules"], skip_unknown)
+    names = ["customers_db", "items_db", "price_levels_db", "price_level_rules", "prices_db"]
     if not skip_unknown:
-        names = ["customers_db", "items_db", "price_levels_db", "price_level_rules", "prices_db"]
-        _raise_if_any(reference_orphans(*(read_table(spark, location, n) for n in names)))
+        _raise_if_any(reference_orphans(*(read_table(spark, fresh, n) for n in names)))
+    create_tables(spark, location)
+    for name in names:
+        append_rows(read_table(spark, fresh, name), location, name)
 
 
 def _raise_if_any(found: DataFrame) -> None:

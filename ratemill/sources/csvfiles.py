@@ -152,14 +152,29 @@ def number_in_file_order(rows: DataFrame, as_name: str) -> DataFrame:
 
 
 def number_text(value: Column) -> Column:
-    """A double in positional notation (``12345678.0``, not ``1.2345678E7``)."""
-    plain = F.rtrim(value.try_cast("decimal(38,18)").cast("string"), F.lit("0"))
-    plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
-    size = F.abs(value)
-    positional = (size >= 1e-4) & (size < 1e16)
-    return F.when(positional, F.coalesce(plain, value.cast("string"))).otherwise(
-        value.cast("string")
+    """A double in positional notation (``12345678.0``, not ``1.2345678E7``); NaN is missing.
+
+    The digits are those of the double's own text, with the point moved, so it
+    reads back as the same double.
+    """
+    text = value.cast("string")
+    shape = r"^-?([0-9]+)\.([0-9]+)E(-?[0-9]+)$"
+    whole, part = (F.regexp_extract(text, shape, n) for n in (1, 2))
+    exponent = F.regexp_extract(text, shape, 3).try_cast("int")
+    digits = F.when(part == "0", whole).otherwise(F.concat(whole, part))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
+    places = F.greatest(exponent + 1, F.length(digits))
+    padded = F.rpad(digits, F.greatest(places, exponent + 2), F.lit("0"))
+    large = F.concat(
+        F.substring(padded, F.lit(1), exponent + 1),
+        F.lit("."),
+        F.substring(padded, exponent + 2, places),
+    )
+    moved = F.concat(
+        F.when(text.startswith("-"), "-").otherwise(""),
+        F.when(exponent < 0, small).otherwise(large),
     )
+    return F.when(F.isnan(value), None).when(exponent.isNull(), text).otherwise(moved)
 
 
 def write_csv(df: DataFrame, path: str, header: dict[str, str]) -> None:

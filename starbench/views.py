@@ -1,9 +1,10 @@
 """Billing lines and reference tables as views over the star schema.
 
 One SQL text per view, read by Spark and by DuckDB alike: the views are the
-input of the queries, not what is tested. Every view reads whole tables; the
-CASEs put odd spellings, missing values and wildcard texts into some lines,
-chosen by column values, and drop none.
+input of the queries, not what is tested. The billing view reads whole tables;
+its CASEs put odd spellings, missing values and wildcard texts into some lines,
+chosen by column values, and drop none. The reference tables have gaps on purpose:
+fallbacks, lookups and orphan checks are about them.
 """
 
 from __future__ import annotations

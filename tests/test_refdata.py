@@ -1,5 +1,7 @@
 import pytest
 
+from ratemill.sources.reference import read_table
+
 from ratemill import schemas
 from ratemill.operators import checks, lookups, refdata
 from ratemill.sources import reference
@@ -147,3 +149,26 @@ def test_default_customer_is_the_last_one(spark):
     assert found.first().id == "2"
     none = spark.range(1).select(lookups.default_customer_id(table, "X").alias("id"))
     assert none.first().id is None
+
+
+def test_failed_build_leaves_the_old_store(spark, tmp_path):
+    location = str(tmp_path / "store")
+    refdata.build_reference_store(spark, location, seed_frames(spark))
+    before = {n: sorted(map(str, read_table(spark, location, n).collect())) for n in refdata.REQUIRED}
+    seeds = seed_frames(spark)
+    seeds["items_db"] = seeds["items_db"].where("false")
+    with pytest.raises(refdata.UnknownReference):
+        refdata.build_reference_store(spark, location, seeds)
+    after = {n: sorted(map(str, read_table(spark, location, n).collect())) for n in refdata.REQUIRED}
+    assert before == after
+
+
+def test_rows_without_order_fail(spark):
+    from ratemill.operators import lookups
+
+    rows = spark.createDataFrame([("a", 1, 1), ("a", 2, None)], "k string, v int, seq long")
+    for pick in (lookups.first_per_key, lookups.last_per_key):
+        with pytest.raises(Exception, match="a row has no seq"):
+            pick(rows, ["k"]).collect()
+    with pytest.raises(Exception, match="a row has no seq"):
+        refdata.new_rows(rows.where("false"), rows, ["k"], ["v"]).collect()
