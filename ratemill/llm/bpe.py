@@ -18,7 +18,6 @@ encoded each. An empty table gives an empty lexicon and no rows.
 
 from __future__ import annotations
 
-import gc
 import heapq
 import json
 import re
@@ -26,7 +25,7 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
-from itertools import count
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +38,7 @@ from pyspark.sql import functions as F
 from ratemill.session import shared_dir
 
 from .lexicon import Lexicon, compile_lexicon
-from .tables import chunks
+from .tables import slices
 
 #: The pattern of byte-level BPE of this family (fixed by the vocabulary's format).
 WORDS = regex.compile(
@@ -50,9 +49,12 @@ SPACE = r"\t-\r \x85\xa0  -     　"
 PIECES = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 
 
-#: Characters that are worked on at a time, and the longest word that is merged without a queue.
-CHUNK = 1 << 22
-SHORT = 64
+#: A word and marks behind it, without the full pattern: letters that every Unicode version has.
+PLAIN = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ž]+)([.,;:!?]*)")
+
+#: Characters that are worked on at a time, and the lengths to which words merged together are filled.
+CHUNK = 1 << 21
+WIDTHS = (8, 16, 32, 64)
 
 
 def _byte_letters() -> dict[str, int]:
@@ -63,6 +65,33 @@ def _byte_letters() -> dict[str, int]:
     return letters | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class Lists:
+    """Lists of numbers, one after another in ``flat``."""
+
+    def __init__(self, flat: np.ndarray, counts: np.ndarray) -> None:
+        self.flat, self.counts, self.ends = flat, counts, np.cumsum(counts)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return self.flat[self.ends[i] - self.counts[i] : self.ends[i]]
+
+    def take(self, order: np.ndarray) -> Lists:
+        """The lists of these numbers, in this order."""
+        counts = self.counts[order]
+        shift = (self.ends - self.counts)[order] - (np.cumsum(counts) - counts)
+        return Lists(self.flat[np.arange(int(counts.sum())) + np.repeat(shift, counts)], counts)
+
+    def within(self, sizes: np.ndarray) -> Lists:
+        """So many lists each as one."""
+        edges = np.concatenate([[0], self.ends])[np.concatenate([[0], np.cumsum(sizes)])]
+        return Lists(self.flat, np.diff(edges))
+
+
+def joined(lists: list[Lists]) -> Lists:
+    return Lists(
+        np.concatenate([x.flat for x in lists]), np.concatenate([x.counts for x in lists])
+    )
+
+
 class Tokenizer:
     """Vocabulary, merges and added tokens of a tokenizers file."""
 
@@ -81,11 +110,11 @@ class Tokenizer:
         self.byte_ids = [0] * 256
         for letter, byte in letters.items():
             self.byte_ids[byte] = vocabulary[letter]
-        self.merges, self.joined = {}, []
+        self.merges, joined = {}, []
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             self.merges[vocabulary[a], vocabulary[b]] = rank
-            self.joined.append(vocabulary[a + b])
+            joined.append(vocabulary[a + b])
         self.added = {}
         for token in spec["added_tokens"]:
             if token["single_word"] or token["lstrip"] or token["rstrip"]:
@@ -94,26 +123,79 @@ class Tokenizer:
             self.bytes_of[token["id"]] = token["content"].encode()
         longest_first = sorted(self.added, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")")
-        self.merge = lru_cache(1 << 16)(self._merge)
-
-    def _merge(self, word: bytes) -> tuple[int, ...]:
-        """Token ids of a word: the lowest-ranked pair is joined, leftmost first, until none is left."""
-        ids = [self.byte_ids[b] for b in word]
-        return self._merge_long(ids) if len(ids) > SHORT else self._merge_short(ids)
-
-    def _merge_short(self, ids: list[int]) -> tuple[int, ...]:
-        find, none = self.merges.get, len(self.joined)
-        ranks = [find(pair, none) for pair in zip(ids, ids[1:])]
-        while ranks and (rank := min(ranks)) < none:
-            i = ranks.index(rank)
-            new = self.joined[rank]
-            ids[i : i + 2] = [new]
-            del ranks[i]
-            if i:
-                ranks[i - 1] = find((ids[i - 1], new), none)
-            if i < len(ranks):
-                ranks[i] = find((new, ids[i + 1]), none)
-        return tuple(ids)
+        self.joined, self.bytes_at = np.array(joined, np.int32), np.array(self.byte_ids, np.int32)
+        #: Stands for no token behind a word's end; no pair holds it.
+        self.nothing = max(self.bytes_of) + 1
+        pairs = np.array(list(self.merges), np.int64).reshape(-1, 2)
+        keys = pairs[:, 0] * (self.nothing + 1) + pairs[:, 1]
+        self.ranks = np.argsort(keys).astype(np.int32)
+        self.pairs = np.append(keys[self.ranks], np.iinfo(np.int64).max)
+        self.ranks = np.append(self.ranks, np.int32(len(joined)))
+        self.written = pa.array([f"{i},".encode() for i in range(self.nothing)], pa.large_binary())
+        self.decoded = pa.array(
+            [self.bytes_of.get(i, b"") for i in range(self.nothing)], pa.large_binary()
+        )
+
+    def merge(self, words: list[bytes]) -> Lists:
+        """Token ids of words: the lowest-ranked pair is joined, leftmost first, until none is left.
+
+        Words of similar length go step by step together, very long ones by themselves.
+        """
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        ends, text = np.cumsum(lengths), np.frombuffer(b"".join(words), np.uint8)
+        order, merged, low = [np.flatnonzero(lengths == 0)], [], 0
+        for width in WIDTHS:
+            which = np.flatnonzero((lengths > low) & (lengths <= width))
+            for some in np.array_split(which, len(which) * width // CHUNK + 1):
+                inside = np.arange(width) < lengths[some, None]
+                ids = np.full(inside.shape, self.nothing, np.int32)
+                at = ((ends - lengths)[some, None] + np.arange(width))[inside]
+                ids[inside] = self.bytes_at[text[at]]
+                ids = self._merge_together(ids)
+                left = ids != self.nothing
+                order.append(some)
+                merged.append(Lists(ids[left], left.sum(1)))
+            low = width
+        for i in np.flatnonzero(lengths > low):
+            ids = np.array(self._merge_long([self.byte_ids[b] for b in words[i]]), np.int32)
+            order.append(np.array([i]))
+            merged.append(Lists(ids, np.array([len(ids)])))
+        empty = Lists(np.zeros(0, np.int32), np.zeros(len(order[0]), np.int64))
+        return joined([empty, *merged]).take(np.argsort(np.concatenate(order)))
+
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ranks of pairs, the number of merges for those that are not joined."""
+        wanted = a.astype(np.int64) * (self.nothing + 1) + b
+        at = np.searchsorted(self.pairs, wanted)
+        return np.where(self.pairs[at] == wanted, self.ranks[at], self.ranks[-1])
+
+    def _merge_together(self, ids: np.ndarray) -> np.ndarray:
+        """One word a row, filled with nothing. A step joins one pair of every row that has one."""
+        out, rows = np.full_like(ids, self.nothing), np.arange(len(ids))
+        ranks = self._ranks(ids[:, :-1], ids[:, 1:])
+        while True:
+            if ranks.shape[1] == 0:
+                out[rows, : ids.shape[1]] = ids
+                return out
+            at = ranks.argmin(1)
+            best = ranks[np.arange(len(rows)), at]
+            more = best < self.ranks[-1]
+            out[rows[~more], : ids.shape[1]] = ids[~more]
+            rows, ids, ranks, at, best = rows[more], ids[more], ranks[more], at[more], best[more]
+            if not len(rows):
+                return out
+            line = np.arange(len(rows))
+            ids[line, at] = self.joined[best]
+            keep = np.ones(ids.shape, bool)
+            keep[line, at + 1] = False
+            ids = ids[keep].reshape(len(rows), -1)
+            keep = np.ones(ranks.shape, bool)
+            keep[line, at] = False
+            ranks = ranks[keep].reshape(len(rows), -1)
+            i = np.flatnonzero(at > 0)
+            ranks[i, at[i] - 1] = self._ranks(ids[i, at[i] - 1], ids[i, at[i]])
+            i = np.flatnonzero(at < ranks.shape[1])
+            ranks[i, at[i]] = self._ranks(ids[i, at[i]], ids[i, at[i] + 1])
 
     def _merge_long(self, ids: list[int | None]) -> tuple[int, ...]:
         """The same with a queue of pairs; those that have changed since are passed over."""
@@ -130,7 +212,7 @@ class Tokenizer:
             j = after[i]
             if ids[i] is None or j >= len(ids) or (ids[i], ids[j]) != pair:
                 continue
-            ids[i], ids[j] = self.joined[rank], None
+            ids[i], ids[j] = int(self.joined[rank]), None
             after[i] = after[j]
             if after[j] < len(ids):
                 before[after[j]] = i
@@ -144,7 +226,7 @@ class Tokenizer:
 
     def parts(self, piece: str) -> list[tuple[str, int | None]]:
         """Words of a piece, and added tokens with their ids."""
-        if not self.added or not self.cut.search(piece):
+        if not any(map(piece.__contains__, self.added)):
             return [(word, None) for word in WORDS.findall(piece)]
         found = []
         for n, text in enumerate(self.cut.split(piece)):
@@ -160,41 +242,51 @@ def load_tokenizer(text: str) -> Tokenizer:
     return Tokenizer(text)
 
 
-def _texts(column: pa.Array) -> list[str]:
-    return ["" if x is None else x for x in column.to_pylist()]
+def _parts(batch: pa.RecordBatch) -> Iterator[tuple[slice, list[str]]]:
+    """The texts of a batch, some at a time."""
+    column = batch.column("text")
+    for part in slices(pc.fill_null(pc.binary_length(column), 0).to_pylist(), CHUNK):
+        yield part, ["" if x is None else x for x in column[part].to_pylist()]
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.RecordBatch]:
     """Words with their counts, in parts of bounded size."""
-    gc.disable()  # millions of small objects and no cycles
-    tokenizer, total = load_tokenizer(spec), Counter()
+    tokenizer, pieces = load_tokenizer(spec), Counter()
     for batch in batches:
-        texts = _texts(batch.column("text"))
-        for part in chunks(texts, CHUNK):
-            pieces = Counter(piece for text in texts[part] for piece in PIECES.findall(text))
-            for piece, n in pieces.items():
-                for word, added in tokenizer.parts(piece):
-                    if added is None:
-                        total[word] += n
-            if len(total) > 100_000:
-                yield _counted(total)
-                total = Counter()
-    if total:
-        yield _counted(total)
-
-
-def _counted(total: Counter) -> pa.RecordBatch:
-    words = pa.array([w.encode() for w in total], pa.binary())
+        for _, texts in _parts(batch):
+            for text in texts:
+                pieces.update(PIECES.findall(text))
+            if len(pieces) > 100_000:
+                yield _counted(pieces, tokenizer)
+                pieces = Counter()
+    if pieces:
+        yield _counted(pieces, tokenizer)
+
+
+def _counted(pieces: Counter, tokenizer: Tokenizer) -> pa.RecordBatch:
+    total = Counter()
+    for piece, n in pieces.items():
+        if plain := PLAIN.fullmatch(piece):
+            for word in filter(None, plain.groups()):
+                total[word] += n
+        else:
+            for word, added in tokenizer.parts(piece):
+                if added is None:
+                    total[word] += n
+    words = pa.array(list(total), pa.string()).cast(pa.binary())
     return pa.record_batch([words, pa.array(total.values(), pa.int64())], ["word", "n"])
 
 
 def _merged(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.RecordBatch]:
     tokenizer = load_tokenizer(spec)
     for batch in batches:
-        ids = [list(tokenizer.merge(w)) for w in batch.column("word").to_pylist()]
-        yield pa.record_batch(
-            [batch.column("word"), pa.array(ids, pa.list_(pa.int32()))], ["word", "ids"]
-        )
+        ids = tokenizer.merge(batch.column("word").to_pylist())
+        yield pa.record_batch([batch.column("word"), _arrow(ids)], ["word", "ids"])
+
+
+def _arrow(lists: Lists) -> pa.ListArray:
+    edges = np.concatenate([[0], lists.ends])
+    return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(lists.flat, pa.int32()))
 
 
 def build_lexicon(docs: DataFrame, spec: str, most_words: int = 1 << 17, longest: int = 64) -> str:
@@ -243,34 +335,48 @@ class Encoder:
     """Encodes the pieces of a batch, distinct ones once."""
 
     def __init__(self, spec: str, lexicon: Lexicon) -> None:
-        gc.disable()  # millions of small objects and no cycles
         self.tokenizer, self.lexicon = load_tokenizer(spec), lexicon
 
-    def piece_ids(self, pieces: list[str]) -> list[list[int]]:
-        """Token ids of each piece: words through the lexicon, unseen ones merged."""
-        numbers: dict[bytes, int] = defaultdict(count().__next__)
-        split = [
-            [(numbers[word.encode()] if added is None else -1, added) for word, added in parts]
-            for parts in map(self.tokenizer.parts, pieces)
-        ]
-        words = list(numbers)
-        ids = [
-            self.lexicon.ids_of(at) if at >= 0 else self.tokenizer.merge(word)
-            for word, at in zip(words, self.lexicon.numbers(words).tolist())
-        ]
-        return [
-            [i for at, added in parts for i in (ids[at] if added is None else (added,))]
-            for parts in split
-        ]
-
-    def batch(self, texts: list[str]) -> tuple[list[list[int]], np.ndarray, np.ndarray]:
+    def word_ids(self, words: list[bytes]) -> Lists:
+        """Token ids of words: from the lexicon, or merged where it does not hold them."""
+        at = self.lexicon.numbers(words)
+        known, new = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
+        ids = self.tokenizer.merge([words[i] for i in new.tolist()])
+        if len(known):
+            found = Lists(self.lexicon.ids, np.diff(self.lexicon.offsets)).take(at[known])
+            ids = joined([ids, Lists(found.flat.astype(np.int32), found.counts)])
+        return ids.take(np.argsort(np.concatenate([new, known])))
+
+    def piece_ids(self, pieces: list[str]) -> Lists:
+        """Token ids of each piece."""
+        numbers: dict[str | int, int] = defaultdict(count().__next__)
+        added_ids = list(dict.fromkeys(self.tokenizer.added.values()))
+        for i in added_ids:
+            numbers[i]
+        flat, counts = [], []
+        for piece in pieces:
+            if plain := PLAIN.fullmatch(piece):
+                word, marks = plain.groups()
+                flat.append(numbers[word])
+                if marks:
+                    flat.append(numbers[marks])
+                counts.append(2 if marks else 1)
+            else:
+                parts = self.tokenizer.parts(piece)
+                flat += [numbers[word if added is None else added] for word, added in parts]
+                counts.append(len(parts))
+        words = [word.encode() for word in list(numbers)[len(added_ids) :]]
+        added = Lists(np.array(added_ids, np.int32), np.ones(len(added_ids), np.int64))
+        ids = joined([added, self.word_ids(words)]).take(np.array(flat, np.int64))
+        return ids.within(np.array(counts, np.int64))
+
+    def batch(self, texts: list[str]) -> tuple[Lists, np.ndarray, np.ndarray]:
         """Ids of the distinct pieces, the piece numbers of all texts in a row, pieces per text."""
         numbers: dict[str, int] = defaultdict(count().__next__)
         split = [PIECES.findall(text) for text in texts]
         sizes = np.fromiter(map(len, split), np.int64, len(split))
-        order = np.fromiter(
-            (numbers[p] for pieces in split for p in pieces), np.int64, int(sizes.sum())
-        )
+        each = map(numbers.__getitem__, chain.from_iterable(split))
+        order = np.fromiter(each, np.int64, int(sizes.sum()))
         return self.piece_ids(list(numbers)), order, sizes
 
 
@@ -279,35 +385,44 @@ def _lexicon(name: str) -> Lexicon:
     return Lexicon(SparkFiles.get(name))
 
 
-def _hashes(values: list[bytes], order: np.ndarray, sizes: np.ndarray, cut: int) -> list[str]:
-    """SHA-256 of the pieces' bytes joined, per text, without the last ``cut`` bytes."""
-    joined = pc.take(pa.array(values, pa.large_binary()), pa.array(order))
-    _, offsets, data = joined.buffers()
-    ends = np.frombuffer(offsets, np.int64)[np.concatenate([[0], np.cumsum(sizes)])]
-    view = memoryview(data) if data is not None else memoryview(b"")
+def _hashes(
+    tokens: pa.Array, ids: Lists, order: np.ndarray, sizes: np.ndarray, cut: int
+) -> list[str]:
+    """SHA-256 of the tokens' bytes joined, per text, without the last ``cut`` bytes."""
+    pieces = Lists(*_bytes(tokens.take(pa.array(ids.flat)))).within(ids.counts)
+    edges = pa.py_buffer(np.concatenate([[0], pieces.ends]))
+    values = pa.Array.from_buffers(
+        pa.large_binary(), len(pieces.ends), [None, edges, pa.py_buffer(pieces.flat)]
+    )
+    texts = Lists(*_bytes(values.take(pa.array(order)))).within(sizes)
+    view = memoryview(texts.flat)
     return [
-        sha256(view[a : max(b - cut, a)]).hexdigest() for a, b in zip(ends[:-1], ends[1:])
+        sha256(view[b - n : max(b - cut, b - n)]).hexdigest()
+        for b, n in zip(texts.ends.tolist(), texts.counts.tolist())
     ]
 
 
+def _bytes(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of an array of bytes that starts its buffers, and the length of each."""
+    _, offsets, data = values.buffers()
+    edges = np.frombuffer(offsets, np.int64)[: len(values) + 1] if len(values) else np.zeros(1, np.int64)
+    return np.frombuffer(data or b"", np.uint8)[: edges[-1]], np.diff(edges)
+
+
 def _digests(batches: Iterator[pa.RecordBatch], spec: str, name: str) -> Iterator[pa.RecordBatch]:
     encoder = Encoder(spec, _lexicon(name))
-    bytes_of = encoder.tokenizer.bytes_of
+    tokenizer = encoder.tokenizer
     for batch in batches:
-        texts = _texts(batch.column("text"))
-        for part in chunks(texts, CHUNK):
-            ids, order, sizes = encoder.batch(texts[part])
-            counts = np.fromiter(map(len, ids), np.int64, len(ids))[order]
-            running = np.concatenate([[0], np.cumsum(counts)])
-            ends = np.cumsum(sizes)
-            listed = ["".join(f"{i}," for i in x).encode() for x in ids]
-            decoded = [b"".join(map(bytes_of.__getitem__, x)) for x in ids]
+        for part, texts in _parts(batch):
+            ids, order, sizes = encoder.batch(texts)
+            counts = np.concatenate([[0], np.cumsum(ids.counts[order])])
+            edges = np.concatenate([[0], np.cumsum(sizes)])
             yield pa.record_batch(
                 [
                     batch.column("doc_id")[part],
-                    running[ends] - running[ends - sizes],
-                    pa.array(_hashes(listed, order, sizes, 1)),
-                    pa.array(_hashes(decoded, order, sizes, 0)),
+                    np.diff(counts[edges]),
+                    pa.array(_hashes(tokenizer.written, ids, order, sizes, 1)),
+                    pa.array(_hashes(tokenizer.decoded, ids, order, sizes, 0)),
                 ],
                 [field.split()[0] for field in RESULT.split(", ")],
             )
@@ -327,18 +442,9 @@ def encode_digests(docs: DataFrame, spec: str, lexicon: str) -> DataFrame:
 def _encoded(batches: Iterator[pa.RecordBatch], spec: str, name: str) -> Iterator[pa.RecordBatch]:
     encoder = Encoder(spec, _lexicon(name))
     for batch in batches:
-        texts = _texts(batch.column("text"))
-        for part in chunks(texts, CHUNK):
-            ids, order, sizes = encoder.batch(texts[part])
-            counts = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter((i for x in ids for i in x), np.int32, int(counts.sum()))
-            # The ids of all pieces in order, gathered from those of the distinct ones.
-            taken = counts[order]
-            ends = np.cumsum(taken)
-            first = (np.cumsum(counts) - counts)[order]
-            at = np.arange(int(taken.sum())) + np.repeat(first - (ends - taken), taken)
-            edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]
-            tokens = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(flat[at]))
+        for part, texts in _parts(batch):
+            ids, order, sizes = encoder.batch(texts)
+            tokens = _arrow(ids.take(order).within(sizes))
             yield pa.RecordBatch.from_arrays(
                 [*(c[part] for c in batch.columns), tokens],
                 names=[*batch.schema.names, "token_ids"],

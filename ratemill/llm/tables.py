@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs
@@ -42,14 +42,19 @@ def utf8(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
 
 def chunks(texts: list[bytes], most: int = 1 << 20) -> Iterator[slice]:
     """Slices of at most ``most`` bytes, or of one longer text."""
-    start = size = 0
-    for i, text in enumerate(texts):
-        if size and size + len(text) > most:
-            yield slice(start, i)
-            start, size = i, 0
-        size += len(text)
-    if start < len(texts):
-        yield slice(start, len(texts))
+    return slices(map(len, texts), most)
+
+
+def slices(sizes: Iterable[int], most: int) -> Iterator[slice]:
+    """Slices that add up to at most ``most``, or hold one larger size."""
+    start = end = total = 0
+    for end, size in enumerate(sizes, 1):
+        if total and total + size > most:
+            yield slice(start, end - 1)
+            start, total = end - 1, 0
+        total += size
+    if start < end:
+        yield slice(start, end)
 
 
 def filesystem(folder: str) -> tuple[fs.FileSystem, str]:
