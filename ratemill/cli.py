@@ -128,7 +128,6 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         clients = synth.client_map(spark.range(args.clients))
         header = {inner: outer for outer, inner in schemas.CLIENTS_HEADER.items()}
         csvfiles.write_csv(clients, f"{args.out}/client_mappings", header)
-        names = [f"Client {k}" for k in range(args.clients)]
-        lines = synth.synthetic_billing(spark.range(args.rows), names, date.today())
+        lines = synth.synthetic_billing(spark.range(args.rows), args.clients, date.today())
         header = {inner: outer for outer, inner in schemas.BILLING_HEADER.items()}
         csvfiles.write_csv(lines, f"{args.out}/raw_billing", header)

@@ -26,20 +26,25 @@ _WARM_UP = 2  # the first draws of small ids are small themselves
 
 def client_map(ids: DataFrame, id_column: str = "id") -> DataFrame:
     """``CLI-100``, ``CLI-101``, … with a name each."""
-    number = F.col(id_column).cast("string")
     return ids.select(
         F.concat(F.lit("CLI-"), (F.col(id_column) + 100).cast("string")).alias("internal_client_id"),
-        F.concat(F.lit("Client "), number).alias("client_name"),
+        _client_name(F.col(id_column)).alias("client_name"),
     )
 
 
+def _client_name(number: Column) -> Column:
+    return F.concat(F.lit("Client "), number.cast("string"))
+
+
 def synthetic_billing(
-    ids: DataFrame, clients: list[str], today: date, id_column: str = "id"
+    ids: DataFrame, clients: int, today: date, id_column: str = "id"
 ) -> DataFrame:
     """One billing line per id, each column picked evenly and only by the id.
 
     ``ids`` may be ``spark.range(n)`` or any column of whole numbers. Lines do
-    not depend on partitions, retries or the day the job runs.
+    not depend on partitions, retries or the day the job runs. Customers are the
+    first ``clients`` names of ``client_map``, made from the drawn number, so the
+    plan is the same for any number of them.
     """
     seed = F.pmod(F.col(id_column), F.lit(_PRIME - 1)) + 1
     draws: list[Column] = []
@@ -48,16 +53,16 @@ def synthetic_billing(
         draws.append(seed)
     draws = draws[_WARM_UP:]
     names = ["customer", *CHOICES]
-    lists = [clients, *CHOICES.values()]
     drawn = ids.select(*(d.alias(f"_draw_{i}") for i, d in enumerate(draws)))
 
     def pick(i: int, n: int) -> Column:
         # High-order part of the draw: low-order bits of neighbours are related.
         return F.floor(F.col(f"_draw_{i}") * n / _PRIME).cast("int")
 
-    picked = [
+    picked = [_client_name(pick(0, clients)).alias("customer")]
+    picked += [
         F.element_at(F.array(*map(F.lit, values)), pick(i, len(values)) + 1).alias(name)
-        for i, (name, values) in enumerate(zip(names, lists))
+        for i, (name, values) in enumerate(CHOICES.items(), 1)
     ]
     n = len(names)
     return drawn.select(

@@ -88,14 +88,19 @@ def rated_quantities(
 ) -> DataFrame:
     """Customer, item, price level, flag and quantity.
 
-    Lines that no later step can tell apart are added up first, and what
-    remains is rated: a distinct line is rated once however often it occurs,
-    and a hot customer weighs no more than its distinct lines.
+    Where all rules are broadcast, lines are rated where they are, and the rollup's
+    shuffle is the only one of the lines; it combines map-side, so a hot customer
+    weighs no more than its rows of the sheet per task. Where rules are shuffled,
+    lines that no later step can tell apart are added up first, and what remains is
+    rated.
     """
     rater = Rater(rules, mode, options.strategy, options.broadcast_bytes)
     flag = state_flag(F.col("state"), options.flagged_state)
     billed = drop_null_keys(billing).withColumn("ca_line", flag)
-    rated = rater.rate(combine_lines(billed), default_level, triples_from=billed)
+    if rater.in_place:
+        rated = rater.rate(billed, default_level)
+    else:
+        rated = rater.rate(combine_lines(billed), default_level, triples_from=billed)
     if from_template:
         rated = rated.withColumn(
             "price_level", fill_level_template(F.col("price_level"), F.col("customer"))

@@ -447,5 +447,4 @@ def sheet_csv_roundtrip(star: Star) -> DataFrame:
 def synth_billing(star: Star) -> DataFrame:
     """One synthetic line per order line, seeded by its order and position."""
     ids = star.lineitem.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"))
-    clients = [f"Client {k}" for k in range(5)]
-    return synth.synthetic_billing(ids, clients, PERIOD_END)
+    return synth.synthetic_billing(ids, 5, PERIOD_END)

@@ -127,10 +127,10 @@ def test_csv_sink(spark, tmp_path):
 
 
 def test_synthetic_lines_depend_on_the_id_only(spark):
-    clients = ["a", "b", "c"]
+    clients = ["Client 0", "Client 1", "Client 2"]
     ids = spark.range(3000)
-    one = synth.synthetic_billing(ids, clients, date(2026, 5, 31))
-    two = synth.synthetic_billing(ids.repartition(7), clients, date(2026, 5, 31))
+    one = synth.synthetic_billing(ids, 3, date(2026, 5, 31))
+    two = synth.synthetic_billing(ids.repartition(7), 3, date(2026, 5, 31))
     assert rows(one, *one.columns) == rows(two, *two.columns)
     assert one.schema.simpleString() == schemas.BILLING.simpleString()
     for column, values in {"customer": clients, **synth.CHOICES}.items():

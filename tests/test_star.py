@@ -53,6 +53,19 @@ def test_rating_small_rules_does_not_shuffle_lines(spark):
     assert not re.search(r"Exchange (hash|range|RoundRobin)", plan)
 
 
+def test_rollup_with_small_rules_shuffles_lines_once(spark):
+    from ratemill.plans.sheet import rated_quantities
+    from ratemill.session import shared_dir
+    from starbench.queries import NORMALISED, OPTIONS
+    from starbench.views import Star
+
+    path, star = shared_dir(spark), Star(spark, SF_DIR)
+    star.billing.write.parquet(path)
+    lines = spark.read.parquet(path)
+    rolled = rated_quantities(lines, star.rules, OPTIONS, NORMALISED, OPTIONS.default_level)
+    assert len(re.findall(r"Exchange (hash|range|RoundRobin)", plan_of(rolled))) == 1
+
+
 def test_missing_keys_are_filtered_at_the_scan(spark):
     from ratemill.operators.rollup import drop_null_keys, quantity_rollup
     from starbench.views import Star
