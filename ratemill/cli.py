@@ -9,6 +9,8 @@
     python -m ratemill synth       --rows N --clients N --out DIR
 
 ``--billing`` also takes parquet (a path that ends in ``.parquet``).
+Lines of a CSV that cannot be read are not billed; they are written, with the reason, to
+``--rejects DIR`` (the output folder with ``-rejects``, if not given).
 """
 
 from __future__ import annotations
@@ -51,6 +53,7 @@ def _parser() -> argparse.ArgumentParser:
     ):
         sub.add_argument("--period-end", type=date.fromisoformat)
         sub.add_argument("--flagged-state")
+        sub.add_argument("--rejects")
     commands.choices["sheet"].add_argument("--variant", choices=VARIANTS, default="normalised")
     sub = command("synth", "out")
     sub.add_argument("--rows", type=int, default=200)
@@ -63,14 +66,15 @@ def _options(args: argparse.Namespace) -> plans.SheetOptions:
     return plans.SheetOptions(**{k: v for k, v in given.items() if v is not None})
 
 
-def _billing(spark: SparkSession, path: str) -> DataFrame:
-    if path.rstrip("/").endswith(".parquet"):
-        return csvfiles.read_billing_parquet(spark, path)
-    text = csvfiles.read_billing_text(spark, path)
-    rejected = csvfiles.rejected_billing(text).count()
+def _billing(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    if args.billing.rstrip("/").endswith(".parquet"):
+        return csvfiles.read_billing_parquet(spark, args.billing)
+    rejects = args.rejects or f"{args.out.rstrip('/')}-rejects"
+    lines = csvfiles.read_billing(spark, args.billing, rejects=rejects)
+    rejected = csvfiles.read_rejects(spark, rejects).count()
     if rejected:
-        print(f"{rejected} lines with unreadable units or dates are left out")
-    return csvfiles.typed_billing(text)
+        print(f"{rejected} lines with unreadable fields, units or dates are in {rejects}")
+    return lines
 
 
 def _check(spark: SparkSession, store: str) -> list[tuple[str, DataFrame]]:
@@ -114,15 +118,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
             rows.show(10, truncate=False)
     elif args.command == "sheet":
         tables = reference.read_reference(spark, args.store)
-        sheet = VARIANTS[args.variant](_billing(spark, args.billing), tables, _options(args))
+        sheet = VARIANTS[args.variant](_billing(spark, args), tables, _options(args))
         csvfiles.write_csv(plans.in_sheet_order(sheet), args.out, schemas.SHEET_HEADER)
     elif args.command == "prototype":
         rules = csvfiles.read_rules(spark, args.rules)
-        sheet = plans.upload_prototype(_billing(spark, args.billing), rules, _options(args))
+        sheet = plans.upload_prototype(_billing(spark, args), rules, _options(args))
         csvfiles.write_csv(plans.in_sheet_order(sheet), args.out, schemas.PROTOTYPE_HEADER)
     elif args.command == "rated-lines":
         rules = csvfiles.read_rules(spark, args.rules)
-        lines = plans.rated_lines(_billing(spark, args.billing), rules, _options(args))
+        lines = plans.rated_lines(_billing(spark, args), rules, _options(args))
         csvfiles.write_csv(lines, args.out, schemas.RATED_HEADER)
     else:
         clients = synth.client_map(spark.range(args.clients))

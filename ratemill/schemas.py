@@ -89,6 +89,10 @@ RATED_HEADER = {inner: outer for outer, inner in BILLING_HEADER.items()} | {
     "price_level": "NetSuite_Price_Level",
     "ca_line": "CA Line?",
 }
+REJECTS_HEADER = {inner: outer for outer, inner in BILLING_HEADER.items()} | {
+    "reject_reason": "Reason",
+    "raw_line": "Line",
+}
 
 PROTOTYPE_COLUMNS = list(PROTOTYPE_HEADER)
 SHEET_COLUMNS = list(SHEET_HEADER)

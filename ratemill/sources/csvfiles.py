@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import BILLING, BILLING_HEADER, CLIENTS_HEADER, RULES_HEADER
-from ..session import checkpointed
+from ..schemas import BILLING, BILLING_HEADER, CLIENTS_HEADER, REJECTS_HEADER, RULES_HEADER
+from ..session import checkpointed, shared_dir
 
 # Texts that stand for a missing value in the files to be read
 # (the documented defaults of the common CSV reader in Python).
@@ -34,68 +34,111 @@ MISSING_TEXTS = [
 ]
 
 
-def _read_text(spark: SparkSession, path: str, header: dict[str, str], multi_line: bool):
+#: The raw text of a line with more or fewer fields than the header, else NULL.
+_LINE = "_line"
+
+
+def _read_text(
+    spark: SparkSession, path: str, header: dict[str, str], multi_line: bool, strict: bool = True
+):
     """The named columns as text, found by header name and not by position.
 
     Nothing is inferred from the values: an item ``01001`` stays as it is
-    whatever else is in the file. Missing-value texts become NULL.
+    whatever else is in the file. Missing-value texts become NULL. All files
+    must have their columns in one order; a file with another header fails the job.
+    A line with more or fewer fields than the header does too if ``strict``, and
+    otherwise has its text in ``_line``.
     """
+    reader = spark.read.options(header=True, escape='"', multiLine=multi_line)
+    names = reader.csv(path).columns
+    absent = [name for name in header if name not in names]
+    if absent:
+        raise ValueError(f"{path} has no column {', '.join(absent)}")
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, _LINE]])
     raw = (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
+        reader.schema(schema)
+        .options(
+            enforceSchema=False,
+            # Fields can be counted only where all of them are parsed.
+            columnPruning=False,
+            mode="FAILFAST" if strict else "PERMISSIVE",
+            columnNameOfCorruptRecord=_LINE,
+        )
         .csv(path)
     )
-    absent = [name for name in header if name not in raw.columns]
-    if absent:
-        raise ValueError(f"{path} has no column {', '.join(absent)}")
     return raw.select(
         *(
             F.when(~F.col(f"`{outer}`").isin(MISSING_TEXTS), F.col(f"`{outer}`")).alias(inner)
             for outer, inner in header.items()
         ),
+        _LINE,
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_start"),
     )
 
 
 def read_billing_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    return _read_text(spark, path, BILLING_HEADER, multi_line).drop("_file", "_start")
+    """Billing lines as text, with ``reject_reason`` (NULL for good lines) and ``raw_line``.
+
+    A line is rejected if its number of fields is not the header's, or if its
+    units or date are there but cannot be read. ``raw_line`` is the text of the former.
+    """
+    text = _read_text(spark, path, BILLING_HEADER, multi_line, strict=False)
+    reason = F.when(F.col(_LINE).isNotNull(), "fields")
+    for field in BILLING:
+        if not isinstance(field.dataType, T.StringType):
+            value = F.col(field.name)
+            unreadable = value.isNotNull() & value.try_cast(field.dataType).isNull()
+            reason = reason.when(unreadable, field.name)
+    return text.select(
+        *BILLING_HEADER.values(), reason.alias("reject_reason"), F.col(_LINE).alias("raw_line")
+    )
 
 
 def typed_billing(text: DataFrame) -> DataFrame:
     """Billing lines in the layout of ``schemas.BILLING``; rejected lines left out."""
-    return text.filter(~_is_rejected()).select(
-        *(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in BILLING)
-    )
+    return _typed(text.filter("reject_reason IS NULL"))
 
 
-def rejected_billing(text: DataFrame) -> DataFrame:
-    """Lines whose units or date are there but cannot be read, as text.
-
-    They are reported and never billed as 0.
-    """
-    return text.filter(_is_rejected())
+def _typed(text: DataFrame) -> DataFrame:
+    return text.select(*(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in BILLING))
 
 
-def _is_rejected() -> Column:
-    unreadable = F.lit(False)
-    for field in BILLING:
-        if not isinstance(field.dataType, T.StringType):
-            value = F.col(field.name)
-            unreadable = unreadable | (
-                value.isNotNull() & value.try_cast(field.dataType).isNull()
-            )
-    return unreadable
+def rejected_billing(text: DataFrame) -> DataFrame:
+    """Rejected lines as text, with the reason; they are reported and never billed as 0."""
+    return text.filter("reject_reason IS NOT NULL")
 
 
-def read_billing(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_billing(
+    spark: SparkSession, path: str, multi_line: bool = False, rejects: str | None = None
+) -> DataFrame:
     """Billing lines from CSV with a header.
 
+    A line that cannot be read fails the job, unless ``rejects`` names a folder:
+    then such lines are written there as CSV, with reason and raw text, and the others
+    are returned. The files are parsed once, into the shared folder, for both.
+
     ``multi_line`` is needed only for quoted line breaks; such files cannot be
     split between tasks.
     """
-    return typed_billing(read_billing_text(spark, path, multi_line))
+    text = read_billing_text(spark, path, multi_line)
+    reason = F.col("reject_reason")
+    if rejects is None:
+        found = F.concat_ws(" ", F.lit("billing line rejected:"), reason, *text.columns)
+        failed = F.raise_error(found).cast("boolean")
+        return _typed(text.filter(F.when(reason.isNotNull(), failed).otherwise(True)))
+    routed = shared_dir(spark)
+    rows = text.withColumn("rejected", reason.isNotNull())
+    rows.write.partitionBy("rejected").parquet(routed)
+    saved = spark.read.schema(rows.schema).parquet(routed)
+    write_csv(rejected_billing(saved.filter("rejected")), rejects, REJECTS_HEADER)
+    return _typed(saved.filter("NOT rejected"))
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Rejected lines that ``read_billing`` has written, as text."""
+    header = {outer: inner for inner, outer in REJECTS_HEADER.items()}
+    return _read_text(spark, path, header, False).select(*REJECTS_HEADER)
 
 
 def read_billing_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -147,7 +190,7 @@ def number_in_file_order(rows: DataFrame, as_name: str) -> DataFrame:
     return (
         numbered.join(offsets, ["_file", "_start"])
         .withColumn(as_name, F.col("_id") + F.col("_shift"))
-        .drop("_file", "_start", "_id", "_shift")
+        .drop(_LINE, "_file", "_start", "_id", "_shift")
     )
 
 

@@ -419,6 +419,10 @@ def _build() -> dict[str, str]:
         f"FROM rules WHERE {known} UNION ALL "
         "SELECT 'prices_db', seq, customer_name, item_code, price_level_name, NULL, price FROM prices_db",
     )
+    o["reference_tables_enforced"] = (
+        f"{o['reference_tables']} WHERE {known} AND item_code IN (SELECT item_code FROM items_db) "
+        "AND price_level_name IN (SELECT price_level_name FROM price_levels_db)"
+    )
     o["load_rules"] = _with(
         store,
         f"SELECT rule_id, customer_name, county, type, price_level_name FROM rules WHERE {known} UNION ALL "
@@ -431,6 +435,14 @@ def _build() -> dict[str, str]:
         "SELECT customer, item, location, state, county, type, units, billing_date, count(*) AS n_lines "
         "FROM billing GROUP BY ALL",
     )
+    o["scan_billing_rejects"] = _with(
+        billing,
+        "SELECT item, reject_reason, count(*) AS n_lines, "
+        "sum(CASE WHEN reject_reason IS NULL THEN units END) AS units "
+        "FROM (SELECT item, units, CASE right(item, 1) WHEN '5' THEN 'fields' WHEN '6' THEN 'fields' "
+        "WHEN '7' THEN 'units' WHEN '8' THEN 'billing_date' END AS reject_reason FROM billing) "
+        "GROUP BY ALL",
+    )
     o["scan_rules"] = _with(
         with_clause("rules"),
         "SELECT row_number() OVER (ORDER BY rule_id) AS rule_id, customer_name, county, type, "

@@ -388,6 +388,24 @@ def _table_contents(star: Star, location: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+@query
+def reference_tables_enforced(star: Star) -> DataFrame:
+    """Build the store with all foreign keys checked, from seeds without orphans."""
+    seeds = _seeds(star)
+    for child, column, parent, key in (
+        ("price_level_rules", "customer_name", "customers_db", "customer_name"),
+        ("prices_db", "customer_name", "customers_db", "customer_name"),
+        ("prices_db", "item_code", "items_db", "item_code"),
+        ("prices_db", "price_level_name", "price_levels_db", "price_level_name"),
+    ):
+        stored = seeds[parent].dropna(subset=refdata.REQUIRED[parent])
+        known = stored.select(F.col(key).alias(column)).distinct()
+        seeds[child] = seeds[child].join(known, column, "left_semi")
+    location = shared_dir(star.spark)
+    refdata.build_reference_store(star.spark, location, seeds)
+    return _table_contents(star, location)
+
+
 @query
 def load_rules(star: Star) -> DataFrame:
     """Append a batch of rules to a store that has some, and read the table."""
@@ -410,6 +428,35 @@ def scan_billing(star: Star) -> DataFrame:
     return lines.groupBy(*lines.columns).agg(F.count("*").alias("n_lines"))
 
 
+@query
+def scan_billing_rejects(star: Star) -> DataFrame:
+    """Lines as CSV, some of them broken; kept and rejected ones are counted by reason."""
+    path, rejects = shared_dir(star.spark), shared_dir(star.spark)
+    header = {inner: outer for outer, inner in schemas.BILLING_HEADER.items()}
+    texts = {c: F.col(c).cast("string") for c in header}
+    texts["units"] = F.expr("CASE WHEN item LIKE '%7' THEN 'seven' ELSE CAST(units AS STRING) END")
+    texts["billing_date"] = F.expr(
+        "CASE WHEN item LIKE '%8' THEN 'soon' ELSE CAST(billing_date AS STRING) END"
+    )
+    whole, cut = (
+        F.to_csv(F.struct(*(texts[c].alias(c) for c in names)), {"escape": '"'})
+        for names in (list(header), list(header)[:4])
+    )
+    line = F.when(F.col("item").endswith("5"), F.concat(whole, F.lit(",more")))
+    line = line.when(F.col("item").endswith("6"), cut).otherwise(whole)
+    # One column whose name is the header; the separator and quote occur nowhere in it.
+    star.billing.select(line.alias(",".join(header.values()))).write.options(
+        header=True, sep="\x01", quote="\x02", escape="\x03"
+    ).csv(path)
+    kept = csvfiles.read_billing(star.spark, path, rejects=rejects)
+    lost = csvfiles.read_rejects(star.spark, rejects)
+    both = kept.select("item", "units", F.lit(None).cast("string").alias("reject_reason"))
+    both = both.unionByName(lost.select("item", F.lit(None).cast("double").alias("units"), "reject_reason"))
+    return both.groupBy("item", "reject_reason").agg(
+        F.count("*").alias("n_lines"), F.sum("units").alias("units")
+    )
+
+
 @query
 def scan_rules(star: Star) -> DataFrame:
     """Write the rules in priority order as CSV; their positions come back as ids."""

@@ -78,6 +78,58 @@ def test_unreadable_numbers_are_rejected_not_zero(spark, tmp_path):
     assert rows(kept.filter("units >= 0"), "customer") == [("C",)]
 
 
+def _fails(run, *words):
+    try:
+        run()
+    except Exception as error:
+        assert all(word in str(error) for word in words), str(error)[:2000]
+    else:
+        raise AssertionError("no error")
+
+
+GOOD = "C,1,P,CA,X,A,1,2026-05-01\n"
+
+
+def test_short_and_long_lines_are_rejected(spark, tmp_path):
+    path = put(
+        tmp_path / "b.csv",
+        HEADER + "S,1,P,CA\nL,1,P,CA,X,A,1,2026-05-01,more\nU,1,P,CA,X,A,zz,2026-05-01\n" + GOOD,
+    )
+    folder = str(tmp_path / "rejects")
+    kept = csvfiles.read_billing(spark, path, rejects=folder)
+    assert rows(kept, "customer", "units") == [("C", 1.0)]
+    assert rows(csvfiles.read_rejects(spark, folder), "customer", "reject_reason", "raw_line") == [
+        ("L", "fields", "L,1,P,CA,X,A,1,2026-05-01,more"),
+        ("S", "fields", "S,1,P,CA"),
+        ("U", "units", None),
+    ]
+
+
+def test_a_rejected_line_fails_a_read_without_rejects(spark, tmp_path):
+    for n, line in enumerate(["S,1,P,CA\n", "L,1,P,CA,X,A,1,2026-05-01,more\n", "U,1,P,CA,X,A,z,\n"]):
+        path = put(tmp_path / f"{n}.csv", HEADER + line + GOOD)
+        lines = csvfiles.read_billing(spark, path)
+        _fails(lambda: lines.select("customer").collect(), "billing line rejected")
+
+
+def test_no_rejects_and_no_lines(spark, tmp_path):
+    for n, lines in enumerate(["", GOOD]):
+        path, folder = put(tmp_path / f"{n}.csv", HEADER + lines), str(tmp_path / f"r{n}")
+        assert csvfiles.read_billing(spark, path, rejects=folder).count() == n
+
+
+def test_files_with_other_column_order_fail(spark, tmp_path):
+    put(tmp_path / "b" / "1.csv", HEADER + GOOD)
+    put(tmp_path / "b" / "2.csv", HEADER.replace("Customer,Item", "Item,Customer") + GOOD)
+    _fails(csvfiles.read_billing(spark, str(tmp_path / "b")).collect, "header")
+
+
+def test_rules_with_broken_lines_fail(spark, tmp_path):
+    for n, line in enumerate(["C,ANY,ANY\n", "C,ANY,ANY,L,more\n"]):
+        path = put(tmp_path / f"{n}.csv", "Customer,County,Type,Price_Level_Name\n" + line)
+        _fails(lambda: csvfiles.read_rules(spark, path).collect(), "MALFORMED")
+
+
 def test_quoted_line_breaks(spark, tmp_path):
     path = put(tmp_path / "b.csv", HEADER + '"A\nB",1,P,CA,X,A,1,2026-05-01\n')
     row = csvfiles.read_billing(spark, path, multi_line=True).first()
@@ -166,6 +218,8 @@ def test_command_line(spark, tmp_path, capsys):
     run("check", "--store", store)
     run("sheet", "--store", store, "--billing", billing, "--out", tmp_path / "sheet")
     assert "1 lines with unreadable" in capsys.readouterr().out
+    lost = csvfiles.read_rejects(spark, f"{tmp_path}/sheet-rejects")
+    assert rows(lost, "units", "reject_reason") == [("oops", "units")]
     assert text_of(tmp_path / "sheet") == [
         ",".join(schemas.SHEET_HEADER.values()),
         "0526-J,5/31/2026,Johnson-Clark,1001,1,YES,1.0,Base Price,NS-CUST-9902,NS-ITEM-101,"
