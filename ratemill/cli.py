@@ -66,11 +66,13 @@ def _options(args: argparse.Namespace) -> plans.SheetOptions:
     return plans.SheetOptions(**{k: v for k, v in given.items() if v is not None})
 
 
-def _billing(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+def _billing(
+    spark: SparkSession, args: argparse.Namespace, numbered: bool = False
+) -> DataFrame:
     if args.billing.rstrip("/").endswith(".parquet"):
         return csvfiles.read_billing_parquet(spark, args.billing)
     rejects = args.rejects or f"{args.out.rstrip('/')}-rejects"
-    lines = csvfiles.read_billing(spark, args.billing, rejects=rejects)
+    lines = csvfiles.read_billing(spark, args.billing, rejects=rejects, numbered=numbered)
     rejected = csvfiles.read_rejects(spark, rejects).count()
     if rejected:
         print(f"{rejected} lines with unreadable fields, units or dates are in {rejects}")
@@ -126,7 +128,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         csvfiles.write_csv(plans.in_sheet_order(sheet), args.out, schemas.PROTOTYPE_HEADER)
     elif args.command == "rated-lines":
         rules = csvfiles.read_rules(spark, args.rules)
-        lines = plans.rated_lines(_billing(spark, args), rules, _options(args))
+        lines = plans.rated_lines(_billing(spark, args, numbered=True), rules, _options(args))
+        if csvfiles.LINE_NUMBER in lines.columns:
+            lines = lines.orderBy(csvfiles.LINE_NUMBER)
         csvfiles.write_csv(lines, args.out, schemas.RATED_HEADER)
     else:
         clients = synth.client_map(spark.range(args.clients))

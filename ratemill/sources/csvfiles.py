@@ -37,6 +37,9 @@ MISSING_TEXTS = [
 #: The raw text of a line with more or fewer fields than the header, else NULL.
 _LINE = "_line"
 
+#: The position of a billing line over all files, from 1, rejected lines counted.
+LINE_NUMBER = "line_number"
+
 
 def _read_text(
     spark: SparkSession, path: str, header: dict[str, str], multi_line: bool, strict: bool = True
@@ -83,6 +86,10 @@ def read_billing_text(spark: SparkSession, path: str, multi_line: bool = False)
     A line is rejected if its number of fields is not the header's, or if its
     units or date are there but cannot be read. ``raw_line`` is the text of the former.
     """
+    return _billing_text(spark, path, multi_line).drop("_file", "_start")
+
+
+def _billing_text(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
     text = _read_text(spark, path, BILLING_HEADER, multi_line, strict=False)
     reason = F.when(F.col(_LINE).isNotNull(), "fields")
     for field in BILLING:
@@ -91,7 +98,11 @@ def read_billing_text(spark: SparkSession, path: str, multi_line: bool = False)
             unreadable = value.isNotNull() & value.try_cast(field.dataType).isNull()
             reason = reason.when(unreadable, field.name)
     return text.select(
-        *BILLING_HEADER.values(), reason.alias("reject_reason"), F.col(_LINE).alias("raw_line")
+        *BILLING_HEADER.values(),
+        reason.alias("reject_reason"),
+        F.col(_LINE).alias("raw_line"),
+        "_file",
+        "_start",
     )
 
 
@@ -101,7 +112,10 @@ def typed_billing(text: DataFrame) -> DataFrame:
 
 
 def _typed(text: DataFrame) -> DataFrame:
-    return text.select(*(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in BILLING))
+    number = [LINE_NUMBER] if LINE_NUMBER in text.columns else []
+    return text.select(
+        *number, *(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in BILLING)
+    )
 
 
 def rejected_billing(text: DataFrame) -> DataFrame:
@@ -110,28 +124,36 @@ def rejected_billing(text: DataFrame) -> DataFrame:
 
 
 def read_billing(
-    spark: SparkSession, path: str, multi_line: bool = False, rejects: str | None = None
+    spark: SparkSession,
+    path: str,
+    multi_line: bool = False,
+    rejects: str | None = None,
+    numbered: bool = False,
 ) -> DataFrame:
     """Billing lines from CSV with a header.
 
     A line that cannot be read fails the job, unless ``rejects`` names a folder:
     then such lines are written there as CSV, with reason and raw text, and the others
     are returned. The files are parsed once, into the shared folder, for both.
+    With ``numbered`` the lines have their ``line_number`` in file order.
 
     ``multi_line`` is needed only for quoted line breaks; such files cannot be
     split between tasks.
     """
-    text = read_billing_text(spark, path, multi_line)
+    text = _billing_text(spark, path, multi_line)
     reason = F.col("reject_reason")
     if rejects is None:
-        found = F.concat_ws(" ", F.lit("billing line rejected:"), reason, *text.columns)
-        failed = F.raise_error(found).cast("boolean")
-        return _typed(text.filter(F.when(reason.isNotNull(), failed).otherwise(True)))
+        found = F.concat_ws(" ", F.lit("billing line rejected:"), reason, *BILLING_HEADER.values())
+        failed = F.raise_error(F.concat_ws(" ", found, "raw_line")).cast("boolean")
+        good = text.filter(F.when(reason.isNotNull(), failed).otherwise(True))
+        return _typed(number_in_file_order(good, LINE_NUMBER) if numbered else good)
     routed = shared_dir(spark)
-    rows = text.withColumn("rejected", reason.isNotNull())
+    rows = text.withColumns({"rejected": reason.isNotNull(), "_id": F.monotonically_increasing_id()})
     rows.write.partitionBy("rejected").parquet(routed)
     saved = spark.read.schema(rows.schema).parquet(routed)
     write_csv(rejected_billing(saved.filter("rejected")), rejects, REJECTS_HEADER)
+    if numbered:
+        saved = _numbered(saved, LINE_NUMBER)
     return _typed(saved.filter("NOT rejected"))
 
 
@@ -177,7 +199,13 @@ def number_in_file_order(rows: DataFrame, as_name: str) -> DataFrame:
     Splits depend on the cores at hand, which may change between two reads,
     so the rows are saved with their split before they are counted.
     """
-    numbered = checkpointed(rows.withColumn("_id", F.monotonically_increasing_id()))
+    return _numbered(
+        checkpointed(rows.withColumn("_id", F.monotonically_increasing_id())), as_name
+    )
+
+
+def _numbered(numbered: DataFrame, as_name: str) -> DataFrame:
+    """Positions from saved rows that have their split and the id they were given in it."""
     splits = numbered.groupBy("_file", "_start").agg(
         F.count("*").alias("_rows"), F.min("_id").alias("_first")
     )

@@ -124,6 +124,32 @@ def test_files_with_other_column_order_fail(spark, tmp_path):
     _fails(csvfiles.read_billing(spark, str(tmp_path / "b")).collect, "header")
 
 
+def test_rated_lines_keep_the_order_of_the_files(spark, tmp_path):
+    """Several files and splits; rejected lines are counted in the numbers."""
+    total = 0
+    for name, size in (("a", 100), ("b", 900)):
+        numbers = range(total, total + size)
+        total += size
+        lines = [f"C{n},{n},P,CA,X,A,{'oops' if n % 50 == 7 else 1},2026-05-01\n" for n in numbers]
+        put(tmp_path / "b" / f"{name}.csv", HEADER + "".join(lines))
+    rules = put(tmp_path / "r.csv", "Customer,County,Type,Price_Level_Name\nDEFAULT,ANY,ANY,L\n")
+    good = [n for n in range(total) if n % 50 != 7]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        kept = csvfiles.read_billing(
+            spark, str(tmp_path / "b"), rejects=str(tmp_path / "lost"), numbered=True
+        )
+        assert sorted((r.line_number, r.item) for r in kept.collect()) == [
+            (n + 1, str(n)) for n in good
+        ]
+        argv = ["rated-lines", "--rules", rules, "--billing", tmp_path / "b", "--out", tmp_path / "o"]
+        cli.main([str(a) for a in argv], spark)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [line.split(",")[1] for line in text_of(tmp_path / "o")[1:]] == [str(n) for n in good]
+
+
 def test_rules_with_broken_lines_fail(spark, tmp_path):
     for n, line in enumerate(["C,ANY,ANY\n", "C,ANY,ANY,L,more\n"]):
         path = put(tmp_path / f"{n}.csv", "Customer,County,Type,Price_Level_Name\n" + line)
