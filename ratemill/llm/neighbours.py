@@ -8,6 +8,11 @@ a bucket holds about ``per_bucket`` of them at every size. A query looks into th
 buckets of its next-nearest axes too, best first, and what it meets is ranked by
 exact cosine in double precision.
 
+How many buckets a query looks into follows from the vectors at hand: for a bounded
+sample of queries of each length the true neighbours are found by comparing with every
+vector, and ``probes`` is doubled until the sample's queries meet the share ``recall`` of
+them, at the latest when they look into every bucket.
+
 Equal vectors are one class with its rows' ids; as ties go to the smaller id, the six
 smallest ids of a class are all that five neighbours can need. Buckets above
 ``piece_rows`` are cut into pieces, and their queries visit every piece, so a dense
@@ -21,8 +26,9 @@ empty table has no neighbours. Extra columns are not read.
 
 from __future__ import annotations
 
+import math
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -72,36 +78,63 @@ def hash_widths(width: int, rows: int, per_bucket: int) -> list[int]:
 def buckets(vectors: np.ndarray, table: int, widths: list[int], probes: int) -> np.ndarray:
     """(n, probes) bucket numbers of a table, nearest first; -1 where there are fewer."""
     unit = _unit(vectors)
-    axes, costs = [], []
     few = max(2, int(np.ceil(probes ** (1 / len(widths)))) + 1) if probes > 1 else 1
+    number, cost = np.zeros((len(unit), 1), np.int64), np.zeros((len(unit), 1))
     for level, width in enumerate(widths):
         turned = _rotated(unit, [table, level, unit.shape[1]])[:, :width]
         both = np.concatenate([turned, -turned], axis=1)
         most = min(2 * width, probes if len(widths) == 1 else few * 2)
+        if probes >= every_bucket(widths):
+            most = 2 * width
         order = np.argsort(-both, axis=1, kind="stable")[:, :most]
         value = np.take_along_axis(both, order, axis=1)
-        axes.append(order)
-        costs.append((value[:, :1] - value) ** 2)
-    combined = list(product(*(range(a.shape[1]) for a in axes)))
-    cost = np.stack([sum(c[:, i] for c, i in zip(costs, at)) for at in combined], axis=1)
-    number = np.zeros((len(unit), len(combined)), np.int64)
-    for a, width, at in zip(axes, widths, np.array(combined).T):
-        number = number * (2 * width) + a[:, at]
-    best = np.argsort(cost, axis=1, kind="stable")[:, :probes]
-    return np.take_along_axis(number, best, axis=1)
+        # The best of all levels start with the best of the levels so far.
+        number = (number[:, :, None] * (2 * width) + order[:, None, :]).reshape(len(unit), -1)
+        cost = (cost[:, :, None] + ((value[:, :1] - value) ** 2)[:, None, :]).reshape(len(unit), -1)
+        best = np.argsort(cost, axis=1, kind="stable")[:, :probes]
+        number = np.take_along_axis(number, best, axis=1)
+        cost = np.take_along_axis(cost, best, axis=1)
+    return number
+
+
+def every_bucket(widths: list[int]) -> int:
+    return math.prod(2 * width for width in widths)
+
+
+def probes_for(
+    queries: np.ndarray, members: np.ndarray, tables: int, widths: list[int], least: int, recall: float
+) -> int:
+    """Probes, doubled from ``least``, with which queries meet that share of their members."""
+    probes, every = least, every_bucket(widths)
+    while probes < every and len(queries):
+        met = np.zeros(len(queries), bool)
+        for at in _few_rows(len(queries), probes):
+            for table in range(tables):
+                looked = buckets(queries[at], table, widths, probes)
+                met[at] |= (looked == buckets(members[at], table, widths, 1)).any(axis=1)
+        if met.mean() >= recall:
+            break
+        probes *= 2
+    return min(probes, max(every, least))
+
+
+def _few_rows(rows: int, probes: int) -> Iterator[slice]:
+    """Slices of rows whose probes fit the memory together."""
+    step = max(1, (1 << 17) // probes)
+    return (slice(at, at + step) for at in range(0, rows, step))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
     return np.array(column.to_pylist(), np.float64)
 
 
-def _hashed(batches: Iterator[pa.RecordBatch], tables: int, sizes: dict, probes: int):
+def _hashed(batches: Iterator[pa.RecordBatch], tables: int, sizes: dict, probes: dict):
     for batch in batches:
-        for part in _by_length(batch):
+        for part in _pieces(batch, probes):
             vectors = _matrix(part.column("vector"))
             length = vectors.shape[1]
             for table in range(tables):
-                found = buckets(vectors, table, sizes[length], probes)
+                found = buckets(vectors, table, sizes[length], probes.get(length, 1))
                 row = np.repeat(np.arange(len(found)), found.shape[1])
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -120,6 +153,90 @@ def _by_length(batch: pa.RecordBatch):
         yield batch.take(pa.array(np.flatnonzero(lengths == length)))
 
 
+def _pieces(batch: pa.RecordBatch, probes: dict):
+    for part in _by_length(batch):
+        for at in _few_rows(part.num_rows, probes.get(len(part.column("vector")[0]), 1)):
+            yield part.slice(at.start, at.stop - at.start)
+
+
+def _compared(batches: Iterator[pa.RecordBatch], samples: dict, most: int):
+    """Per task: the nearest other vectors to each sampled query, of all vectors."""
+    best: dict[int, tuple] = {}
+    for batch in batches:
+        for part in _by_length(batch):
+            vectors = _matrix(part.column("vector"))
+            length = vectors.shape[1]
+            if length not in samples:
+                continue
+            keys, unit = samples[length]
+            scores = unit @ _unit(vectors).T
+            scores[np.array(keys)[:, None] == np.array(part.column("k").to_pylist())] = -np.inf
+            vectors = np.broadcast_to(vectors, (len(keys), *vectors.shape))
+            if length in best:
+                scores = np.concatenate([best[length][0], scores], axis=1)
+                vectors = np.concatenate([best[length][1], vectors], axis=1)
+            top = np.argsort(-scores, axis=1, kind="stable")[:, :most]
+            best[length] = (
+                np.take_along_axis(scores, top, axis=1),
+                np.take_along_axis(vectors, top[:, :, None], axis=1),
+            )
+    for length, (scores, vectors) in best.items():
+        at, place = np.nonzero(np.isfinite(scores))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(len(at), length, np.int64)),
+                pa.array(at),
+                pa.array(scores[at, place]),
+                pa.array(list(vectors[at, place]), pa.list_(pa.float64())),
+            ],
+            names=["length", "at", "score", "vector"],
+        )
+
+
+def _probes(
+    classes: DataFrame, asked: DataFrame, sizes: dict, neighbours: int, tables: int, least: int,
+    recall: float, sample: int,
+) -> dict[int, int]:
+    """Probes by vector length, from true neighbours of ``sample`` queries of each length."""
+    partial = [n for n, widths in sizes.items() if every_bucket(widths) > least]
+    probes = dict.fromkeys(sizes, least)
+    if not partial:
+        return probes
+    # Spark keeps the first rows of each length per task before it shuffles them.
+    by_hash = Window.partitionBy("length").orderBy(F.xxhash64("k", F.lit(3)), "k")
+    drawn = (
+        asked.withColumn("length", F.size("vector"))
+        .where(F.col("length").isin(partial))
+        .withColumn("place", F.row_number().over(by_hash))
+        .where(F.col("place") <= sample)
+        .orderBy("length", "place")
+        .collect()
+    )
+    vectors: dict[int, list] = defaultdict(list)
+    keys: dict[int, list] = defaultdict(list)
+    for row in drawn:
+        vectors[row["length"]].append(row["vector"])
+        keys[row["length"]].append(row["k"])
+    samples = {n: (keys[n], _unit(np.array(vectors[n], np.float64))) for n in vectors}
+    near = classes.select("k", "vector").mapInArrow(
+        lambda batches: _compared(batches, samples, neighbours),
+        "length long, at long, score double, vector array<double>",
+    )
+    by_score = Window.partitionBy("length", "at").orderBy(F.desc("score"), "vector")
+    pairs = defaultdict(list)
+    for row in (
+        near.withColumn("place", F.row_number().over(by_score))
+        .where(F.col("place") <= neighbours)
+        .collect()
+    ):
+        pairs[row["length"]].append((row["at"], row["vector"]))
+    for length, found in pairs.items():
+        asking = np.array([vectors[length][at] for at, _ in found], np.float64)
+        members = np.array([vector for _, vector in found], np.float64)
+        probes[length] = probes_for(asking, members, tables, sizes[length], least, recall)
+    return probes
+
+
 def _best(queries: pa.Table, members: pa.Table, most: int) -> pa.Table:
     """The nearest rows to each query among the members of a bucket piece."""
     out: list[tuple] = []
@@ -157,10 +274,14 @@ def nearest(
     probes: int = 16,
     per_bucket: int = 128,
     piece_rows: int = 4096,
+    recall: float = 0.95,
+    sample: int = 256,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: for each query row (vec_id, embedding) its nearest other rows.
 
-    ``is_query`` is a condition on vec_id. One row per vector length reaches the driver.
+    ``is_query`` is a condition on vec_id; ``probes`` is the least number of buckets of a table
+    that a query looks into. Of each vector length one row, ``sample`` queries and their
+    neighbours reach the driver.
     """
     usable = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
     usable = usable.where(F.coalesce(_usable(F.col("vector")), F.lit(False)) & F.col("vec_id").isNotNull())
@@ -194,9 +315,10 @@ def nearest(
     key = ["length", "table", "bucket"]
     fields = "length long, table long, bucket long, k string, vector array<double>"
     index = stored(
-        classes.mapInArrow(lambda b: _hashed(b, tables, sizes, 1), f"{fields}, ids array<long>, rows array<long>")
+        classes.mapInArrow(lambda b: _hashed(b, tables, sizes, {}), f"{fields}, ids array<long>, rows array<long>")
     )
-    seen = asked.mapInArrow(lambda b: _hashed(b, tables, sizes, probes), fields)
+    looked = _probes(classes, asked, sizes, neighbours, tables, probes, recall, sample)
+    seen = asked.mapInArrow(lambda b: _hashed(b, tables, sizes, looked), fields)
     large = index.groupBy(*key).agg(F.count("*").alias("n")).select(
         *key, F.ceil(F.col("n") / piece_rows).cast("int").alias("pieces")
     )

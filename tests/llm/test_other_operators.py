@@ -170,6 +170,23 @@ def test_neighbours_recall(spark):
     assert all(got[x] == pytest.approx(expected[x], abs=1e-14) for x in hits)
 
 
+def test_neighbours_recall_with_many_buckets(spark):
+    """8,000 vectors in 4,096 buckets: a query has to look into more of them."""
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(8000, 64))
+    vectors /= np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
+    df = spark.createDataFrame(
+        [(i, v) for i, v in enumerate(vectors.tolist())], "vec_id long, embedding array<double>"
+    )
+    found = neighbours.nearest(df, F.col("vec_id") % 50 == 0, per_bucket=2).collect()
+    scores = vectors[::50] @ vectors.T
+    scores[np.arange(160), np.arange(0, 8000, 50)] = -1
+    expected = {
+        (50 * i, j) for i, row in enumerate(np.argsort(-scores)[:, :5].tolist()) for j in row
+    }
+    assert len({(r["query_id"], r["vec_id"]) for r in found} & expected) >= 0.9 * len(expected)
+
+
 def test_buckets_follow_the_rows():
     assert neighbours.hash_widths(64, 100, 128) == [1]
     assert neighbours.hash_widths(64, 128 * 128, 128) == [64]
