@@ -66,6 +66,19 @@ def test_quality_separates_labels(spark):
     assert kept.where("kept").count() >= 0.97 * kept.count()
 
 
+def test_quality_on_labels_that_were_not_fitted(spark):
+    """Of labels the model has not seen, junk goes and clean documents stay."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    model = quality.fit(docs, labels.where("doc_id % 4 != 0"))
+    judged = quality.score(docs, model).where("NOT base_failed")
+    rows = judged.join(labels.where("doc_id % 4 = 0"), "doc_id").collect()
+    junk = [r["kept"] for r in rows if r["quality"] == 0]
+    clean = [r["kept"] for r in rows if r["quality"] == 1 and r["toxic"] == 0]
+    assert len(junk) > 50 and sum(junk) <= 0.03 * len(junk)
+    assert len(clean) > 500 and sum(clean) >= 0.99 * len(clean)
+
+
 def test_quality_filter_keeps_columns_and_nulls(odd, model):
     kept = quality.filter_documents(odd, model)
     assert kept.schema == odd.schema
