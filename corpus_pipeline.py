@@ -22,12 +22,12 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SimHash near-duplicates: of each group the document with the smallest id stays."""
-    found = simhash.near_duplicates(docs, shingle=4, max_bits=4)
-    first = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").select(*docs.columns)
-    # Rows that repeat an id are repeats of a row; one stays.
-    return kept if simhash.ids_are_unique(found) else kept.dropDuplicates(["doc_id"])
+    """SimHash near-duplicates: of each group the row with the smallest id stays.
+
+    NULL ids come last, so a group without any id keeps a row too. Rows that repeat an
+    id are rows of their own: different texts under one id all stay.
+    """
+    return simhash.one_of_each(docs, shingle=4, max_bits=4)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

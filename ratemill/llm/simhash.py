@@ -135,8 +135,9 @@ def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[p
         prints = np.array(
             [fingerprint(t, shingle) for t in utf8(batch.column("text"))], np.uint64
         )
+        others = batch.drop_columns(["text"])
         yield pa.record_batch(
-            [batch.column("doc_id"), prints.view(np.int64)], ["doc_id", "fingerprint"]
+            [*others.columns, prints.view(np.int64)], [*others.schema.names, "fingerprint"]
         )
 
 
@@ -227,6 +228,15 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     )
 
 
+def _rooted(nodes: DataFrame, max_bits: int) -> DataFrame:
+    """``nodes`` (fingerprint and others) with the root of each one's component."""
+    roots = components(near_links(nodes, max_bits))
+    labelled = nodes.join(
+        roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left"
+    ).withColumn("root", F.coalesce("root", "fingerprint"))
+    return stored(labelled)
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, fingerprint (long) and component_id of every row of ``docs`` (doc_id, text)."""
     marked = stored(
@@ -235,19 +245,30 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = MAX_BITS)
         )
     )
     nodes = stored(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")))
-    roots = components(near_links(nodes, max_bits))
-    labelled = nodes.join(
-        roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left"
-    ).withColumn("root", F.coalesce("root", "fingerprint"))
-    labelled = stored(labelled)
+    labelled = _rooted(nodes, max_bits)
     least = labelled.groupBy("root").agg(F.min("first_id").alias("component_id"))
     found = labelled.join(least, "root").select("fingerprint", "component_id")
     return marked.join(found, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
-def hex_digits(column):
-    return F.lpad(F.lower(F.hex(column)), 16, "0")
+def one_of_each(docs: DataFrame, shingle: int = 4, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row of ``docs`` per component, with all its columns.
+
+    It is the row with the smallest id; NULL ids come last, and of rows with the same id the
+    first of the table comes first. Components are told apart by their fingerprints, so
+    an id that stands in several of them keeps a row in each.
+    """
+    numbered = stored(docs.withColumn("simhash_row", F.monotonically_increasing_id()))
+    marked = numbered.select("doc_id", "simhash_row", "text").mapInArrow(
+        lambda batches: _fingerprints(batches, shingle),
+        "doc_id long, simhash_row long, fingerprint long",
+    )
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "simhash_row"))
+    nodes = stored(marked.groupBy("fingerprint").agg(first.alias("first")))
+    kept = _rooted(nodes, max_bits).groupBy("root").agg(F.min("first").alias("first"))
+    kept = kept.select(F.col("first.simhash_row").alias("simhash_row"))
+    return numbered.join(kept, "simhash_row", "left_semi").select(*docs.columns)
 
 
-def ids_are_unique(found: DataFrame) -> bool:
-    return found.groupBy("doc_id").count().where("count > 1").isEmpty()
+def hex_digits(column):
+    return F.lpad(F.lower(F.hex(column)), 16, "0")

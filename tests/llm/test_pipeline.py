@@ -50,6 +50,25 @@ def test_stages(spark, sample):
         assert r["n_tokens"] == len(r["token_ids"])
 
 
+def test_distinct_documents_without_or_with_repeated_ids(spark):
+    """Long texts with NULL ids and different texts under one id stay, one row a group."""
+    text = lambda n: " ".join(f"word{n}x{i}" for i in range(200))
+    rows = [
+        (None, text(1)),  # alone, without an id
+        (None, text(2)), (None, text(2)),  # a group without any id
+        (None, text(3)), (4, text(3)),  # one of the group has an id
+        (5, text(5)), (5, text(6)),  # different texts under one id
+        (7, text(7)), (7, text(7)),  # a repeated row
+        (8, text(8)), (9, text(8)), (9, text(9)),  # the larger id stands for another text too
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = corpus_pipeline.distinct_documents(spark, docs, SF)
+    assert kept.schema == docs.schema
+    expected = [(None, 1), (None, 2), (4, 3), (5, 5), (5, 6), (7, 7), (8, 8), (9, 9)]
+    found = sorted((r["text"], r["doc_id"]) for r in kept.collect())
+    assert found == sorted((text(n), i) for i, n in expected)
+
+
 def test_run_is_its_stages(spark, sample):
     docs = sample
     for _, stage in corpus_pipeline.STAGES:
