@@ -3,8 +3,9 @@
 One SQL text per view, read by Spark and by DuckDB alike: the views are the
 input of the queries, not what is tested. The billing view reads whole tables;
 its CASEs put odd spellings, missing values and wildcard texts into some lines,
-chosen by column values, and drop none. The reference tables have gaps on purpose:
-fallbacks, lookups and orphan checks are about them.
+chosen by column values, and drop none. The reference tables drop none either: their gaps,
+which fallbacks, lookups and orphan checks are about, are keys under `NO-` that match nothing. Item
+numbers are compared by their digits alone, so theirs is one that no part has.
 """
 
 from __future__ import annotations
@@ -91,20 +92,23 @@ VIEWS = {
         SELECT CAST(r_regionkey AS BIGINT) + 1, 'DEFAULT', r_name, 'A', r_name || '-A'
         FROM {region}
         UNION ALL
-        SELECT CAST(r_regionkey AS BIGINT) + 11, 'Default.', r_name, 'ANY', r_name
-        FROM {region} WHERE r_name <> 'ASIA'
+        SELECT CAST(r_regionkey AS BIGINT) + 11, 'Default.',
+               CASE WHEN r_name = 'ASIA' THEN 'NO-' || r_name ELSE r_name END, 'ANY', r_name
+        FROM {region}
         UNION ALL
-        SELECT DISTINCT 1000000000000 + ascii(l_returnflag), 'DEFAULT', 'ANY', l_returnflag,
+        SELECT DISTINCT 1000000000000 + ascii(l_returnflag), 'DEFAULT', 'ANY',
+               CASE WHEN l_returnflag = 'N' THEN 'NO-' || l_returnflag ELSE l_returnflag END,
                'ALL-' || l_returnflag
-        FROM {lineitem} WHERE l_returnflag <> 'N'
+        FROM {lineitem}
         UNION ALL
         SELECT 2000000000000, 'DEFAULT', 'ANY', 'ANY', 'Base Price'
     """,
-    # Some clients lack an id; some stand twice, under another spelling.
+    # Some clients stand under a key that matches nothing; some twice, under another spelling.
     "customers_db": """
-        SELECT c_custkey * 2 AS seq, name AS customer_name,
+        SELECT c_custkey * 2 AS seq,
+               CASE WHEN c_acctbal >= 0 THEN name ELSE 'NO-' || name END AS customer_name,
                'CUST-' || CAST(c_custkey AS STRING) AS netsuite_id
-        FROM {client} WHERE c_acctbal >= 0
+        FROM {client}
         UNION ALL
         SELECT c_custkey * 2 + 1, upper(name), 'DUP-' || CAST(c_custkey AS STRING)
         FROM {client} WHERE segment = 'HOUSEHOLD'
@@ -115,33 +119,37 @@ VIEWS = {
         SELECT p_partkey * 2 AS seq,
                CASE p_type WHEN 'ECONOMY' THEN '0' || CAST(p_partkey AS STRING) || '.0'
                            WHEN 'LARGE' THEN 'IT-' || CAST(p_partkey AS STRING)
+                           WHEN 'PROMO' THEN 'NO-' || CAST(p_partkey + 1000000000000 AS STRING)
                            ELSE CAST(p_partkey AS STRING) END AS item_code,
                'ITEM-' || CAST(p_partkey AS STRING) AS netsuite_internal_id,
                p_size AS line_order
-        FROM {part} WHERE p_type <> 'PROMO'
+        FROM {part}
         UNION ALL
         SELECT p_partkey * 2 + 1, CAST(p_partkey AS STRING) || '.0',
                'DUP-' || CAST(p_partkey AS STRING), p_size + 100
         FROM {part} WHERE p_type = 'SMALL'
     """,
     "price_levels_db": """
-        SELECT c_custkey AS seq, 'FLAT-' || CAST(c_custkey AS STRING) AS price_level_name,
+        SELECT c_custkey AS seq,
+               CASE WHEN segment = 'BUILDING' THEN 'FLAT-' ELSE 'NO-FLAT-' END
+                 || CAST(c_custkey AS STRING) AS price_level_name,
                'PL-' || CAST(c_custkey AS STRING) AS netsuite_internal_id_pl
-        FROM {client} WHERE segment = 'BUILDING'
+        FROM {client}
         UNION ALL
         SELECT CAST(-1 AS BIGINT), 'Base Price', 'PL-BASE'
     """,
-    # Prices of what flat-rate clients bought; medium parts are priced twice,
-    # under codes and levels that are equal only after normalising.
+    # Prices of what clients bought, at a level that matches nothing unless they have a flat
+    # rate and the part is small enough; medium parts are priced twice, under codes and
+    # levels that are equal only after normalising.
     "prices_db": """
         SELECT c_custkey * 10000000 + l_partkey * 2 AS seq, name AS customer_name,
                CAST(l_partkey AS STRING) AS item_code,
-               'FLAT-' || CAST(c_custkey AS STRING) AS price_level_name, price
+               level AS price_level_name, price
         FROM {sold}
         UNION ALL
         SELECT c_custkey * 10000000 + l_partkey * 2 + 1, name,
                '0' || CAST(l_partkey AS STRING),
-               ' FLAT-' || CAST(c_custkey AS STRING) || ' ', price + 1
+               ' ' || level || ' ', price + 1
         FROM {sold} WHERE p_type = 'MEDIUM'
         UNION ALL
         SELECT CAST(-1 AS BIGINT) - p_partkey, 'DEFAULT', CAST(p_partkey AS STRING),
@@ -150,12 +158,13 @@ VIEWS = {
     """,
     "sold": f"""
         SELECT DISTINCT c_custkey, {_NAME} AS name, l_partkey, p_type,
-               round(p_retailprice, 2) AS price
+               round(p_retailprice, 2) AS price,
+               CASE WHEN c_mktsegment = 'BUILDING' AND p_size <= 40 THEN 'FLAT-'
+                    ELSE 'NO-FLAT-' END || CAST(c_custkey AS STRING) AS level
         FROM {{lineitem}}
         JOIN {{orders}} ON l_orderkey = o_orderkey
         JOIN {{customer}} ON o_custkey = c_custkey
         JOIN {{part}} ON l_partkey = p_partkey
-        WHERE c_mktsegment = 'BUILDING' AND p_size <= 40
     """,
     # A load with repeated keys, missing ids and missing keys: every order brings
     # its customer along.

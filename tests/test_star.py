@@ -37,6 +37,22 @@ def test_every_query_has_an_oracle():
     assert set(registered()) <= set(queries())
 
 
+def test_views_drop_no_row(spark):
+    from starbench.views import Star
+
+    star = Star(spark, SF_DIR)
+    bought = star.lineitem.join(star.orders, star.lineitem.l_orderkey == star.orders.o_orderkey)
+    pairs = bought.select("o_custkey", "l_partkey").distinct().count()
+    assert star.sold.count() == pairs
+    customers, parts = star.customer.count(), star.part.count()
+    assert star.customers_db.where("netsuite_id LIKE 'CUST-%'").count() == customers
+    assert star.items_db.where("netsuite_internal_id LIKE 'ITEM-%'").count() == parts
+    assert star.price_levels_db.count() == customers + 1
+    assert star.rules.where("rule_id BETWEEN 11 AND 15").count() == star.region.count()
+    flags = star.lineitem.select("l_returnflag").distinct().count()
+    assert star.rules.where("rule_id BETWEEN 1000000000000 AND 1999999999999").count() == flags
+
+
 def test_entry(spark):
     assert entry(spark).count() > 0
 
