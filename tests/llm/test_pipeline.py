@@ -69,6 +69,13 @@ def test_distinct_documents_without_or_with_repeated_ids(spark):
     assert found == sorted((text(n), i) for i, n in expected)
 
 
+def test_tokens_are_decoded(spark, sample):
+    docs = sample.limit(20).union(sample.limit(1).selectExpr("doc_id", "'é 😀  x\n' AS text", "lang", "source", "n_chars"))
+    found = corpus_pipeline.tokens(spark, docs, SF).collect()
+    digest = lambda text: hashlib.md5(text.encode()).hexdigest()
+    assert sorted(r["decoded_md5"] for r in found) == sorted(digest(r["text"]) for r in docs.collect())
+
+
 def test_run_is_its_stages(spark, sample):
     docs = sample
     for _, stage in corpus_pipeline.STAGES:
