@@ -11,10 +11,13 @@ from ratemill.session import shared_dir
 
 from . import (
     bpe,
+    collocations,
     language,
     mixing,
+    negatives,
     neighbours,
     quality,
+    ranking,
     repeats,
     secrets,
     sharding,
@@ -129,8 +132,88 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.span_digests(secrets.find_secrets(read(spark, sf_dir, "documents")))
 
 
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    shifted = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.hard_negatives(read(spark, sf_dir, "embeddings"), vec_id % 100 == 0, shifted)
+
+
+@query
+def op12_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return ranking.score(docs, ranking.fit(docs, read(spark, sf_dir, "labels")))
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op11_hard_negatives": """
+            WITH usable AS (
+              SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v,
+                     CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+              FROM embeddings
+              WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+            scored AS (
+              SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+                     CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+              FROM usable a JOIN usable b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+            positives AS (
+              SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+            SELECT p.anchor_id, positive_id,
+                   CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id
+                                           ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+                   vec_id AS negative_id, positive_score, score AS negative_score
+            FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT same
+              AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+            QUALIFY rank <= 10""",
+        "op13_collocations": r"""
+            WITH pieces AS (
+              SELECT coalesce(lang, 'und') AS lang,
+                     unnest(string_split_regex(translate(coalesce(text, ''),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[.,;:!?\x0A-\x0D]')) AS piece
+              FROM documents),
+            words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+            totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+            grams AS (
+              SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2),
+                       lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+              FROM words, (VALUES (1), (2), (3), (4), (5)) sizes(size) WHERE len(w) >= size),
+            counts AS (
+              SELECT lang, size, phrase, count(*) AS f FROM grams
+              GROUP BY lang, size, phrase HAVING count(*) >= 100),
+            split AS (SELECT *, string_split(phrase, ' ') AS w FROM counts),
+            cuts AS (
+              SELECT lang, phrase, f AS a, k, array_to_string(w[1:k], ' ') AS first,
+                     array_to_string(w[k + 1:], ' ') AS rest
+              FROM split, (VALUES (1), (2), (3), (4)) ks(k) WHERE k < size),
+            scored AS (
+              SELECT c.lang, c.phrase, c.a, c.k, l.f AS l, r.f AS r, n,
+                     CAST((1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+              FROM cuts c JOIN counts l ON l.lang = c.lang AND l.phrase = c.first
+              JOIN counts r ON r.lang = c.lang AND r.phrase = c.rest
+              JOIN totals t ON t.lang = c.lang),
+            lowest AS (
+              SELECT * FROM scored
+              QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+            inside AS (
+              SELECT lang, f, unnest(list_transform(range(1, size - m + 2),
+                       lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+              FROM split, (VALUES (2), (3), (4)) ms(m) WHERE m < size),
+            covers AS (SELECT lang, phrase, max(f) AS f FROM inside GROUP BY lang, phrase)
+            SELECT b.lang, row_number() OVER (PARTITION BY b.lang
+                     ORDER BY score DESC, a DESC, encode(b.phrase)) AS rank,
+                   b.phrase, a, l, r, n, score
+            FROM lowest b LEFT JOIN covers c ON c.lang = b.lang AND c.phrase = b.phrase
+            WHERE c.f IS NULL OR 100 * c.f < 100 * a
+            QUALIFY rank <= 2000""",
         "op9_warc_zstd": """
             WITH sized AS (
               SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
