@@ -1,0 +1,307 @@
+"""Hard negatives, quality ranking and collocations against brute force."""
+
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from __spark_entry__ import oracle_sql, queries
+from ratemill.llm import collocations, negatives, ranking
+from starbench.compare import compare, duck
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.mark.parametrize("name", ["op11_hard_negatives", "op13_collocations"])
+def test_sql(spark, name):
+    problem, n = compare(queries()[name](spark, SF), duck(SF), oracle_sql()[name])
+    assert not problem and n > 0
+
+
+# --- hard negatives ---------------------------------------------------------
+
+
+def brute_negatives(rows, every, n_positives=5, n_negatives=10):
+    """(anchor, positive, rank, negative, scores) by integer inner products of all pairs."""
+    usable = []
+    for at, (vec_id, vector, label) in enumerate(rows):
+        if vec_id is None or label is None or vector is None:
+            continue
+        if all(x is not None and math.isfinite(x) for x in vector):
+            label = (label + 1) % 10 if vec_id % 7 == 0 else label
+            usable.append((vec_id, at, label, [math.floor(256 * x) for x in vector]))
+    out = []
+    for a, at, label, v in usable:
+        if a % every:
+            continue
+        scored = sorted(
+            (-sum(x * y for x, y in zip(v, w)), b, row, other == label)
+            for b, row, other, w in usable
+            if row != at and len(w) == len(v)
+        )
+        for p, positive, _, _ in [s for s in scored if s[3]][:n_positives]:
+            fits = [s for s in scored if not s[3] and 30 * -p <= 100 * -s[0] <= 90 * -p]
+            for rank, (s, negative, _, _) in enumerate(fits[:n_negatives], 1):
+                out.append((a, positive, rank, negative, -p, -s))
+    return sorted(out)
+
+
+def found_negatives(spark, rows, every, schema="vec_id long, embedding array<float>, label int, row string"):
+    table = spark.createDataFrame([(*r, "x") for r in rows], schema).repartition(3)
+    vec_id, label = F.col("vec_id"), F.col("label")
+    shifted = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    found = negatives.hard_negatives(table, vec_id % every == 0, shifted)
+    return sorted(tuple(r) for r in found.collect())
+
+
+def vectors(n, width, labels, seed):
+    """Vectors of very different lengths, whose leading dimensions weigh most."""
+    rng = np.random.default_rng(seed)
+    rows = rng.normal(size=(n, width)) * rng.gamma(1.0, size=(n, 1)) / np.sqrt(1 + np.arange(width))
+    return [
+        (i, row.astype(np.float32).astype(float).tolist(), int(rng.integers(labels)))
+        for i, row in enumerate(rows)
+    ]
+
+
+def test_negatives_of_random_vectors(spark, monkeypatch):
+    rows = vectors(700, 20, 4, 1)
+    assert found_negatives(spark, rows, 10) == brute_negatives(rows, 10)
+
+
+def test_negatives_over_many_blocks(spark, monkeypatch):
+    """Blocks of a few rows: windows are filled from all of them."""
+    monkeypatch.setattr(negatives, "FEWEST", 16)
+    monkeypatch.setattr(negatives, "MOST", 16)
+    rows = vectors(300, 5, 2, 2)
+    assert found_negatives(spark, rows, 10) == brute_negatives(rows, 10)
+
+
+def test_negatives_with_one_label_and_vector_in_most_rows(spark):
+    """Ties among copies go to the smaller id."""
+    rows = vectors(100, 6, 3, 3)
+    rows += [(i, [0.5, 0.25, 0.0, 0.0, 0.0, 0.0], 1) for i in range(100, 500)]
+    rows += [(i, [0.25, 0.25, 0.0, 0.0, 0.0, 0.0], 2) for i in range(500, 600)]
+    assert found_negatives(spark, rows, 20) == brute_negatives(rows, 20)
+
+
+def test_negatives_of_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = vectors(60, 3, 2, 4)
+    rows += [
+        (None, [1.0, 0.0, 0.0], 1), (1000, None, 1), (1001, [1.0, None, 0.0], 1),
+        (1002, [nan, 0.0, 0.0], 0), (1003, [inf, 0.0, 0.0], 0), (1004, [1.0, 0.0, 0.0], None),
+        (1010, [], 0), (1011, [], 1), (1012, [], 0),  # no dimensions: all scores zero
+        (1020, [0.0, 0.0, 0.0], 0), (1021, [0.0, 0.0, 0.0], 1),  # zero vectors
+        (1030, [0.5, 0.5], 0), (1032, [0.5, 0.5], 0), (1033, [0.25, 0.25], 1),  # another length
+        (1040, [0.1, 0.2, -3.0], 9),  # a label of its own
+    ]
+    assert found_negatives(spark, rows, 10) == brute_negatives(rows, 10)
+    repeated = rows + rows[:20]
+    strip = lambda found: Counter((a, r, p, n) for a, _, r, _, p, n in found)
+    assert strip(found_negatives(spark, repeated, 10)) == strip(brute_negatives(repeated, 10))
+    assert found_negatives(spark, [], 10) == []
+
+
+def test_negatives_beyond_exact_doubles(spark):
+    rows = [(i, [float(x) * 1e5 for x in v], label) for i, v, label in vectors(80, 4, 2, 5)]
+    schema = "vec_id long, embedding array<double>, label int, row string"
+    assert found_negatives(spark, rows, 10, schema) == brute_negatives(rows, 10)
+
+
+def test_every_row_that_reaches_a_threshold_is_met():
+    rng = np.random.default_rng(6)
+    rows = np.floor(256 * rng.normal(size=(500, 40)) / (1 + np.arange(40)))
+    asking = np.floor(256 * rng.normal(size=(30, 40)) / (1 + np.arange(40)))
+    exact = asking @ rows.T
+    thresholds = np.quantile(exact, 0.995, axis=1)
+    numbers, scores = negatives.Index(rows).reaching(asking, thresholds)
+    assert (scores == exact[:, numbers]).all()
+    missing = np.setdiff1d(np.arange(500), numbers)
+    assert len(missing) and (exact[:, missing] < thresholds[:, None]).all()
+
+
+# --- quality ranking --------------------------------------------------------
+
+
+def test_ranking_of_held_out_labels(spark):
+    """Only rows outside the held-out fold are learnt from; the others are told apart."""
+    sf = "/root/testdata/sf0.1"
+    labels = {
+        r["doc_id"]: r["quality"]
+        for r in spark.read.parquet(f"{sf}/labels.parquet").collect()
+        if r["quality"] is not None
+    }
+    rows = queries()["op12_quality_ranking"](spark, sf).collect()
+    assert len(rows) == spark.read.parquet(f"{sf}/documents.parquet").count()
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in rows)
+    held = [r for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2]
+    assert {r["doc_id"] for r in rows if r["held_out"]} == {r["doc_id"] for r in held}
+    good = np.array([r["score"] for r in held if labels.get(r["doc_id"]) == 1])
+    bad = np.array([r["score"] for r in held if labels.get(r["doc_id"]) == 0])
+    assert len(good) > 500 and len(bad) > 80
+    assert (good[:, None] > bad[None, :]).mean() > 0.98
+    assert (good >= 0.7).mean() > 0.97 and (bad < 0.7).mean() > 0.95
+
+
+def test_labels_of_the_held_out_fold_change_nothing(spark, sample):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    held = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    turned = labels.withColumn("quality", F.when(held, 1 - F.col("quality")).otherwise(F.col("quality")))
+    a, b = ranking.fit(sample, labels), ranking.fit(sample, turned)
+    assert (a.weights == b.weights).all() and a.threshold == b.threshold
+
+
+def test_pair_loss_is_minimal():
+    """The weights are a minimum of the pairs' logistic loss, stated pair by pair."""
+    rng = np.random.default_rng(7)
+    good, bad = rng.normal(size=(40, 3)) + 0.7, rng.normal(size=(15, 3))
+    pairs = ranking.pair_differences(good, bad, 4)
+    assert len(pairs) == 160
+    met = {tuple(np.round(g - b, 9)) for g in good for b in bad}
+    assert {tuple(np.round(p, 9)) for p in pairs} <= met
+    weights = ranking.fit_weights(pairs, penalty=0.01)
+
+    def loss(w):
+        return np.mean([math.log1p(math.exp(-float(w @ p))) for p in pairs]) + 0.005 * float(w @ w)
+
+    for step in np.concatenate([np.eye(3), -np.eye(3)]) * 1e-3:
+        assert loss(weights) < loss(weights + step)
+
+
+def test_quantile_cut():
+    assert ranking.quantile_cut(np.array([3.0, 1.0, 2.0, 10.0]), 3) == 6.5
+    assert ranking.quantile_cut(np.array([3.0, 1.0, 2.0, 10.0]), 1) == 1.5
+
+
+def test_sample_is_bounded(spark, sample):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    assert ranking.fit(sample, labels, most_labelled=5).weights is not None
+    assert ranking.fit(sample, labels, most_labelled=0).weights is None
+
+
+def test_ranking_of_odd_documents(spark, odd, no_docs):
+    labels = spark.createDataFrame(
+        [(i, q, "x") for i, q in [(3, 1), (3, 1), (4, 0), (6, 1), (12, 0), (7, 0), (7, 1), (8, None), (9, 2), (None, 1)]],
+        "doc_id long, quality int, text string",
+    )
+    found = ranking.score(odd, ranking.fit(odd, labels)).collect()
+    assert sorted(map(str, (r["doc_id"] for r in found))) == sorted(
+        str(r["doc_id"]) for r in odd.collect()
+    )
+    assert all(0 <= r["score"] <= 1 and r["held_out"] is not None for r in found)
+    assert len({r["score"] for r in found if r["doc_id"] in (3, 4)}) == 1  # equal texts
+    without = ranking.fit(odd, labels.where("false"))
+    assert {(r["score"], r["predicted"]) for r in ranking.score(odd, without).collect()} == {(0.5, 0)}
+    assert ranking.score(no_docs, ranking.fit(no_docs, labels)).collect() == []
+
+
+# --- collocations -----------------------------------------------------------
+
+
+def brute_collocations(docs, threshold, longest=5, most=2000):
+    counts, totals = Counter(), Counter()
+    for lang, text in docs:
+        lang = "und" if lang is None else lang
+        text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        for c in ".,;:!?\x0a\x0b\x0c\x0d":
+            text = text.replace(c, "\n")
+        for piece in text.split("\n"):
+            words = [w for w in piece.replace("\t", " ").split(" ") if w]
+            totals[lang] += len(words)
+            for size in range(1, longest + 1):
+                counts.update((lang, *words[i : i + size]) for i in range(len(words) - size + 1))
+    out = []
+    for lang in totals:
+        kept = []
+        frequent = {g[1:]: f for g, f in counts.items() if g[0] == lang and f >= threshold}
+        covered = Counter()
+        for words, f in frequent.items():
+            for size in range(2, len(words)):
+                for i in range(len(words) - size + 1):
+                    covered[words[i : i + size]] = max(covered[words[i : i + size]], f)
+        for words, a in frequent.items():
+            if len(words) < 2 or covered[words] >= a:
+                continue
+            score, _, l, r = min(
+                (1000 * a * totals[lang] // (frequent[words[:k]] * frequent[words[k:]]), k, frequent[words[:k]], frequent[words[k:]])
+                for k in range(1, len(words))
+            )
+            kept.append((-score, -a, " ".join(words).encode(), l, r))
+        for rank, (score, a, phrase, l, r) in enumerate(sorted(kept)[:most], 1):
+            out.append((lang, rank, phrase.decode(), -a, l, r, totals[lang], -score))
+    return sorted(out)
+
+
+def found_collocations(docs, **options):
+    return sorted(tuple(r) for r in collocations.collocations(docs, **options).collect())
+
+
+def text_rows(docs):
+    return [(r["lang"], r["text"]) for r in docs.select("lang", "text").collect()]
+
+
+@pytest.mark.parametrize("threshold, most", [(2, 2000), (5, 7), (40, 2000)])
+def test_collocations(spark, sample, threshold, most):
+    rows = text_rows(sample)
+    found = found_collocations(sample, threshold=threshold, most=most)
+    assert found == brute_collocations(rows, threshold, most=most) and found
+
+
+def test_summaries_that_overflow_lose_nothing(spark, sample):
+    """Parts so small that counters are lowered, and so few that they are made again."""
+    rows = text_rows(sample)
+    found = found_collocations(sample, threshold=20, part_mass=400)
+    assert found == brute_collocations(rows, 20) and found
+
+
+def test_slices_and_chunks(spark, sample, monkeypatch):
+    monkeypatch.setattr(collocations, "SLICE", 10)
+    text = "A b, c d. " * 50 + "\ta b\x0bc d\n" * 3
+    assert [w for part in collocations.split_words(text.encode()) for w in part] == [
+        w
+        for line in text.lower().translate({ord(c): "\n" for c in ".,\x0b"}).split("\n")
+        for w in [*line.split(), b"\xff"]
+        for w in [w if isinstance(w, bytes) else w.encode()]
+    ][:-1]
+
+
+def test_misra_gries_guarantee():
+    rng = np.random.default_rng(8)
+    stream = rng.zipf(1.3, 20_000) % 5000
+    summary = collocations.Summary(100)
+    for part in np.split(stream, 20):
+        summary.add(*np.unique(part, return_counts=True))
+        summary.merge()
+    exact = Counter(stream.tolist())
+    kept = dict(zip(summary.keys.tolist(), summary.counts.tolist()))
+    assert 0 < summary.lost <= 20_000 / 101
+    assert len(kept) <= 100
+    for key, n in exact.items():
+        assert n - summary.lost <= kept.get(key, 0) <= n
+
+
+def test_equal_hashes_are_told_apart():
+    row = np.array([1, 2, 0, 1, 3, 0, 1, 2, 0], np.int32)
+    at = np.array([0, 3, 6])
+    first, n = collocations._equal(row, at, np.zeros(3, np.uint64), 2)
+    assert sorted(zip(first.tolist(), n.tolist())) == [(0, 2), (3, 1)]
+
+
+def test_products_beyond_64_bits(spark, monkeypatch):
+    """Counts as of a corpus of 10^13 words; the division is exact."""
+    n, big = 10**13 + 7, 3 * 10**11 + 1
+    rows = [("en", "", 0, n), ("en", "a", 1, big), ("en", "b", 1, big - 5), ("en", "a b", 2, big - 9)]
+    table = spark.createDataFrame(rows, "lang string, phrase string, words int, f long")
+    monkeypatch.setattr(collocations, "frequent_phrases", lambda *_: table)
+    (row,) = collocations.collocations(None).collect()
+    assert row["score"] == 1000 * (big - 9) * n // (big * (big - 5))
+
+
+def test_collocations_of_odd_documents(spark, odd, no_docs):
+    mixed = odd.withColumn("lang", F.when(F.col("doc_id") % 3 == 0, None).when(F.col("doc_id") % 3 == 1, "und").otherwise("ü"))
+    assert found_collocations(mixed, threshold=2) == brute_collocations(text_rows(mixed), 2)
+    assert found_collocations(no_docs) == []
