@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
-from ..sources.reference import append_rows, create_tables, read_table
+from ..sources import reference
 from .checks import orphans, reference_orphans
 from .lookups import required_order
 
@@ -55,17 +54,22 @@ def insert_or_ignore(existing: DataFrame, batch: DataFrame, keys: list[str], req
     return existing.unionByName(new_rows(existing, batch, keys, required))
 
 
-def assign_rule_ids(existing: DataFrame, batch: DataFrame) -> DataFrame:
+def assign_rule_ids(existing: DataFrame, batch: DataFrame, last_given: int = 0) -> DataFrame:
     """Give each rule of ``batch`` an id above all existing ones, in ``seq`` order.
 
+    Ids up to ``last_given`` were given before and do not come back, even if their rules are gone.
     The ids rise with ``seq`` and are as dense as it is; nothing is sorted.
     """
     last = existing.agg(F.coalesce(F.max("rule_id"), F.lit(0))).scalar()
-    return batch.withColumn("rule_id", last + F.col("seq")).drop("seq")
+    return batch.withColumn("rule_id", F.greatest(last, F.lit(last_given)) + F.col("seq")).drop("seq")
 
 
 def accept_rules(
-    existing: DataFrame, batch: DataFrame, customers: DataFrame, skip_unknown: bool = False
+    existing: DataFrame,
+    batch: DataFrame,
+    customers: DataFrame,
+    skip_unknown: bool = False,
+    last_given: int = 0,
 ) -> DataFrame:
     """The rules of ``batch`` that may be loaded, with their ids.
 
@@ -79,18 +83,33 @@ def accept_rules(
         complete = complete.join(known, "customer_name", "left_semi")
     else:
         _raise_if_any(unknown)
-    return assign_rule_ids(existing, complete)
+    return assign_rule_ids(existing, complete, last_given)
 
 
 def load_rules(
-    spark: SparkSession, location: str, batch: DataFrame, skip_unknown: bool = False
-) -> None:
-    """Check a batch of rules, number it and append it to the reference store."""
-    existing = read_table(spark, location, "price_level_rules")
-    customers = read_table(spark, location, "customers_db")
-    append_rows(
-        accept_rules(existing, batch, customers, skip_unknown), location, "price_level_rules"
+    spark: SparkSession,
+    location: str,
+    batch: DataFrame,
+    skip_unknown: bool = False,
+    load_id: str | None = None,
+) -> bool:
+    """Check a batch of rules, number it and append it to the reference store, all or nothing.
+
+    Ids go on above the highest that the store has ever given. A load whose ``load_id`` the store
+    knows has been made before and changes nothing; the result tells whether rules were added.
+    """
+    before = reference.current(spark, location)
+    if load_id is not None and load_id in before.loads:
+        return False
+    table = {
+        name: reference.read_folders(spark, name, before.tables[name])
+        for name in ("price_level_rules", "customers_db")
+    }
+    rules = accept_rules(
+        table["price_level_rules"], batch, table["customers_db"], skip_unknown, before.last_rule_id
     )
+    reference.append_load(rules, location, before, load_id)
+    return True
 
 
 def build_reference_store(
@@ -100,21 +119,29 @@ def build_reference_store(
 
     ``seeds`` maps table names to rows with a ``seq``. With ``skip_unknown``
     the foreign keys are not checked, except that rules of unknown customers
-    are left out. Everything is built and checked in a folder of its own first; a
-    store that is at ``location`` stays as it is if that fails.
+    are left out. All tables are written to folders of their own and checked there; one commit then
+    makes them the store. A store that is at ``location`` stays as it is until then, whatever fails.
     """
-    fresh = shared_dir(spark)
-    create_tables(spark, fresh)
+    before, folder = reference.current(spark, location), reference.new_folder(location)
+    tables = {}
     for name, keys in KEYS.items():
-        rows = new_rows(read_table(spark, fresh, name), seeds[name], keys, REQUIRED[name])
-        append_rows(rows, fresh, name)
-    load_rules(spark, fresh, seeds["price_level_rules"], skip_unknown)
-    names = ["customers_db", "items_db", "price_levels_db", "price_level_rules", "prices_db"]
+        nothing = spark.createDataFrame([], reference.TABLES[name])
+        rows = new_rows(nothing, seeds[name], keys, REQUIRED[name])
+        path = reference.write_table(rows, folder, name)
+        tables[name] = reference.read_folders(spark, name, [path])
+    name = "price_level_rules"
+    nothing = spark.createDataFrame([], reference.TABLES[name])
+    rules = accept_rules(nothing, seeds[name], tables["customers_db"], skip_unknown)
+    tables[name] = reference.read_folders(spark, name, [reference.write_table(rules, folder, name)])
     if not skip_unknown:
-        _raise_if_any(reference_orphans(*(read_table(spark, fresh, n) for n in names)))
-    create_tables(spark, location)
-    for name in names:
-        append_rows(read_table(spark, fresh, name), location, name)
+        parents = (tables[n] for n in ("customers_db", "items_db", "price_levels_db"))
+        _raise_if_any(reference_orphans(*parents, tables[name], tables["prices_db"]))
+    built = reference.Commit(
+        before.number,
+        {n: [f"{folder}/{n}"] for n in tables},
+        reference.highest_rule_id(tables[name]),
+    )
+    reference.publish(spark, location, built)
 
 
 def _raise_if_any(found: DataFrame) -> None:

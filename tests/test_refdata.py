@@ -172,3 +172,97 @@ def test_rows_without_order_fail(spark):
             pick(rows, ["k"]).collect()
     with pytest.raises(Exception, match="a row has no seq"):
         refdata.new_rows(rows.where("false"), rows, ["k"], ["v"]).collect()
+
+
+# --- commits of the store ---------------------------------------------------
+
+
+def contents(spark, location):
+    return {n: sorted(map(str, read_table(spark, location, n).collect())) for n in reference.TABLES}
+
+
+@pytest.mark.parametrize("dies_at", [1, 3, 5])
+def test_a_build_that_dies_leaves_the_old_store(spark, tmp_path, monkeypatch, dies_at):
+    location = str(tmp_path / "store")
+    refdata.build_reference_store(spark, location, seed_frames(spark))
+    before = contents(spark, location)
+    held = read_table(spark, location, "prices_db")
+    write, calls = reference.write_table, []
+
+    def dying(rows, folder, name):
+        calls.append(name)
+        path = write(rows, folder, name)
+        if len(calls) == dies_at:
+            raise KeyboardInterrupt("killed")
+        return path
+
+    monkeypatch.setattr(reference, "write_table", dying)
+    with pytest.raises(KeyboardInterrupt):
+        refdata.build_reference_store(spark, location, seed_frames(spark))
+    monkeypatch.undo()
+    assert contents(spark, location) == before
+    # What the dead job has written is no part of any commit.
+    assert len(reference.remove_unused(spark, location)) == 1
+    assert contents(spark, location) == before and held.count() == len(PRICES)
+
+
+def test_a_commit_that_dies_halfway_is_not_read(spark, tmp_path):
+    location = str(tmp_path / "store")
+    refdata.build_reference_store(spark, location, seed_frames(spark))
+    before = contents(spark, location)
+    commits = tmp_path / "store" / "commits"
+    (commits / f"{2:020d}.json.abc").write_text('{"number": 2, "tab')
+    assert contents(spark, location) == before
+    refdata.build_reference_store(spark, location, seed_frames(spark))
+    assert reference.current(spark, location).number == 2
+
+
+def test_of_two_changes_at_a_time_one_fails(spark, tmp_path):
+    location = str(tmp_path / "store")
+    refdata.build_reference_store(spark, location, seed_frames(spark))
+    seen = reference.current(spark, location)
+    more = read_table(spark, location, "customers_db").limit(1)
+    reference.append_rows(more, location, "customers_db")
+    after = contents(spark, location)
+    with pytest.raises(reference.ConcurrentChange):
+        reference.publish(spark, location, seen)
+    assert contents(spark, location) == after
+    assert reference.current(spark, location).number == 2
+
+
+def test_rows_read_before_a_change_stay_readable(spark, tmp_path):
+    location = str(tmp_path / "store")
+    refdata.build_reference_store(spark, location, seed_frames(spark))
+    held = read_table(spark, location, "customers_db")
+    n = held.count()
+    reference.replace_rows(held.limit(1), location, "customers_db")
+    assert held.count() == n and read_table(spark, location, "customers_db").count() == 1
+    reference.remove_unused(spark, location)
+    assert read_table(spark, location, "customers_db").count() == 1
+    assert reference.remove_unused(spark, location) == []
+
+
+def test_rule_ids_do_not_come_back(spark, tmp_path):
+    location = str(tmp_path / "store")
+    refdata.build_reference_store(spark, location, seed_frames(spark))
+    rules = read_table(spark, location, "price_level_rules")
+    last = max(r.rule_id for r in rules.collect())
+    reference.replace_rows(rules.where("rule_id = 1"), location, "price_level_rules")
+    batch = numbered(spark, [("DEFAULT", "ANY", "ANY", "New")], schemas.RULES)
+    batch = batch.withColumnRenamed("rule_id", "seq") if "rule_id" in batch.columns else batch
+    refdata.load_rules(spark, location, batch)
+    ids = sorted(r.rule_id for r in read_table(spark, location, "price_level_rules").collect())
+    assert ids == [1, last + 1]
+
+
+def test_a_repeated_load_numbers_once(spark, tmp_path):
+    location = str(tmp_path / "store")
+    refdata.build_reference_store(spark, location, seed_frames(spark))
+    batch = seed_frames(spark)["price_level_rules"]
+    assert refdata.load_rules(spark, location, batch, load_id="monday")
+    once = contents(spark, location)
+    assert not refdata.load_rules(spark, location, batch, load_id="monday")
+    assert contents(spark, location) == once
+    assert refdata.load_rules(spark, location, batch, load_id="tuesday")
+    assert read_table(spark, location, "price_level_rules").count() == 3 * len(RULES)
+    assert reference.current(spark, location).loads == ("monday", "tuesday")
