@@ -1,7 +1,7 @@
 """Command line.
 
     python -m ratemill build-store --store DIR --seeds DIR
-    python -m ratemill load-rules  --store DIR --rules CSV
+    python -m ratemill load-rules  --store DIR --rules CSV [--load-id ID]
     python -m ratemill check       --store DIR
     python -m ratemill sheet       --store DIR --billing CSV --out DIR [--variant V] ...
     python -m ratemill prototype   --rules CSV --billing CSV --out DIR
@@ -44,7 +44,7 @@ def _parser() -> argparse.ArgumentParser:
         return sub
 
     command("build-store", "store", "seeds")
-    command("load-rules", "store", "rules")
+    command("load-rules", "store", "rules").add_argument("--load-id")
     command("check", "store")
     for sub in (
         command("sheet", "store", "billing", "out"),
@@ -70,7 +70,7 @@ def _billing(
     spark: SparkSession, args: argparse.Namespace, numbered: bool = False
 ) -> DataFrame:
     if args.billing.rstrip("/").endswith(".parquet"):
-        return csvfiles.read_billing_parquet(spark, args.billing)
+        return csvfiles.read_billing_parquet(spark, args.billing, numbered)
     rejects = args.rejects or f"{args.out.rstrip('/')}-rejects"
     lines = csvfiles.read_billing(spark, args.billing, rejects=rejects, numbered=numbered)
     rejected = csvfiles.read_rejects(spark, rejects).count()
@@ -113,7 +113,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         refdata.build_reference_store(spark, args.store, seeds)
     elif args.command == "load-rules":
         rules = csvfiles.read_rules(spark, args.rules).withColumnRenamed("rule_id", "seq")
-        refdata.load_rules(spark, args.store, rules)
+        if not refdata.load_rules(spark, args.store, rules, load_id=args.load_id):
+            print(f"load {args.load_id} has been made before")
     elif args.command == "check":
         for title, rows in _check(spark, args.store):
             print(title, rows.count())
@@ -133,9 +134,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
             lines = lines.orderBy(csvfiles.LINE_NUMBER)
         csvfiles.write_csv(lines, args.out, schemas.RATED_HEADER)
     else:
-        clients = synth.client_map(spark.range(args.clients))
+        clients = synth.made_up_clients(spark.range(args.clients))
         header = {inner: outer for outer, inner in schemas.CLIENTS_HEADER.items()}
-        csvfiles.write_csv(clients, f"{args.out}/client_mappings", header)
-        lines = synth.synthetic_billing(spark.range(args.rows), args.clients, date.today())
+        csvfiles.write_csv(synth.client_map(clients), f"{args.out}/client_mappings", header)
+        lines = synth.synthetic_billing(spark.range(args.rows), clients, date.today())
         header = {inner: outer for outer, inner in schemas.BILLING_HEADER.items()}
         csvfiles.write_csv(lines, f"{args.out}/raw_billing", header)

@@ -28,6 +28,10 @@ from ..session import shared_dir
 DIMENSIONS = ("customer", "county", "type")
 DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
 
+#: Most triples whose level is broadcast to the lines, and the parts their lines are dealt into.
+HOT_TRIPLES = 1000
+SALTS = 4096
+
 _RULE_TYPE = "struct<rule_id:bigint,price_level_name:string>"
 
 
@@ -200,7 +204,7 @@ class Rater:
 
     ``in_place`` tells whether every shape is small enough to be broadcast. If
     so lines are rated where they are, without any shuffle. Otherwise the
-    distinct (customer, county, type) triples are rated and joined back.
+    distinct (customer, county, type) triples are rated, written once and joined back.
     """
 
     def __init__(
@@ -222,17 +226,48 @@ class Rater:
     ) -> DataFrame:
         """``lines`` with their ``price_level``.
 
+        Rules that are all broadcast are matched where the lines are. Otherwise the triples of the lines are
+        counted, rated and written once, and lines get the level of their triple: the most frequent triples, at most
+        ``HOT_TRIPLES``, by broadcast, the others by a shuffle join. Lines of hot triples find nothing in that
+        join, so their keys are salted, and they are dealt out evenly.
+
         ``triples_from`` may name a cheaper source of the same triples, if
         ``lines`` is the result of an aggregation.
         """
         if self.in_place:
             return self._match(lines, default_level)
-        source = lines if triples_from is None else triples_from
-        rated = self._match(source.select(*DIMENSIONS).distinct(), default_level).select(
-            *(F.col(d).alias(f"_rated_{d}") for d in DIMENSIONS), "price_level"
+        triples = self._rated_triples(lines if triples_from is None else triples_from, default_level)
+        keys = [f"_rated_{d}" for d in DIMENSIONS]
+        hot = F.broadcast(triples.where("_hot").select(*keys, F.col("price_level").alias("_hot_level")))
+        rest = triples.where("NOT _hot").select(*keys, F.col("price_level").alias("_level"), F.lit(0).alias("_no_salt"))
+        same = lambda side: [lines[d].eqNullSafe(side[k]) for d, k in zip(DIMENSIONS, keys)]
+        salt = F.when(
+            F.col("_hot_level").isNotNull(), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)) + 1
+        ).otherwise(0)
+        marked = lines.join(hot, same(hot), "left").select(lines["*"], "_hot_level", salt.alias("_salt"))
+        joined = marked.join(
+            rest,
+            [*(marked[d].eqNullSafe(rest[k]) for d, k in zip(DIMENSIONS, keys)), marked["_salt"] == rest["_no_salt"]],
+            "left",
+        )
+        level = F.coalesce("_hot_level", "_level")
+        return joined.select(*(marked[c] for c in lines.columns), level.alias("price_level"))
+
+    def _rated_triples(self, lines: DataFrame, default_level: str) -> DataFrame:
+        """The triples of ``lines`` with their level, written to the shared folder, and whether they are hot.
+
+        A triple is hot if it has more than one in ``HOT_TRIPLES`` of the lines, so there can be no more of them.
+        Counts are combined map-side before they are shuffled.
+        """
+        spark, path = lines.sparkSession, shared_dir(lines.sparkSession)
+        counted = lines.groupBy(*DIMENSIONS).agg(F.count("*").alias("_lines"))
+        rated = self._match(counted, default_level).select(
+            *(F.col(d).alias(f"_rated_{d}") for d in DIMENSIONS), "_lines", "price_level"
         )
-        same = [lines[d].eqNullSafe(rated[f"_rated_{d}"]) for d in DIMENSIONS]
-        return lines.join(rated, same, "left").select(lines["*"], rated["price_level"])
+        rated.write.parquet(path)
+        saved = spark.read.schema(rated.schema).parquet(path)
+        total = saved.agg(F.sum("_lines")).first()[0] or 0
+        return saved.withColumn("_hot", F.col("_lines") > F.lit(total / HOT_TRIPLES)).drop("_lines")
 
     def _match(self, lines: DataFrame, default_level: str) -> DataFrame:
         matched = self._join(lines)

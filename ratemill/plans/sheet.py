@@ -32,6 +32,7 @@ from ..operators.lookups import (
     line_value,
     lookup_last,
 )
+from ..operators.order import with_positions
 from ..operators.rating import (
     DEFAULT_BROADCAST_BYTES,
     NORMALISED,
@@ -230,7 +231,17 @@ def in_sheet_order(sheet: DataFrame) -> DataFrame:
     return sheet.orderBy(*sheet_order())
 
 
+def _total_order(sheet: DataFrame) -> list[Column]:
+    """Sheet order, then all other columns: rows that are still equal are the same row twice."""
+    rest = [c for c in sheet.columns if c not in ("customer", "item", "price_level", "ca_line")]
+    return [*sheet_order(), *map(F.col, rest)]
+
+
+def with_sheet_positions(sheet: DataFrame) -> DataFrame:
+    """The sheet with each row's ``position`` in sheet order, from 1."""
+    return with_positions(sheet, _total_order(sheet), "position")
+
+
 def preview(sheet: DataFrame, n: int = 10) -> DataFrame:
     """The first ``n`` rows in sheet order; each task keeps no more than ``n``."""
-    rest = [c for c in sheet.columns if c not in ("customer", "item", "price_level", "ca_line")]
-    return sheet.orderBy(*sheet_order(), *rest).limit(n)
+    return sheet.orderBy(*_total_order(sheet)).limit(n)

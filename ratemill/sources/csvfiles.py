@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,13 +50,54 @@ def _read_text(
     """The named columns as text, found by header name and not by position.
 
     Nothing is inferred from the values: an item ``01001`` stays as it is
-    whatever else is in the file. Missing-value texts become NULL. All files
-    must have their columns in one order; a file with another header fails the job.
-    A line with more or fewer fields than the header does too if ``strict``, and
+    whatever else is in the file. Missing-value texts become NULL. Files may have their columns
+    in different orders, and further columns: files with the same header are read together.
+    A file without one of the columns fails the job.
+    A line with more or fewer fields than its header does too if ``strict``, and
     otherwise has its text in ``_line``.
     """
+    groups = _files_by_header(spark, path)
+    paths = [path] if len(groups) < 2 else groups.values()
+    return reduce(
+        DataFrame.unionByName,
+        (_read_same_header(spark, p, header, multi_line, strict) for p in paths),
+    )
+
+
+def _files_by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The files of a folder by their first line; files without one are left out.
+
+    Only first lines are read, some files at a time, as file names are listed on the driver too.
+    """
+    uris = spark.read.text(path).inputFiles()
+    with ThreadPoolExecutor(16) as pool:
+        lines = list(pool.map(lambda uri: _first_line(spark, uri), uris))
+    groups: dict[str, list[str]] = {}
+    for name, line in sorted(lines):
+        if line is not None:
+            groups.setdefault(line, []).append(name)
+    return groups
+
+
+def _first_line(spark: SparkSession, uri: str) -> tuple[str, str | None]:
+    """Name and first line of a file, which may be compressed."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    name = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+    stream = name.getFileSystem(conf).open(name)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(name)
+    try:
+        text = codec.createInputStream(stream) if codec else stream
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(text, "UTF-8"))
+        return name.toString(), reader.readLine()
+    finally:
+        stream.close()
+
+
+def _read_same_header(
+    spark: SparkSession, path: str | list[str], header: dict[str, str], multi_line: bool, strict: bool
+):
     reader = spark.read.options(header=True, escape='"', multiLine=multi_line)
-    names = reader.csv(path).columns
+    names = reader.csv(path if isinstance(path, str) else path[0]).columns
     absent = [name for name in header if name not in names]
     if absent:
         raise ValueError(f"{path} has no column {', '.join(absent)}")
@@ -163,9 +207,22 @@ def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     return _read_text(spark, path, header, False).select(*REJECTS_HEADER)
 
 
-def read_billing_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Billing lines from parquet under the column names of ``schemas.BILLING``."""
-    return spark.read.schema(BILLING).parquet(path)
+def read_billing_parquet(spark: SparkSession, path: str, numbered: bool = False) -> DataFrame:
+    """Billing lines from parquet under the column names of ``schemas.BILLING``.
+
+    With ``numbered`` the lines have their ``line_number`` by file name and place in the file. A parquet
+    row knows its place, so nothing is saved or sorted; the rows before each file come from one count per file.
+    """
+    lines = spark.read.schema(BILLING).parquet(path)
+    if not numbered:
+        return lines
+    places = lines.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.lit(0).alias("_start"),
+        F.col("_metadata.row_index").alias("_id"),
+    )
+    return _numbered(places, LINE_NUMBER)
 
 
 def read_rules(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:

@@ -140,11 +140,11 @@ _FILLED = (
 )
 
 
-def _sheet(item_key=_item_key, dedupe: bool = True, tail: str = "") -> str:
+def _sheet(item_key=_item_key, dedupe: bool = True, tail: str = "", more: str = "") -> str:
     return _with(
         _rollup() + _lookups(item_key, dedupe),
         f"SELECT {_external_id('s.customer')} AS external_id, {_KEYS}, s.qty, {_PERIOD}, {_FILLED}, "
-        f"s.qty * coalesce(price, 100.0::DOUBLE) AS total_value {_joins(item_key)} {tail}",
+        f"s.qty * coalesce(price, 100.0::DOUBLE) AS total_value{more} {_joins(item_key)} {tail}",
     )
 
 
@@ -217,6 +217,18 @@ def _list_pick(i: int, values: list[str]) -> str:
     return f"[{', '.join(repr(v) for v in values)}][{_pick(i, len(values))} + 1]"
 
 
+def _synthetic(customer: str) -> str:
+    return (
+        f"SELECT {customer} AS customer, "
+        f"{_list_pick(2, ['1001', '1002', '1003', '1004', '1005'])} AS item, "
+        f"{_list_pick(3, ['Practice 1', 'Practice 2', 'Practice 3'])} AS location, "
+        f"{_list_pick(4, ['NY', 'CA', 'OK', 'TX'])} AS state, "
+        f"{_list_pick(5, ['County X', 'County Y'])} AS county, {_list_pick(6, ['A', 'B'])} AS type, "
+        f"CAST({_pick(7, 10)} + 1 AS DOUBLE) AS units, "
+        f"DATE '2026-05-31' - {_pick(8, 26)} AS billing_date FROM ({_draws()})"
+    )
+
+
 def _build() -> dict[str, str]:
     billing = with_clause("billing")
     o: dict[str, str] = {}
@@ -331,6 +343,10 @@ def _build() -> dict[str, str]:
         tail=f"ORDER BY s.customer, {_BY_NUMBER}, s.item, s.price_level, s.ca_line, price LIMIT 10"
     )
 
+    o["sheet_order"] = _sheet(
+        more=f", row_number() OVER (ORDER BY s.customer, {_BY_NUMBER}, s.item, s.price_level, s.ca_line, "
+        "coalesce(price, 100.0::DOUBLE)) AS position"
+    )
     o["billing_sheet"] = o["scan_reference"] = o["sheet_csv_roundtrip"] = _sheet()
     o["billing_sheet_text_keys"] = _sheet(_item_key_text, dedupe=False)
     o["billing_sheet_strict"] = _with(
@@ -448,14 +464,13 @@ def _build() -> dict[str, str]:
         "SELECT row_number() OVER (ORDER BY rule_id) AS rule_id, customer_name, county, type, "
         "price_level_name FROM rules",
     )
-    o["synth_billing"] = (
-        f"SELECT {_list_pick(1, [f'Client {k}' for k in range(5)])} AS customer, "
-        f"{_list_pick(2, ['1001', '1002', '1003', '1004', '1005'])} AS item, "
-        f"{_list_pick(3, ['Practice 1', 'Practice 2', 'Practice 3'])} AS location, "
-        f"{_list_pick(4, ['NY', 'CA', 'OK', 'TX'])} AS state, "
-        f"{_list_pick(5, ['County X', 'County Y'])} AS county, {_list_pick(6, ['A', 'B'])} AS type, "
-        f"CAST({_pick(7, 10)} + 1 AS DOUBLE) AS units, "
-        f"DATE '2026-05-31' - {_pick(8, 26)} AS billing_date FROM ({_draws()})"
+    o["synth_billing"] = _synthetic(_list_pick(1, [f"Client {k}" for k in range(5)]))
+    o["client_ids"] = (
+        "SELECT 'CLI-' || CAST(99 + row_number() OVER (ORDER BY c_custkey) AS VARCHAR) "
+        "AS internal_client_id, c_name AS client_name FROM customer"
+    )
+    o["synth_clients"] = _synthetic(
+        f"(SELECT list(c_name ORDER BY c_custkey) FROM customer)[{_pick(1, '(SELECT count(*) FROM customer)')} + 1]"
     )
     return o
 

@@ -264,6 +264,12 @@ def sheet_preview(star: Star) -> DataFrame:
     return plans.preview(plans.billing_sheet(star.billing, _tables(star), OPTIONS), 10)
 
 
+@query
+def sheet_order(star: Star) -> DataFrame:
+    """Every sheet line with its position in the order in which the sheet is written."""
+    return plans.with_sheet_positions(plans.billing_sheet(star.billing, _tables(star), OPTIONS))
+
+
 # --- pipelines --------------------------------------------------------------
 
 
@@ -490,8 +496,29 @@ def sheet_csv_roundtrip(star: Star) -> DataFrame:
     return csvfiles.read_sheet(star.spark, path, schemas.SHEET_HEADER)
 
 
+def _numbered_clients(star: Star) -> DataFrame:
+    names = star.customer.select("c_custkey", F.col("c_name").alias("client_name"))
+    return synth.number_clients(names, [F.col("c_custkey")])
+
+
+@query
+def client_ids(star: Star) -> DataFrame:
+    """The client map of all customers, in the order of their keys."""
+    return synth.client_map(_numbered_clients(star))
+
+
+@query
+def synth_clients(star: Star) -> DataFrame:
+    """One synthetic line per order line, customers drawn from the client table."""
+    return synth.synthetic_billing(_line_ids(star), _numbered_clients(star), PERIOD_END)
+
+
+def _line_ids(star: Star) -> DataFrame:
+    return star.lineitem.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"))
+
+
 @query
 def synth_billing(star: Star) -> DataFrame:
     """One synthetic line per order line, seeded by its order and position."""
-    ids = star.lineitem.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"))
-    return synth.synthetic_billing(ids, 5, PERIOD_END)
+    clients = synth.made_up_clients(star.spark.range(5))
+    return synth.synthetic_billing(_line_ids(star), clients, PERIOD_END)

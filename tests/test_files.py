@@ -1,6 +1,7 @@
 from datetime import date
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from ratemill import cli, schemas
@@ -118,10 +119,13 @@ def test_no_rejects_and_no_lines(spark, tmp_path):
         assert csvfiles.read_billing(spark, path, rejects=folder).count() == n
 
 
-def test_files_with_other_column_order_fail(spark, tmp_path):
+def test_files_with_other_column_order_are_read(spark, tmp_path):
     put(tmp_path / "b" / "1.csv", HEADER + GOOD)
-    put(tmp_path / "b" / "2.csv", HEADER.replace("Customer,Item", "Item,Customer") + GOOD)
-    _fails(csvfiles.read_billing(spark, str(tmp_path / "b")).collect, "header")
+    swapped = GOOD.split(",")
+    swapped = ",".join([swapped[1], swapped[0], *swapped[2:]])
+    put(tmp_path / "b" / "2.csv", HEADER.replace("Customer,Item", "Item,Customer") + swapped)
+    one, two = csvfiles.read_billing(spark, str(tmp_path / "b")).collect()
+    assert one == two
 
 
 def test_rated_lines_keep_the_order_of_the_files(spark, tmp_path):
@@ -207,8 +211,9 @@ def test_csv_sink(spark, tmp_path):
 def test_synthetic_lines_depend_on_the_id_only(spark):
     clients = ["Client 0", "Client 1", "Client 2"]
     ids = spark.range(3000)
-    one = synth.synthetic_billing(ids, 3, date(2026, 5, 31))
-    two = synth.synthetic_billing(ids.repartition(7), 3, date(2026, 5, 31))
+    table = synth.made_up_clients(spark.range(3))
+    one = synth.synthetic_billing(ids, table, date(2026, 5, 31))
+    two = synth.synthetic_billing(ids.repartition(7), table, date(2026, 5, 31))
     assert rows(one, *one.columns) == rows(two, *two.columns)
     assert one.schema.simpleString() == schemas.BILLING.simpleString()
     for column, values in {"customer": clients, **synth.CHOICES}.items():
@@ -284,3 +289,92 @@ def test_number_text_keeps_every_double(spark):
         assert "E" not in t and "." in t
     nan = spark.range(1).select(csvfiles.number_text(F.lit(float("nan"))))
     assert nan.first()[0] is None
+
+
+# --- files of different layouts, positions ----------------------------------
+
+
+def _write(folder, name, lines):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("\n".join(lines) + "\n")
+
+
+def test_files_with_columns_in_another_order(spark, tmp_path):
+    """Two orders, a further column, an empty file and one with the header only."""
+    folder = tmp_path / "lines"
+    _write(folder, "b c.csv", [
+        "Units,Item,Customer,Location,State,County,Type,billing_date,Note",
+        "3,01001,Acme,P,CA,X,A,2026-05-01,n", "4,1002,Acme,P,CA,X,A,2026-05-02",
+    ])
+    _write(folder, "a.csv", [
+        "Customer,Item,Location,State,County,Type,Units,billing_date",
+        "Beta,1001,P,NY,X,B,1,2026-05-01", "Beta,1002,P,NY,X,B,two,2026-05-01", "Beta,1003,P,NY,X,B,5,2026-05-01",
+    ])
+    _write(folder, "c.csv", ["Customer,Item,Location,State,County,Type,Units,billing_date"])
+    (folder / "d.csv").write_text("")
+    found = csvfiles.read_billing(spark, str(folder), rejects=str(tmp_path / "rejects"), numbered=True)
+    lines = [(r["line_number"], r["customer"], r["item"], r["units"]) for r in found.orderBy("line_number").collect()]
+    assert lines == [(1, "Beta", "1001", 1.0), (3, "Beta", "1003", 5.0), (4, "Acme", "01001", 3.0)]
+    lost = {(r["item"], r["reject_reason"]) for r in csvfiles.read_rejects(spark, str(tmp_path / "rejects")).collect()}
+    assert lost == {("1002", "units"), ("1002", "fields")}
+
+
+def test_a_file_without_a_column_fails(spark, tmp_path):
+    _write(tmp_path / "lines", "a.csv", ["Customer,Item,Location,State,County,Type,Units,billing_date", "B,1,P,NY,X,B,1,2026-05-01"])
+    _write(tmp_path / "lines", "b.csv", ["Customer,Item", "B,1"])
+    with pytest.raises(ValueError, match="no column"):
+        csvfiles.read_billing(spark, str(tmp_path / "lines"))
+
+
+def test_headers_of_compressed_files(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "rules").mkdir()
+    for name, text in (("a", "Customer,County,Type,Price_Level_Name\nA,ANY,ANY,L1\n"), ("b", "Type,County,Customer,Price_Level_Name\nT,C,B,L2\n")):
+        (tmp_path / "rules" / f"{name}.csv.gz").write_bytes(gzip.compress(text.encode()))
+    rows_ = [tuple(r) for r in csvfiles.read_rules(spark, str(tmp_path / "rules")).orderBy("rule_id").collect()]
+    assert rows_ == [(1, "A", "ANY", "ANY", "L1"), (2, "B", "C", "T", "L2")]
+
+
+def test_lines_from_parquet_keep_the_order_of_their_files(spark, tmp_path):
+    path, out = str(tmp_path / "lines.parquet"), str(tmp_path / "out")
+    lines = spark.range(1000).selectExpr(
+        "'DEFAULT' AS customer", "CAST(id AS STRING) AS item", "'P' AS location", "'CA' AS state",
+        "'X' AS county", "'A' AS type", "CAST(id AS DOUBLE) AS units", "DATE'2026-05-01' AS billing_date",
+    )
+    lines.repartition(7).write.parquet(path)
+    import pyarrow.parquet as pq
+
+    expected = [x for f in sorted((tmp_path / "lines.parquet").glob("*.parquet")) for x in pq.read_table(f)["item"].to_pylist()]
+    found = csvfiles.read_billing_parquet(spark, path, numbered=True).orderBy("line_number").collect()
+    assert [r["line_number"] for r in found] == list(range(1, 1001))
+    assert [r["item"] for r in found] == expected
+    _write(tmp_path, "rules.csv", ["Customer,County,Type,Price_Level_Name", "DEFAULT,ANY,ANY,L"])
+    cli.main(["rated-lines", "--rules", str(tmp_path / "rules.csv"), "--billing", path, "--out", out], spark)
+    written = [
+        line.split(",")[1]
+        for f in sorted((tmp_path / "out").glob("part-*.csv"))
+        for line in f.read_text().splitlines()[1:]
+    ]
+    assert written == expected
+
+
+def test_positions(spark):
+    from pyspark.sql import functions as F
+
+    from ratemill.operators.order import with_positions
+
+    rows_ = spark.range(5000).select(F.pmod(F.col("id") * 7919, F.lit(5000)).alias("x"), F.lit("hot").alias("k"))
+    found = with_positions(rows_, [F.col("k"), F.col("x")], "position")
+    assert [r["x"] + 1 for r in found.collect()] == [r["position"] for r in found.collect()]
+    assert found.columns == ["x", "k", "position"]
+    assert with_positions(rows_.where("false"), [F.col("x")], "position").collect() == []
+    # A value that all rows share is spread, as the next column tells them apart.
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        again = with_positions(rows_, [F.col("k"), F.col("x")], "position")
+        sizes = [r["count"] for r in again.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert len(sizes) == 8 and max(sizes) < 2 * min(sizes)

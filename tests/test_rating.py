@@ -154,3 +154,48 @@ def test_one_customer_with_most_lines(spark):
     two = assign_price_level(df, table).groupBy("customer", "price_level").count()
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))
     assert one.agg(F.sum("count")).first()[0] == 60000
+
+
+# --- hot triples in the shuffle form ----------------------------------------
+
+
+def _hot_lines(spark, n=30_000):
+    """A third of the lines have one triple."""
+    return spark.range(n).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'Hot' ELSE concat('C', id % 5000) END AS customer",
+        "CASE WHEN id % 3 = 0 THEN 'X' WHEN id % 11 = 0 THEN NULL ELSE concat('N', id % 7) END AS county",
+        "CASE WHEN id % 3 = 0 THEN 'A' ELSE 'B' END AS type",
+        "id",
+    )
+
+
+def _some_rules(spark):
+    rules = [(1, "DEFAULT", "ANY", "ANY", "all"), (2, "Hot", "X", "ANY", "hot"), (3, "C10", "ANY", "B", "ten")]
+    rules += [(i + 4, f"C{i}", f"N{i % 7}", "ANY", f"L{i}") for i in range(0, 5000, 3)]
+    return spark.createDataFrame(rules, "rule_id long, customer_name string, county string, type string, price_level_name string")
+
+
+def test_shuffled_rating_of_hot_triples_is_even_and_right(spark):
+    from pyspark.sql import functions as F
+
+    lines, rules = _hot_lines(spark), _some_rules(spark)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # no splitting at run time
+    try:
+        rated = assign_price_level(lines, rules, strategy="shuffle")
+        sizes = sorted(r["count"] for r in rated.groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert sizes[-1] < 1.5 * sizes[len(sizes) // 2]
+    expected = assign_price_level(lines, rules)
+    assert sorted(map(str, rated.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_shuffled_rating_scans_the_lines_once(spark, tmp_path):
+    """The triples come from a written table; the result's plan reads the lines once."""
+    path = str(tmp_path / "lines")
+    _hot_lines(spark, 3000).write.parquet(path)
+    rated = assign_price_level(spark.read.parquet(path), _some_rules(spark), strategy="shuffle")
+    rated.collect()
+    plan = rated._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count(f"{path}]") == 1
