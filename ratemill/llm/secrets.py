@@ -122,11 +122,12 @@ def postings(texts: DataFrame, trigrams: list[str]) -> DataFrame:
 
     Case is folded. A common trigram's list is spread by the text's key.
     """
-    folded = F.lower("text")
+    # A generated column is computed once a text; a plain one would be put into every condition.
+    folded = texts.select("k1", "k2", F.explode(F.array(F.lower("text"))).alias("folded"))
     held = F.array_compact(
-        F.array(*[F.when(F.contains(folded, F.lit(t)), F.lit(t)) for t in trigrams])
+        F.array(*[F.when(F.contains("folded", F.lit(t)), F.lit(t)) for t in trigrams])
     )
-    rows = texts.select("k1", "k2", F.explode(held).alias("trigram"))
+    rows = folded.select("k1", "k2", F.explode(held).alias("trigram"))
     return stored(rows.distinct().sort("trigram", "k1", "k2"))
 
 
@@ -218,16 +219,11 @@ def _shorter_scan(rule: Rule) -> Rule:
     return Rule(rule.kind, f"{rule.pattern[:-1]}{{{rule.least},}}", 0, 1) if plain else rule
 
 
-def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, keep=("doc_id",)) -> DataFrame:
-    """Columns ``keep`` of every row and secret_spans, sorted by start, then rule."""
+def _scanned(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """``row`` and ``text`` of every row, with ``secret_spans``, sorted by start, then rule."""
     queries = {rule.kind: trigram_query(rule.pattern) for rule in rules}
     indexed = {kind: clauses for kind, clauses in queries.items() if clauses}
-    keyed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"),
-        F.coalesce("text", F.lit("")).alias("text"),
-    ).withColumns(
-        {"k1": F.xxhash64("text"), "k2": F.xxhash64("text", F.lit(1))}
-    )
+    keyed = texts.withColumns({"k1": F.xxhash64("text"), "k2": F.xxhash64("text", F.lit(1))})
     if indexed:
         index = postings(keyed, sorted({t for c in indexed.values() for s in c for t in s}))
         keyed = keyed.join(candidates(index, indexed), ["k1", "k2"], "left")
@@ -238,7 +234,20 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, keep=("doc_id
         if rule.kind in indexed:
             spans = F.when(F.array_contains("rules", rule.kind), spans).otherwise(none)
         parts.append(spans)
-    return keyed.select("row.*", "text", F.sort_array(F.concat(*parts)).alias("secret_spans"))
+    return keyed.select("row", "text", F.sort_array(F.concat(*parts)).alias("secret_spans"))
+
+
+def _wrapped(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """Columns in one struct, so that no name of theirs meets one of this module's."""
+    return docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"),
+        F.coalesce("text", F.lit("")).alias("text"),
+    )
+
+
+def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, keep=("doc_id",)) -> DataFrame:
+    """Columns ``keep`` of every row, its text and secret_spans."""
+    return _scanned(_wrapped(docs, list(keep)), rules).select("row.*", "text", "secret_spans")
 
 
 def _listed(spans: Column, rules: tuple[Rule, ...]) -> Column:
@@ -273,11 +282,15 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRE
 
     Rows and columns stay; ``n_chars``, if there, follows the new text. NULL stays NULL.
     """
-    found = find_secrets(
-        docs.withColumn("was_null", F.col("text").isNull()),
-        rules,
-        keep=[c for c in docs.columns if c != "text"] + ["was_null"],
+    others = [c for c in docs.columns if c != "text"]
+    wrapped = docs.select(
+        F.struct(
+            F.col("text").isNull().alias("no_text"),
+            F.struct(F.lit(0).alias("secret"), *[F.col(f"`{c}`") for c in others]).alias("own"),
+        ).alias("row"),
+        F.coalesce("text", F.lit("")).alias("text"),
     )
+    found = _scanned(wrapped, rules)
     spans = F.col("secret_spans")
     merged = F.aggregate(
         spans,
@@ -306,16 +319,20 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRE
         ),
     )
     tail = text.substr(F.element_at(F.col("merged"), -1)["end"] + 1, F.length(text))
-    cut = found.withColumn("merged", merged).withColumn(
-        "text",
-        F.when(F.col("was_null"), None)
-        .when(F.size("merged") == 0, text)
-        .otherwise(F.concat(F.array_join(pieces, ""), tail)),
+    whole = F.size("merged") == 0
+    cut = found.withColumn("merged", merged).select(
+        "row",
+        whole.alias("whole"),
+        F.when(F.col("row.no_text"), None)
+        .when(whole, text)
+        .otherwise(F.concat(F.array_join(pieces, ""), tail))
+        .alias("text"),
     )
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        cut = cut.withColumn(
-            "n_chars",
-            F.when(F.size("merged") == 0, F.col("n_chars")).otherwise(F.length("text").cast(kind)),
-        )
-    return cut.select(*docs.columns)
+    columns = []
+    for name in docs.columns:
+        column = F.col("text") if name == "text" else F.col("row.own")[name]
+        if name == "n_chars":
+            length = F.length("text").cast(docs.schema[name].dataType)
+            column = F.when(F.col("whole"), column).otherwise(length)
+        columns.append(column.alias(name))
+    return cut.select(*columns)
