@@ -14,6 +14,8 @@ pattern is applied and give the added token's id, as the library does.
 A NULL text is encoded as an empty one: no tokens. Texts of any length are
 encoded whole; a word of any length is merged in n log n steps. Repeated rows are
 encoded each. An empty table gives an empty lexicon and no rows.
+Extra columns are kept by ``encode``, ``decode`` and ``encode_and_decode``, which replace columns of the names they add, and
+are not read otherwise.
 """
 
 from __future__ import annotations
@@ -21,10 +23,11 @@ from __future__ import annotations
 import heapq
 import json
 import re
+import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from hashlib import sha256
+from hashlib import md5, sha256
 from itertools import chain, count
 
 import numpy as np
@@ -34,16 +37,15 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import pre_tokenizers
 
 from ratemill.session import shared_dir
 
 from .lexicon import Lexicon, compile_lexicon
-from .tables import slices
+from .tables import slices, stored
 
-#: The pattern of byte-level BPE of this family (fixed by the vocabulary's format).
-WORDS = regex.compile(
-    r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-)
+#: The pattern of byte-level BPE of this family (fixed by the vocabulary's format), for letters and numbers.
+WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?{L}+| ?{N}+| ?[^\s{L}{N}]+|\s+(?!\S)|\s+"""
 #: Unicode white space, and a cut before each run of it.
 SPACE = r"\t-\r \x85\xa0  -     　"
 PIECES = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
@@ -57,6 +59,27 @@ CHUNK = 1 << 21
 WIDTHS = (8, 16, 32, 64)
 
 
+@lru_cache(1)
+def word_pattern() -> regex.Pattern:
+    """The pattern with the letters and numbers that the tokenizers library knows.
+
+    Packages have Unicode tables of different age. For characters that ``regex`` knows and
+    ``unicodedata`` does not, the library is asked: it joins a letter to a letter and a number to a number.
+    """
+    every = "".join(map(chr, chain(range(0xD800), range(0xE000, 0x110000))))
+    split = pre_tokenizers.ByteLevel(add_prefix_space=False).pre_tokenize_str
+    classes = {}
+    for kind, before in (("L", "a"), ("N", "1")):
+        found = regex.findall(rf"\p{{{kind}}}", every)
+        unsure = [c for c in found if unicodedata.category(c) == "Cn"]
+        unknown = [ord(c) for c in unsure if len(split(before + c)) > 1]
+        starts = [c for c, last in zip(unknown, [-1, *unknown]) if c != last + 1]
+        ends = [c for c, following in zip(unknown, [*unknown[1:], -1]) if c != following - 1]
+        ranges = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(starts, ends))
+        classes[kind] = rf"[\p{{{kind}}}--[{ranges}]]" if ranges else rf"\p{{{kind}}}"
+    return regex.compile(WORDS.replace("{L}", classes["L"]).replace("{N}", classes["N"]), regex.V1)
+
+
 def _byte_letters() -> dict[str, int]:
     """The letters that stand for bytes in the vocabulary file: printable ones for themselves."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -227,13 +250,13 @@ class Tokenizer:
     def parts(self, piece: str) -> list[tuple[str, int | None]]:
         """Words of a piece, and added tokens with their ids."""
         if not any(map(piece.__contains__, self.added)):
-            return [(word, None) for word in WORDS.findall(piece)]
+            return [(word, None) for word in word_pattern().findall(piece)]
         found = []
         for n, text in enumerate(self.cut.split(piece)):
             if n % 2:
                 found.append((text, self.added[text]))
             else:
-                found.extend((word, None) for word in WORDS.findall(text))
+                found.extend((word, None) for word in word_pattern().findall(text))
         return found
 
 
@@ -292,21 +315,27 @@ def _arrow(lists: Lists) -> pa.ListArray:
 def build_lexicon(docs: DataFrame, spec: str, most_words: int = 1 << 17, longest: int = 64) -> str:
     """Compile the most frequent words of all texts; the name of the file sent to the executors.
 
-    At most ``most_words`` words of at most ``longest`` bytes come to the driver.
+    At most ``most_words`` words of at most ``longest`` bytes come to the driver. They are those above a
+    count, which is found from the number of words per size class of the count (sixteenths of a
+    doubling, about a thousand rows), so nothing is sorted. Words of a class that does not fit in whole stay out.
     """
     spark = docs.sparkSession
     words = docs.select("text").mapInArrow(
         lambda batches: _word_counts(batches, spec), "word binary, n long"
     )
-    frequent = (
+    counts = stored(
         words.where(F.octet_length("word") <= longest)
         .groupBy("word")
         .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "word")
-        .limit(most_words)
-        .select("word")
+        .withColumn("class", F.floor(F.log2("n") * 16).cast("int"))
     )
-    rows = frequent.mapInArrow(
+    left, least = most_words, None
+    for row in sorted(counts.groupBy("class").count().collect(), key=lambda r: -r["class"]):
+        if row["count"] > left:
+            break
+        left, least = left - row["count"], row["class"]
+    frequent = counts.where(F.lit(False) if least is None else F.col("class") >= least)
+    rows = frequent.select("word").mapInArrow(
         lambda batches: _merged(batches, spec), "word binary, ids array<int>"
     ).toArrow()
     entries = {
@@ -386,9 +415,9 @@ def _lexicon(name: str) -> Lexicon:
 
 
 def _hashes(
-    tokens: pa.Array, ids: Lists, order: np.ndarray, sizes: np.ndarray, cut: int
+    tokens: pa.Array, ids: Lists, order: np.ndarray, sizes: np.ndarray, cut: int, digest=sha256
 ) -> list[str]:
-    """SHA-256 of the tokens' bytes joined, per text, without the last ``cut`` bytes."""
+    """A digest of the tokens' bytes joined, per text, without the last ``cut`` bytes."""
     pieces = Lists(*_bytes(tokens.take(pa.array(ids.flat)))).within(ids.counts)
     edges = pa.py_buffer(np.concatenate([[0], pieces.ends]))
     values = pa.Array.from_buffers(
@@ -397,7 +426,7 @@ def _hashes(
     texts = Lists(*_bytes(values.take(pa.array(order)))).within(sizes)
     view = memoryview(texts.flat)
     return [
-        sha256(view[b - n : max(b - cut, b - n)]).hexdigest()
+        digest(view[b - n : max(b - cut, b - n)]).hexdigest()
         for b, n in zip(texts.ends.tolist(), texts.counts.tolist())
     ]
 
@@ -460,16 +489,51 @@ def encode(docs: DataFrame, spec: str, lexicon: str) -> DataFrame:
     )
 
 
+def _round_trip(batches: Iterator[pa.RecordBatch], spec: str, name: str) -> Iterator[pa.RecordBatch]:
+    encoder = Encoder(spec, _lexicon(name))
+    for batch in batches:
+        others = batch.drop_columns(["text"])
+        for part, texts in _parts(batch):
+            ids, order, sizes = encoder.batch(texts)
+            tokens = _arrow(ids.take(order).within(sizes))
+            decoded = pa.array(_hashes(encoder.tokenizer.decoded, ids, order, sizes, 0, md5), pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [*(c[part] for c in others.columns), tokens, decoded],
+                names=[*others.schema.names, "token_ids", "decoded_md5"],
+            )
+
+
+def encode_and_decode(docs: DataFrame, spec: str, lexicon: str) -> DataFrame:
+    """The rows without their text, with ``token_ids`` and the MD5 of the text that these decode to.
+
+    One step does both, so a task has one worker and one vocabulary; bytes are joined some texts at
+    a time. Columns of the added names are replaced, others are kept.
+    """
+    docs = docs.drop("token_ids", "decoded_md5")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.drop("text").schema)
+    return docs.mapInArrow(
+        lambda batches: _round_trip(batches, spec, lexicon),
+        ", ".join(filter(None, [fields, "token_ids array<int>, decoded_md5 string"])),
+    )
+
+
 def _decoded(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.RecordBatch]:
-    bytes_of = load_tokenizer(spec).bytes_of
+    tokens = load_tokenizer(spec).decoded
     for batch in batches:
-        texts = [
-            b"".join(bytes_of[i] for i in ids or ()).decode("utf-8", "replace")
-            for ids in batch.column("token_ids").to_pylist()
-        ]
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"]
-        )
+        lists = batch.column("token_ids")
+        counts = pc.fill_null(pc.list_value_length(lists), 0)
+        for part in slices(counts.to_pylist(), CHUNK):
+            ids, n = pc.list_flatten(lists[part]), counts[part].to_numpy()
+            pieces = Lists(*_bytes(tokens.take(ids))).within(n.astype(np.int64))
+            view = memoryview(pieces.flat)
+            texts = [
+                str(view[end - size : end], "utf-8", "replace")
+                for end, size in zip(pieces.ends.tolist(), pieces.counts.tolist())
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [*(c[part] for c in batch.columns), pa.array(texts, pa.string())],
+                names=[*batch.schema.names, "decoded"],
+            )
 
 
 def decode(tokens: DataFrame, spec: str) -> DataFrame:

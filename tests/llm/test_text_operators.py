@@ -1,7 +1,11 @@
 import hashlib
 import re
+import unicodedata
 
+import numpy as np
+import pyarrow as pa
 import pytest
+import regex
 from tokenizers import Tokenizer
 
 from ratemill.llm import bpe, lexicon, quality, queries, secrets, simhash
@@ -235,7 +239,7 @@ def test_bpe_every_character_class(spark, spec):
     """Each character between others, where pattern and library could disagree."""
     library = Tokenizer.from_str(spec)
     encoder = bpe.Encoder(spec, None)
-    encoder.lexicon = type("None", (), {"numbers": lambda _, w: __import__("numpy").full(len(w), -1)})()
+    encoder.lexicon = type("None", (), {"numbers": lambda _, w: np.full(len(w), -1)})()
     points = [c for c in range(0x3400) if not 0xD800 <= c < 0xE000]
     for shape in ("a{0}b", "a {0} b", "1{0}{0}2", "{0}\n{0}", " {0}", "a{0} {0} {0}b"):
         texts_ = ["".join(shape.format(chr(c)) for c in points[i : i + 64]) for i in range(0, len(points), 64)]
@@ -246,6 +250,44 @@ def test_bpe_every_character_class(spark, spec):
             ).ids
 
 
+def test_bpe_characters_of_all_planes(spec):
+    """Letters and numbers in doubt, and others, with an apostrophe before and after."""
+    library = Tokenizer.from_str(spec)
+    encoder = bpe.Encoder(spec, None)
+    encoder.lexicon = type("None", (), {"numbers": lambda _, w: np.full(len(w), -1)})()
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    doubt = [c for c in regex.findall(r"[\p{L}\p{N}]", every) if unicodedata.category(c) == "Cn"]
+    points = [*doubt, *every[::97]]
+    shaped = [f"a{c}b {c}{c}'s 1{c}'s '{c} {c}'ll{c}" for c in points]
+    ids, order, sizes = encoder.batch(shaped)
+    rows = ids.take(order).within(sizes)
+    expected = library.encode_batch(shaped, add_special_tokens=False)
+    assert [c for i, c in enumerate(points) if rows[i].tolist() != expected[i].ids] == []
+
+
+def test_lexicon_takes_whole_classes_of_counts(spark, spec, monkeypatch):
+    """The most frequent words, as many as fit; words with equal counts stay together."""
+    docs = spark.createDataFrame([("a a a a bb bb bb ccc ccc dddd eeeee",)], "text string")
+    taken = []
+    monkeypatch.setattr(bpe, "compile_lexicon", lambda entries: taken.append(set(entries)) or b"")
+    for most in (0, 1, 2, 3, 5, 9):
+        bpe.build_lexicon(docs, spec, most_words=most)
+    words = [b" a", b" bb", b"a", b" ccc", b" dddd", b" eeeee"]
+    assert taken[0] == set() and taken[-1] == set(words)
+    assert all(a <= b for a, b in zip(taken, taken[1:]))
+    assert taken[2] == {b" a", b" bb"}
+
+
+def test_decode_in_parts(spark, spec, monkeypatch):
+    monkeypatch.setattr(bpe, "CHUNK", 7)
+    texts_ = ["é 😀  x", "", "a long text of words", "x"]
+    library = Tokenizer.from_str(spec)
+    rows = [(t, library.encode(t, add_special_tokens=False).ids) for t in texts_] + [(None, None)]
+    table = pa.table({"text": [t for t, _ in rows], "token_ids": pa.array([i for _, i in rows], pa.list_(pa.int32()))})
+    found = pa.Table.from_batches(bpe._decoded(iter(table.to_batches()), spec)).to_pylist()
+    assert [r["decoded"] for r in found] == [*texts_, ""]
+
+
 def test_bpe_of_nothing(no_docs, spec):
     assert bpe.encode(no_docs, spec, bpe.build_lexicon(no_docs, spec)).count() == 0
 
