@@ -43,15 +43,10 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """BPE: one row per document and copy, with its token ids and the MD5 of the text they decode to."""
     spec = tokenizer_spec()
-    encoded = bpe.encode(docs, spec, bpe.build_lexicon(docs, spec))
-    decoded = bpe.decode(encoded.select("doc_id", "source", "token_ids"), spec)
-    return decoded.select(
-        "doc_id",
-        "source",
-        F.size("token_ids").cast("long").alias("n_tokens"),
-        "token_ids",
-        F.md5(F.encode("decoded", "UTF-8")).alias("decoded_md5"),
-    )
+    docs = docs.select("doc_id", "source", "text")
+    found = bpe.encode_and_decode(docs, spec, bpe.build_lexicon(docs, spec))
+    n_tokens = F.size("token_ids").cast("long").alias("n_tokens")
+    return found.select("doc_id", "source", n_tokens, "token_ids", "decoded_md5")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
