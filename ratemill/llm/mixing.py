@@ -105,7 +105,7 @@ def targets(
     )
 
 
-def mix(
+def _placed(
     docs: DataFrame,
     weights: tuple[int, ...] = (5, 2, 1),
     share: Fraction = Fraction(3, 2),
@@ -113,12 +113,7 @@ def mix(
     seed: str = "mix",
     keep: list[str] | None = None,
 ) -> DataFrame:
-    """Every row of ``docs`` (doc_id, source, text) with its part in the mix.
-
-    Adds mix_size, mix_source_size, mix_target and mix_copies (how often the
-    document is taken). ``keep`` names the input columns to carry on, all by
-    default; fewer columns make the shuffle smaller.
-    """
+    """``row``, a struct of the input's columns, with mix_size, mix_source_size, mix_target and mix_copies."""
     carried = docs.columns if keep is None else keep
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row"),
@@ -150,7 +145,7 @@ def mix(
     # The document at the cut is taken if that brings the sum nearer to the budget.
     nearer = (F.col("rest") > 0) & (2 * F.col("before") + F.col("size") <= 2 * F.col("rest"))
     return placed.select(
-        "row.*",
+        "row",
         F.col("size").alias("mix_size"),
         F.col("source_size").alias("mix_source_size"),
         F.col("target").alias("mix_target"),
@@ -158,8 +153,19 @@ def mix(
     )
 
 
+def mix(docs: DataFrame, keep: list[str] | None = None, **options) -> DataFrame:
+    """Every row of ``docs`` (doc_id, source, text) with its part in the mix.
+
+    Adds mix_size, mix_source_size, mix_target and mix_copies (how often the
+    document is taken). ``keep`` names the input columns to carry on, all by
+    default; fewer columns make the shuffle smaller. ``options`` are weights, share, most_epochs and seed.
+    """
+    placed = _placed(docs, keep=keep, **options)
+    return placed.select("row.*", *placed.columns[1:])
+
+
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: each document as often as it is taken, with its own columns."""
-    mixed = mix(docs, **options).where("mix_copies > 0")
-    copies = F.explode(F.sequence(F.lit(1), F.col("mix_copies"))).alias("mix_copy")
-    return mixed.select(*docs.columns, copies).drop("mix_copy")
+    """The mix itself: each document as often as it is taken, with its own columns of any names."""
+    taken = _placed(docs, **options).where("mix_copies > 0")
+    copies = F.explode(F.sequence(F.lit(1), F.col("mix_copies"))).alias("copy")
+    return taken.select("row", copies).select("row.*")

@@ -258,8 +258,9 @@ def one_of_each(docs: DataFrame, shingle: int = 4, max_bits: int = MAX_BITS) ->
     first of the table comes first. Components are told apart by their fingerprints, so
     an id that stands in several of them keeps a row in each.
     """
-    numbered = stored(docs.withColumn("simhash_row", F.monotonically_increasing_id()))
-    marked = numbered.select("doc_id", "simhash_row", "text").mapInArrow(
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    numbered = stored(docs.select(F.monotonically_increasing_id().alias("simhash_row"), row))
+    marked = numbered.select("row.doc_id", "simhash_row", "row.text").mapInArrow(
         lambda batches: _fingerprints(batches, shingle),
         "doc_id long, simhash_row long, fingerprint long",
     )
@@ -267,7 +268,7 @@ def one_of_each(docs: DataFrame, shingle: int = 4, max_bits: int = MAX_BITS) ->
     nodes = stored(marked.groupBy("fingerprint").agg(first.alias("first")))
     kept = _rooted(nodes, max_bits).groupBy("root").agg(F.min("first").alias("first"))
     kept = kept.select(F.col("first.simhash_row").alias("simhash_row"))
-    return numbered.join(kept, "simhash_row", "left_semi").select(*docs.columns)
+    return numbered.join(kept, "simhash_row", "left_semi").select("row.*")
 
 
 def hex_digits(column):
