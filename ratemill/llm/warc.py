@@ -36,6 +36,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ratemill.operators.order import with_positions
+
 from .tables import filesystem, stored
 
 #: Skippable frames: the number for dictionaries, and the range of all.
@@ -366,11 +368,21 @@ def _read(
                 yield pa.RecordBatch.from_pylist(rows, RECORDS)
 
 
-def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
-    """The records of the archives in ``manifest`` (path), in columns of RECORD_SQL.
+def read_archives(
+    manifest: DataFrame, payloads: bool = True, task_bytes: int = 128 << 20
+) -> DataFrame:
+    """The records of the archives in ``manifest`` (path, and bytes if known), in columns of RECORD_SQL.
 
-    Archives are dealt out over the tasks; ``payloads=False`` checks payloads
+    Archives are dealt out in turn, largest first, over as many tasks as ``task_bytes`` asks for, and over all
+    cores at least; there is no task without an archive. ``payloads=False`` checks payloads
     and leaves them out.
     """
-    spread = manifest.select("path").repartition("path")
+    size = F.col("bytes") if "bytes" in manifest.columns else F.lit(0)
+    listed = manifest.select("path", size.cast("long").alias("bytes"))
+    placed = with_positions(listed, [F.desc("bytes"), F.col("path")], "place")
+    n, total = placed.agg(F.count("*"), F.sum("bytes")).first()
+    cores = manifest.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(n, max(cores, -(-(total or 0) // task_bytes))))
+    spread = placed.select("path", F.pmod("place", F.lit(tasks)).cast("int").alias("task"))
+    spread = spread.repartitionById(tasks, "task").select("path")
     return spread.mapInArrow(lambda batches: _read(batches, payloads), RECORD_SQL)
