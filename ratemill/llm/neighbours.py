@@ -237,14 +237,22 @@ def _probes(
     return probes
 
 
+def _in_range(rows: np.ndarray) -> np.ndarray:
+    """Rows times a power of two each, exactly, so that their squares are neither lost nor infinite."""
+    _, exponents = np.frexp(np.abs(rows).max(axis=1, initial=0.0))
+    # In two steps, as a factor itself may leave the range.
+    half = -exponents // 2
+    return np.ldexp(np.ldexp(rows, half[:, None]), (-exponents - half)[:, None])
+
+
 def _best(queries: pa.Table, members: pa.Table, most: int) -> pa.Table:
     """The nearest rows to each query among the members of a bucket piece."""
     out: list[tuple] = []
     if queries.num_rows and members.num_rows:
-        m = _matrix(members.column("vector"))
+        m = _in_range(_matrix(members.column("vector")))
         norms = np.sqrt((m * m).sum(axis=1))
         rows = [list(zip(*x)) for x in zip(*(members.column(c).to_pylist() for c in ("ids", "rows")))]
-        for query, q in zip(queries.column("k").to_pylist(), _matrix(queries.column("vector"))):
+        for query, q in zip(queries.column("k").to_pylist(), _in_range(_matrix(queries.column("vector")))):
             scores = (m * q).sum(axis=1) / (norms * np.sqrt((q * q).sum()))
             near = np.arange(len(scores))
             if len(scores) > most:

@@ -67,7 +67,8 @@ def assign_shards(
     opened = stored(rows)
     while first or not opened.isEmpty():
         if used == BITS:
-            salted = F.concat_ws("#", name, F.monotonically_increasing_id().cast("string"))
+            own = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+            salted = F.concat_ws("#", own, F.monotonically_increasing_id().cast("string"))
             opened, used = stored(opened.withColumn("bits", hash_bits(salted))), 0
         used += ROUND_BITS
         cut = opened.withColumn(

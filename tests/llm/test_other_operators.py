@@ -2,6 +2,7 @@ import hashlib
 import io
 import math
 import struct
+from collections import Counter
 from fractions import Fraction
 
 import numpy as np
@@ -369,3 +370,45 @@ def test_warc_frames(spark, tmp_path):
     path.write_bytes(plain + zstandard.ZstdCompressor().compress(b"WARC/1.1\r\n") + plain[:-5])
     rows = warc.read_archives(spark.createDataFrame([(str(path),)], "path string")).collect()
     assert [r["problem"] is None for r in rows] == [True, False, False]
+
+
+# --- cases that reviews have found ------------------------------------------
+
+
+@pytest.mark.parametrize("size", [1e200, 1e-200, 1e-310])
+def test_neighbours_of_very_large_and_small_vectors(spark, size):
+    rng = np.random.default_rng(5)
+    rows = [(i, (rng.normal(size=4) * size).tolist()) for i in range(12)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = neighbours.nearest(table, F.col("vec_id") % 4 == 0, neighbours=3).collect()
+    assert len(found) == 9
+    unit = {i: np.array(v) / np.abs(v).max() for i, v in rows}
+    unit = {i: v / np.sqrt(v @ v) for i, v in unit.items()}
+    for query in (0, 4, 8):
+        expected = sorted((-float(unit[query] @ unit[i]), i) for i in unit if i != query)[:3]
+        own = sorted((r["rank"], r["vec_id"], r["score"]) for r in found if r["query_id"] == query)
+        assert [i for _, i, _ in own] == [i for _, i in expected]
+        assert np.allclose([s for *_, s in own], [-s for s, _ in expected], rtol=1e-12)
+
+
+def test_shards_of_repeated_ids_under_another_name(spark):
+    rows = [(i % 2, "x" * 40) for i in range(9)] + [(None, "y" * 40)] * 3
+    pages = spark.createDataFrame(rows, "page_id long, html string")
+    found = sharding.assign_shards(pages, 100, "page_id", "html").collect()
+    sizes = Counter()
+    for r in found:
+        sizes[r["shard"]] += r["shard_doc_bytes"]
+    assert len(found) == 12 and all(n <= 100 for n in sizes.values())
+
+
+def test_archives_are_read_by_as_many_tasks(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    for n in (0, 1, 5, 3 * cores):
+        rows = [(f"file:{tmp_path / f'{i}.warc.zst'}", i) for i in range(n)]
+        for i in range(n):
+            (tmp_path / f"{i}.warc.zst").write_bytes(b"no frame")
+        manifest = spark.createDataFrame(rows, "path string, bytes long").repartition(4)
+        found = warc.read_archives(manifest)
+        tasks = [r["n"] for r in found.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert len(tasks) == min(n, cores) and sum(tasks) == n  # each such file is one problem row
+        assert max(tasks, default=0) <= 3
