@@ -21,7 +21,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from . import schemas
-from .operators import checks, refdata, synth
+from .operators import refdata, synth
 from .plans import sheet as plans
 from .session import build_session
 from .sources import csvfiles, reference
@@ -80,26 +80,10 @@ def _billing(
 
 
 def _check(spark: SparkSession, store: str) -> list[tuple[str, DataFrame]]:
-    table = {name: reference.read_table(spark, store, name) for name in reference.TABLES}
-    found = [
-        (f"{name}: repeated key", checks.composite_key_violations(table[name], keys))
-        for name, keys in refdata.KEYS.items()
-    ]
-    found += [
-        (
-            f"{name}: missing value",
-            checks.null_violations(table[name], name, columns).filter("n_null > 0"),
-        )
-        for name, columns in refdata.REQUIRED.items()
-    ]
-    orphans = checks.reference_orphans(
-        *(table[n] for n in ("customers_db", "items_db", "price_levels_db")),
-        table["price_level_rules"],
-        table["prices_db"],
+    folders = reference.current(spark, store).tables
+    return refdata.check_reference(
+        {name: reference.read_folders(spark, name, folders[name]) for name in reference.TABLES}
     )
-    found.append(("unknown reference", orphans))
-    found.append(("prices equal after normalising", checks.price_key_duplicates(table["prices_db"])))
-    return found
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:

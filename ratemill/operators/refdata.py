@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import reference
-from .checks import orphans, reference_orphans
+from .checks import Constraints, check_tables, orphans, price_constraints, reference_orphans
 from .lookups import required_order
 
 # Keys and required columns of the tables to be matched.
@@ -25,6 +25,16 @@ REQUIRED = {
 }
 
 
+REFERENCES = {
+    "price_level_rules": {"customer_name": "customers_db"},
+    "prices_db": {
+        "customer_name": "customers_db",
+        "item_code": "items_db",
+        "price_level_name": "price_levels_db",
+    },
+}
+
+
 class UnknownReference(ValueError):
     """A row names a customer, item or level that its table lacks."""
 
@@ -144,6 +154,15 @@ def build_reference_store(
     reference.publish(spark, location, built)
 
 
+def check_reference(tables: dict[str, DataFrame]) -> list[tuple[str, DataFrame]]:
+    """All constraints of the reference tables, each table read once; see ``checks.check_tables``."""
+    constraints = {}
+    for name in reference.TABLES:
+        parts = KEYS.get(name, []), REQUIRED[name], REFERENCES.get(name, {})
+        constraints[name] = price_constraints(*parts) if name == "prices_db" else Constraints(*parts)
+    return check_tables(tables, constraints)
+
+
 def _raise_if_any(found: DataFrame) -> None:
     for row in found.limit(1).collect():
         raise UnknownReference(f"{row.table_name}.{row.column_name} has {row.value!r}")

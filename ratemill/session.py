@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import io
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,10 +51,42 @@ def use_shared_folder(spark: SparkSession) -> None:
 
 def shared_dir(spark: SparkSession) -> str:
     """A fresh directory name in the shared folder."""
-    return f"{_shared_base(spark).rstrip('/')}/ratemill-{uuid.uuid4().hex}"
+    return f"{_shared_base(spark).rstrip('/')}/ratemill-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows as they are now, saved in the shared folder."""
     _shared_base(df.sparkSession)
     return df.checkpoint()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, by way of the shared folder.
+
+    Without it Python steps work only where the package is installed or on the path of the workers;
+    ``spark-submit --py-files`` does the same.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_ratemill_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for path in sorted(package.rglob("*.py")):
+            archive.write(path, path.relative_to(package.parent))
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}.zip")
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    out.write(packed.getvalue())
+    out.close()
+    context.addPyFile(target.toString())
+    context._ratemill_shipped = True
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete what this application has written to the shared folder; results that read it fail afterwards."""
+    base = spark._jvm.org.apache.hadoop.fs.Path(_shared_base(spark))
+    files = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(base):
+        for status in files.listStatus(base):
+            if status.getPath().getName().startswith(f"ratemill-{spark.sparkContext.applicationId}-"):
+                files.delete(status.getPath(), True)

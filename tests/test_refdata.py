@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from ratemill.sources.reference import read_table
 
@@ -266,3 +267,58 @@ def test_a_repeated_load_numbers_once(spark, tmp_path):
     assert refdata.load_rules(spark, location, batch, load_id="tuesday")
     assert read_table(spark, location, "price_level_rules").count() == 3 * len(RULES)
     assert reference.current(spark, location).loads == ("monday", "tuesday")
+
+
+# --- all checks in one pass -------------------------------------------------
+
+
+def _broken(spark):
+    """Tables that break every constraint."""
+    seeds = seed_frames(spark)
+    tables_ = {
+        name: seeds[name].drop(*({"seq", "rule_id"} - set(schema.names))) for name, schema in reference.TABLES.items()
+    }
+    tables_["price_level_rules"] = seeds["price_level_rules"].withColumnRenamed("seq", "rule_id").select(
+        *reference.TABLES["price_level_rules"].names
+    )
+    more = spark.createDataFrame(
+        [(90, "Nobody", "1001", "Base Price", 1.0), (91, "Nobody", "1001", "Base Price", None),
+         (92, " nobody. ", "1001.0", "Base Price", 2.0), (93, None, "9999", "No Level", 3.0)],
+        schemas.PRICES,
+    )
+    tables_["prices_db"] = tables_["prices_db"].unionByName(more)
+    again = tables_["customers_db"].limit(1).withColumn("netsuite_id", F.lit(None).cast("string"))
+    tables_["customers_db"] = tables_["customers_db"].unionByName(again)
+    unknown = tables_["price_level_rules"].limit(1).withColumn("customer_name", F.lit("Who"))
+    tables_["price_level_rules"] = tables_["price_level_rules"].unionByName(unknown)
+    return tables_
+
+
+def test_all_checks_agree_with_the_single_ones(spark):
+    tables_ = _broken(spark)
+    found = dict(refdata.check_reference(tables_))
+    for name, keys in refdata.KEYS.items():
+        single = checks.composite_key_violations(tables_[name], keys)
+        assert rows(found[f"{name}: repeated key"], *single.columns) == rows(single, *single.columns)
+    for name, columns in refdata.REQUIRED.items():
+        single = checks.null_violations(tables_[name], name, columns).where("n_null > 0")
+        assert rows(found[f"{name}: missing value"], *single.columns) == rows(single, *single.columns)
+    order = ("customers_db", "items_db", "price_levels_db", "price_level_rules", "prices_db")
+    single = checks.reference_orphans(*(tables_[n] for n in order))
+    assert rows(found["unknown reference"], *single.columns) == rows(single, *single.columns)
+    single = checks.price_key_duplicates(tables_["prices_db"])
+    assert rows(found["prices_db: equal after normalising"], *single.columns) == rows(single, *single.columns)
+    assert all(df.count() for title, df in found.items() if "customers" in title or "prices" in title or "unknown" in title)
+
+
+def test_all_checks_read_each_table_once(spark, tmp_path):
+    """The violations come from the written counts; no plan of theirs reads a table."""
+    tables_ = {}
+    for name, df in _broken(spark).items():
+        df.write.parquet(str(tmp_path / name))
+        tables_[name] = spark.read.schema(df.schema).parquet(str(tmp_path / name))
+    found = refdata.check_reference(tables_)
+    for _, violations in found:
+        plan = violations._jdf.queryExecution().toString()
+        assert str(tmp_path) not in plan
+        violations.collect()
