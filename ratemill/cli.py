@@ -1,6 +1,6 @@
 """Command line.
 
-    python -m ratemill build-store --store DIR --seeds DIR
+    python -m ratemill build-store --store DIR --seeds DIR [--buckets N]
     python -m ratemill load-rules  --store DIR --rules CSV [--load-id ID]
     python -m ratemill check       --store DIR
     python -m ratemill sheet       --store DIR --billing CSV --out DIR [--variant V] ...
@@ -43,7 +43,7 @@ def _parser() -> argparse.ArgumentParser:
             sub.add_argument(f"--{option}", required=True)
         return sub
 
-    command("build-store", "store", "seeds")
+    command("build-store", "store", "seeds").add_argument("--buckets", type=int)
     command("load-rules", "store", "rules").add_argument("--load-id")
     command("check", "store")
     for sub in (
@@ -80,9 +80,9 @@ def _billing(
 
 
 def _check(spark: SparkSession, store: str) -> list[tuple[str, DataFrame]]:
-    folders = reference.current(spark, store).tables
+    commit = reference.current(spark, store)
     return refdata.check_reference(
-        {name: reference.read_folders(spark, name, folders[name]) for name in reference.TABLES}
+        {n: reference.read_folders(spark, n, commit.tables[n], commit.buckets) for n in reference.TABLES}
     )
 
 
@@ -94,7 +94,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
             name: csvfiles.read_seed(spark, f"{args.seeds}/{name}.csv", schema)
             for name, schema in reference.TABLES.items()
         }
-        refdata.build_reference_store(spark, args.store, seeds)
+        refdata.build_reference_store(spark, args.store, seeds, buckets=args.buckets)
     elif args.command == "load-rules":
         rules = csvfiles.read_rules(spark, args.rules).withColumnRenamed("rule_id", "seq")
         if not refdata.load_rules(spark, args.store, rules, load_id=args.load_id):

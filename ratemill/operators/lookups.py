@@ -39,10 +39,23 @@ def last_per_key(df: DataFrame, keys: list[str], order: str = "seq") -> DataFram
     return df.groupBy(*keys).agg(picked).select(*keys, "_row.*")
 
 
+def stored_keys(table: str) -> dict[str, Column]:
+    """The normalised key columns that a bucketed table of this name has."""
+    customer = {"customer_key": match_key(F.col("customer_name"))}
+    item = {"item_key": item_key(F.col("item_code"))}
+    level = {"level_key": level_key(F.col("price_level_name"))}
+    return {"customers_db": customer, "items_db": item, "prices_db": customer | item | level}.get(table, {})
+
+
+def _key(table: DataFrame, name: str, made: Column) -> Column:
+    """A stored key column, if the table has it, else the key made from its name."""
+    return (F.col(name) if name in table.columns else made).alias(name)
+
+
 def customer_ids(customers: DataFrame, dedupe: bool = True) -> DataFrame:
     """``customer_key``, ``customer_id``; the first customer of a key unless told otherwise."""
     ids = customers.select(
-        match_key(F.col("customer_name")).alias("customer_key"),
+        _key(customers, "customer_key", match_key(F.col("customer_name"))),
         F.col("netsuite_id").alias("customer_id"),
         "seq",
     )
@@ -53,9 +66,10 @@ def item_ids(
     items: DataFrame, dedupe: bool = True, text_keys: bool = False
 ) -> DataFrame:
     """``item_key``, ``item_id``, ``line_order``; as ``customer_ids``."""
-    key = item_key_text if text_keys else item_key
+    code = F.col("item_code")
+    key = item_key_text(code).alias("item_key") if text_keys else _key(items, "item_key", item_key(code))
     ids = items.select(
-        key(F.col("item_code")).alias("item_key"),
+        key,
         F.col("netsuite_internal_id").alias("item_id"),
         "line_order",
         "seq",
@@ -65,11 +79,12 @@ def item_ids(
 
 def price_keys(prices: DataFrame, text_keys: bool = False) -> DataFrame:
     """Prices under normalised keys. Not deduplicated: equal keys multiply lines."""
-    key = item_key_text if text_keys else item_key
+    code = F.col("item_code")
+    key = item_key_text(code).alias("item_key") if text_keys else _key(prices, "item_key", item_key(code))
     return prices.select(
-        match_key(F.col("customer_name")).alias("customer_key"),
-        key(F.col("item_code")).alias("item_key"),
-        level_key(F.col("price_level_name")).alias("level_key"),
+        _key(prices, "customer_key", match_key(F.col("customer_name"))),
+        key,
+        _key(prices, "level_key", level_key(F.col("price_level_name"))),
         "price",
     )
 

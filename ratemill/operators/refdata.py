@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources import reference
 from .checks import Constraints, check_tables, orphans, price_constraints, reference_orphans
-from .lookups import required_order
+from .lookups import required_order, stored_keys
 
 # Keys and required columns of the tables to be matched.
 KEYS = {
@@ -56,7 +56,11 @@ def new_rows(
         .agg(F.min_by(F.struct(*payload), required_order("seq")).alias("_row"))
         .select(*keys, "_row.*")
     )
-    return first.join(existing.select(*keys), keys, "left_anti").select(*batch.columns)
+    # Equal names have equal normalised keys; where the table is bucketed by these, only the batch moves.
+    made = {k: c for names in KEYS for k, c in stored_keys(names).items() if k in existing.columns}
+    made = {k: c for k, c in made.items() if k not in batch.columns}
+    on = [*made, *keys]
+    return first.withColumns(made).join(existing.select(*on), on, "left_anti").select(*batch.columns)
 
 
 def insert_or_ignore(existing: DataFrame, batch: DataFrame, keys: list[str], required: list[str]) -> DataFrame:
@@ -123,7 +127,11 @@ def load_rules(
 
 
 def build_reference_store(
-    spark: SparkSession, location: str, seeds: dict[str, DataFrame], skip_unknown: bool = False
+    spark: SparkSession,
+    location: str,
+    seeds: dict[str, DataFrame],
+    skip_unknown: bool = False,
+    buckets: int | None = None,
 ) -> None:
     """Create the reference tables anew and load the seeds, parents before children.
 
@@ -131,14 +139,20 @@ def build_reference_store(
     the foreign keys are not checked, except that rules of unknown customers
     are left out. All tables are written to folders of their own and checked there; one commit then
     makes them the store. A store that is at ``location`` stays as it is until then, whatever fails.
+    With ``buckets`` customers, items and prices are bucketed and sorted by normalised key, so that lookups
+    in them, and later inserts, shuffle the other side only.
     """
     before, folder = reference.current(spark, location), reference.new_folder(location)
-    tables = {}
+    tables, bucketed = {}, {}
     for name, keys in KEYS.items():
         nothing = spark.createDataFrame([], reference.TABLES[name])
         rows = new_rows(nothing, seeds[name], keys, REQUIRED[name])
-        path = reference.write_table(rows, folder, name)
-        tables[name] = reference.read_folders(spark, name, [path])
+        if buckets and stored_keys(name):
+            reference.write_bucketed(rows, folder, name, buckets)
+            bucketed[f"{folder}/{name}"] = buckets
+        else:
+            reference.write_table(rows, folder, name)
+        tables[name] = reference.read_folders(spark, name, [f"{folder}/{name}"], bucketed)
     name = "price_level_rules"
     nothing = spark.createDataFrame([], reference.TABLES[name])
     rules = accept_rules(nothing, seeds[name], tables["customers_db"], skip_unknown)
@@ -150,6 +164,7 @@ def build_reference_store(
         before.number,
         {n: [f"{folder}/{n}"] for n in tables},
         reference.highest_rule_id(tables[name]),
+        buckets=bucketed,
     )
     reference.publish(spark, location, built)
 

@@ -19,6 +19,8 @@ def build_session(app_name: str = "ratemill", **settings: str) -> SparkSession:
         # HotSpot does not compile methods above 8000 bytes; without generated
         # code they are at least compiled operator by operator.
         "spark.sql.codegen.hugeMethodLimit": "8000",
+        # A table bucketed by some of the join's keys stays where it is.
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         **settings,

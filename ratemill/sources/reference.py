@@ -17,12 +17,14 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import asdict, dataclass, field, replace
+from hashlib import md5
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..operators.lookups import stored_keys
 from ..plans.sheet import ReferenceTables
 
 TABLES = {
@@ -46,6 +48,8 @@ class Commit:
     tables: dict[str, list[str]] = field(default_factory=dict)
     last_rule_id: int = 0
     loads: tuple[str, ...] = ()
+    #: Number of buckets of the folders that are bucketed and sorted by normalised key.
+    buckets: dict[str, int] = field(default_factory=dict)
 
 
 def _path(spark: SparkSession, path: str):
@@ -116,15 +120,51 @@ def new_folder(location: str) -> str:
     return f"{location.rstrip('/')}/data/{uuid.uuid4().hex}"
 
 
+def _in_layout(rows: DataFrame, name: str) -> DataFrame:
+    return rows.select(*(rows[f.name].cast(f.dataType) for f in TABLES[name]))
+
+
 def write_table(rows: DataFrame, folder: str, name: str) -> str:
     """Write rows of a table in its layout below ``folder``; the path that a commit can name."""
-    schema, path = TABLES[name], f"{folder}/{name}"
-    rows.select(*(rows[f.name].cast(f.dataType) for f in schema)).write.parquet(path)
+    path = f"{folder}/{name}"
+    _in_layout(rows, name).write.parquet(path)
+    return path
+
+
+def write_bucketed(rows: DataFrame, folder: str, name: str, buckets: int) -> str:
+    """The same with the table's normalised keys as columns, bucketed and sorted by them.
+
+    Joins and groupings by these keys then leave the stored side where it is. The catalog knows the
+    table while it is written only; ``read_folders`` makes it known again from the commit.
+    """
+    path, keys = f"{folder}/{name}", stored_keys(name)
+    keyed = _in_layout(rows, name).withColumns(keys)
+    table = _catalog_name(path)
+    # As many tasks as buckets, so that a bucket is one file.
+    dealt = keyed.repartition(buckets, *keys)
+    dealt.write.option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    rows.sparkSession.sql(f"DROP TABLE {table}")
     return path
 
 
-def read_folders(spark: SparkSession, name: str, folders: list[str]) -> DataFrame:
-    return spark.read.schema(TABLES[name]).parquet(*folders)
+def _catalog_name(path: str) -> str:
+    return f"ratemill_{md5(path.encode()).hexdigest()}"
+
+
+def read_folders(
+    spark: SparkSession, name: str, folders: list[str], buckets: dict[str, int] | None = None
+) -> DataFrame:
+    """The rows in these folders; a single bucketed one has its key columns besides and its buckets are used."""
+    n = (buckets or {}).get(folders[0]) if len(folders) == 1 else None
+    if not n:
+        return spark.read.schema(TABLES[name]).parquet(*folders)
+    table, keys = _catalog_name(folders[0]), ", ".join(stored_keys(name))
+    columns = ", ".join([TABLES[name].toDDL(), *(f"{k} STRING" for k in stored_keys(name))])
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
+        f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {n} BUCKETS LOCATION '{folders[0]}'"
+    )
+    return spark.table(table)
 
 
 def create_tables(spark: SparkSession, location: str) -> Commit:
@@ -135,10 +175,10 @@ def create_tables(spark: SparkSession, location: str) -> Commit:
 
 
 def read_table(spark: SparkSession, location: str, name: str) -> DataFrame:
-    folders = current(spark, location).tables.get(name)
-    if not folders:
+    commit = current(spark, location)
+    if name not in commit.tables:
         raise FileNotFoundError(f"{location} is no reference store with a table {name}")
-    return read_folders(spark, name, folders)
+    return read_folders(spark, name, commit.tables[name], commit.buckets)
 
 
 def append_rows(rows: DataFrame, location: str, name: str) -> Commit:
@@ -214,14 +254,12 @@ def register_tables(spark: SparkSession, location: str, database: str) -> None:
 
 def read_reference(spark: SparkSession, location: str) -> ReferenceTables:
     """The four tables the sheet needs, from one commit of a reference store."""
-    tables = current(spark, location).tables
-    if not tables:
+    commit = current(spark, location)
+    if not commit.tables:
         raise FileNotFoundError(f"{location} is no reference store")
+    names = ("price_level_rules", "customers_db", "items_db", "prices_db")
     return ReferenceTables(
-        rules=read_folders(spark, "price_level_rules", tables["price_level_rules"]),
-        customers=read_folders(spark, "customers_db", tables["customers_db"]),
-        items=read_folders(spark, "items_db", tables["items_db"]),
-        prices=read_folders(spark, "prices_db", tables["prices_db"]),
+        *(read_folders(spark, name, commit.tables[name], commit.buckets) for name in names)
     )
 
 

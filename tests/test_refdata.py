@@ -322,3 +322,46 @@ def test_all_checks_read_each_table_once(spark, tmp_path):
         plan = violations._jdf.queryExecution().toString()
         assert str(tmp_path) not in plan
         violations.collect()
+
+
+# --- bucketed tables --------------------------------------------------------
+
+
+def _exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_bucketed_tables_stay_where_they_are(spark, tmp_path):
+    location = str(tmp_path / "store")
+    refdata.build_reference_store(spark, location, seed_frames(spark), buckets=8)
+    plain = str(tmp_path / "plain")
+    refdata.build_reference_store(spark, plain, seed_frames(spark))
+    stored, other = (reference.read_reference(spark, at) for at in (location, plain))
+    lines = billing(spark, ("Johnson-Clark", "1001", "NY", "X", "A", 2.0), ("Nobody", "7", "CA", "Y", "B", 1.0))
+    sheet = billing_sheet(lines, stored)
+    assert rows(sheet, *sheet.columns) == rows(billing_sheet(lines, other), *sheet.columns)
+    keyed = lookups.add_match_keys(
+        lines.selectExpr("customer", "item", "type AS price_level", "state")
+    )
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.maxMetadataStringLength": "1000"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        batch = seed_frames(spark)["customers_db"].unionByName(
+            customers(spark, ("New, Inc.", "n1"), (None, "n2"))
+        )
+        args = (batch, refdata.KEYS["customers_db"], refdata.REQUIRED["customers_db"])
+        for at, moved in ((stored, 0), (other, 1)):
+            # The sheet's side moves, and the table's only where it is not bucketed.
+            assert _exchanges(lookups.join_customer(keyed, at.customers)) == 1 + moved
+            assert _exchanges(lookups.join_item(keyed, at.items)) == 1 + moved
+            assert _exchanges(lookups.join_price(keyed, at.prices)) == 1 + moved
+            # The batch moves to be grouped, and to meet the table.
+            assert _exchanges(refdata.new_rows(at.customers, *args)) == 2 + moved
+        new, want = (refdata.new_rows(at.customers, *args) for at in (stored, other))
+        assert "Bucketed: true" in new._jdf.queryExecution().executedPlan().toString()
+        assert rows(new, "customer_name") == rows(want, "customer_name")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
