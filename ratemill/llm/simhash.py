@@ -19,6 +19,13 @@ of fingerprints. Equal fingerprints are one node from the start. Nodes that meet
 under a key are compared in full; of those within the distance only as many links
 go on as it takes to connect them, so a dense group gives no more links than members.
 
+Keys with more than ``dense_run`` fingerprints are not compared by one task. Their fingerprints
+meet at centres instead: words at most two bits from each, which any pair within four bits
+has in common. A centre has at most 2,081 words around it, however many copies there are,
+so these groups need no further split. The hottest keys are known from a sample of the
+fingerprints and are not shuffled at all; others are passed on as the run is read.
+The sample only decides the way: both ways find every pair.
+
 Empty and NULL texts have the fingerprint zero, which links like any other. A text
 of fewer words than a shingle is one shingle. Repeated rows share a fingerprint and
 a component. NULL ids are not counted for the smallest id; a component with no other
@@ -28,7 +35,8 @@ id has a NULL one. Empty tables give empty results. Extra columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import permutations
+from itertools import combinations, permutations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +52,12 @@ SEED = 42
 GOLAY = 0b101011100011
 SEGMENTS = ((41, 23), (18, 23), (0, 18))  # shift and width
 MAX_BITS = 4
+#: Fingerprints of one key that a task compares; more meet at centres.
+DENSE_RUN = 8192
+#: Of so many fingerprints one is sampled to find hot keys.
+SAMPLED = 64
+#: Keys that may be called hot before the shuffle: 512 KB.
+MOST_HOT = 65536
 
 
 def _golay_errors() -> tuple[np.ndarray, np.ndarray]:
@@ -141,13 +155,46 @@ def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[p
         )
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _keyed(batches: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Keys that are not among the sorted hot ones, with their fingerprints."""
+    for prints in _parts(batches, 4096):
+        rows, keys = join_keys(prints.view(np.uint64))
+        cold = ~_among(keys, hot)
+        yield pa.record_batch([keys[cold], prints[rows[cold]]], ["key", "fingerprint"])
+
+
+def _with_hot_keys(batches: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Fingerprints with a hot key."""
+    for prints in _parts(batches, 4096):
+        rows, keys = join_keys(prints.view(np.uint64))
+        yield pa.record_batch([prints[np.unique(rows[_among(keys, hot)])]], ["fingerprint"])
+
+
+def _centred(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
+    """Fingerprints under each word at most ``radius`` bits away."""
+    bits = [1 << i for i in range(64)]
+    errors = np.array(
+        [sum(chosen) for n in range(radius + 1) for chosen in combinations(bits, n)], np.uint64
+    )
+    for prints in _parts(batches, 32):
+        centres = (prints.view(np.uint64)[:, None] ^ errors).view(np.int64)
+        yield pa.record_batch(
+            [centres.ravel(), np.repeat(prints, len(errors))], ["key", "fingerprint"]
+        )
+
+
+def _parts(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[np.ndarray]:
     for batch in batches:
         prints = batch.column("fingerprint").to_numpy(zero_copy_only=False)
-        for i in range(0, len(prints), 4096):
-            part = prints[i : i + 4096]
-            rows, keys = join_keys(part.view(np.uint64))
-            yield pa.record_batch([keys, part[rows]], ["key", "fingerprint"])
+        for i in range(0, len(prints), rows):
+            yield prints[i : i + rows]
+
+
+def _among(values: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Which of the values are in a sorted array."""
+    if not len(some):
+        return np.zeros(len(values), bool)
+    return some[np.minimum(np.searchsorted(some, values), len(some) - 1)] == values
 
 
 def _spanning(prints: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
@@ -170,18 +217,34 @@ def _spanning(prints: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
     return links
 
 
-def _meetings(batches: Iterator[pa.RecordBatch], max_bits: int) -> Iterator[pa.RecordBatch]:
-    """Links within runs of equal keys; the rows come sorted by key."""
+def _meetings(
+    batches: Iterator[pa.RecordBatch], max_bits: int, dense_run: int
+) -> Iterator[pa.RecordBatch]:
+    """Links within runs of equal keys; the rows come sorted by key.
+
+    Of runs longer than ``dense_run`` each fingerprint is passed on with no other, batch by
+    batch, so that no run is held whole.
+    """
     few = 8
     keys, prints = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    dense = None  # the key whose run is being passed on
     for batch in _with_end(batches):
         if batch is not None:
-            keys = np.concatenate([keys, batch.column("key").to_numpy()])
-            prints = np.concatenate([prints, batch.column("fingerprint").to_numpy()])
+            key, new = batch.column("key").to_numpy(), batch.column("fingerprint").to_numpy()
+            if dense is not None:
+                passed = int(np.searchsorted(key, dense, "right"))
+                yield _alone(new[:passed])
+                key, new = key[passed:], new[passed:]
+            keys, prints = np.concatenate([keys, key]), np.concatenate([prints, new])
             if not len(keys):
                 continue
+            dense = None
             # The last run may go on in the next batch.
             whole = int(np.searchsorted(keys, keys[-1]))
+            if len(keys) - whole > dense_run:
+                dense = keys[-1]
+                yield _alone(prints[whole:])
+                keys, prints = keys[:whole], prints[:whole]
         else:
             whole = len(keys)
         if not whole:
@@ -201,6 +264,9 @@ def _meetings(batches: Iterator[pa.RecordBatch], max_bits: int) -> Iterator[pa.R
             a.append(p[:-step][near])
             b.append(p[step:][near])
         for at, n in zip(starts[lengths > few], lengths[lengths > few]):
+            if n > dense_run:
+                yield _alone(p[at : at + n])
+                continue
             links = np.array(_spanning(p[at : at + n], max_bits), np.int64).reshape(-1, 2)
             a.append(links[:, 0])
             b.append(links[:, 1])
@@ -210,24 +276,68 @@ def _meetings(batches: Iterator[pa.RecordBatch], max_bits: int) -> Iterator[pa.R
             yield pa.record_batch([pairs[0], pairs[1]], ["a", "b"])
 
 
+def _alone(prints: np.ndarray) -> pa.RecordBatch:
+    return pa.record_batch([prints, pa.nulls(len(prints), pa.int64())], ["a", "b"])
+
+
 def _with_end(batches: Iterator) -> Iterator:
     yield from batches
     yield None
 
 
-def near_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+def near_links(
+    prints: DataFrame, max_bits: int = MAX_BITS, dense_run: int = DENSE_RUN
+) -> DataFrame:
     """(a, b): links that connect the distinct fingerprints (column fingerprint) within the distance."""
     if max_bits > MAX_BITS:
         raise ValueError("the keys find pairs of at most four differing bits")
-    keyed = prints.select("fingerprint").mapInArrow(_keyed, "key long, fingerprint long")
+    prints = prints.select("fingerprint")
+    hot = _hot_keys(prints, dense_run)
+    met = stored(
+        _met(prints.mapInArrow(lambda b: _keyed(b, hot), _KEYED), max_bits, dense_run)
+    )
+    passed_on = met.where("b IS NULL")
+    if not len(hot) and passed_on.isEmpty():
+        return met
+    dense = passed_on.select(F.col("a").alias("fingerprint"))
+    dense = dense.unionByName(
+        prints.mapInArrow(lambda b: _with_hot_keys(b, hot), "fingerprint long")
+    ).distinct()
+    radius = -(-max_bits // 2)
+    around = sum(comb(64, n) for n in range(radius + 1))
+    # The rows may be in one small file; each of them becomes thousands.
+    spread = dense.repartition(prints.sparkSession.sparkContext.defaultParallelism, "fingerprint")
+    close = _met(spread.mapInArrow(lambda b: _centred(b, radius), _KEYED), max_bits, around)
+    return met.where("b IS NOT NULL").unionByName(close).distinct()
+
+
+_KEYED = "key long, fingerprint long"
+
+
+def _met(keyed: DataFrame, max_bits: int, dense_run: int) -> DataFrame:
+    """Distinct links (a, b) of fingerprints with a common key; b is NULL for those of dense keys."""
     return (
         keyed.repartition("key")
         .sortWithinPartitions("key")
-        .mapInArrow(lambda batches: _meetings(batches, max_bits), "a long, b long")
+        .mapInArrow(lambda b: _meetings(b, max_bits, dense_run), "a long, b long")
         .distinct()
     )
 
 
+def _hot_keys(prints: DataFrame, dense_run: int) -> np.ndarray:
+    """Sorted keys that by a sample have several times ``dense_run`` fingerprints; the hottest ones.
+
+    A fingerprint has about 180 keys, so those left out have less than 0.3% of all fingerprints.
+    """
+    sample = prints.where(F.pmod(F.xxhash64("fingerprint"), F.lit(SAMPLED)) == 0)
+    none = np.zeros(0, np.int64)
+    counts = sample.mapInArrow(lambda b: _keyed(b, none), _KEYED).groupBy("key").agg(
+        F.count("*").alias("n")
+    )
+    hottest = counts.where(F.col("n") * SAMPLED > 4 * dense_run).orderBy(F.desc("n"), "key")
+    return np.sort(np.array([r["key"] for r in hottest.limit(MOST_HOT).collect()], np.int64))
+
+
 def _rooted(nodes: DataFrame, max_bits: int) -> DataFrame:
     """``nodes`` (fingerprint and others) with the root of each one's component."""
     roots = components(near_links(nodes, max_bits))

@@ -151,6 +151,47 @@ def test_simhash_dense_groups_and_chains(spark):
     assert [found.get(p, p) for p in prints] == [prints[r] for r in expected]
 
 
+@pytest.mark.parametrize("sampled", [10**9, 1])
+def test_simhash_hot_keys_meet_at_centres(spark, monkeypatch, sampled):
+    """A dense ball under small limits: keys known as hot from a sample, and keys found hot on reading."""
+    import random
+
+    from ratemill.llm.links import components
+
+    monkeypatch.setattr(simhash, "SAMPLED", sampled)
+    rnd = random.Random(5)
+    ball = {0x123456789ABCDEF0}
+    for _ in range(3):
+        ball |= {x ^ (1 << rnd.randrange(64)) for x in ball for _ in range(6)}
+    islands = {x ^ (0xFFFF << 20) for x in sorted(ball)[:40]}
+    far = {rnd.getrandbits(64) for _ in range(100)}
+    prints = sorted(p - 2**64 if p >= 2**63 else p for p in ball | islands | far)
+    nodes = spark.createDataFrame([(p,) for p in prints], "fingerprint long").repartition(3)
+    assert bool(len(simhash._hot_keys(nodes, 20))) == (sampled == 1)
+    links = simhash.near_links(nodes, dense_run=20)
+    mask = 2**64 - 1
+    pairs = [tuple(r) for r in links.collect()]
+    assert all(b is not None and ((a ^ b) & mask).bit_count() <= 4 for a, b in pairs)
+    found = dict(map(tuple, components(links).collect()))
+    expected = brute.linked([p & mask for p in prints])
+    assert [found.get(p, p) for p in prints] == [prints[r] for r in expected]
+
+    # Runs that go on over batches are passed on whole, whatever the cuts.
+    keys = np.repeat(np.arange(6), [3, 50, 2, 30, 21, 4])
+    values = np.arange(len(keys)) << 5
+    for step in (1, 7, 40, 1000):
+        batches = [
+            pa.record_batch([keys[i : i + step], values[i : i + step]], ["key", "fingerprint"])
+            for i in range(0, len(keys), step)
+        ]
+        out = pa.Table.from_batches(
+            [b.cast(pa.schema([("a", "int64"), ("b", "int64")])) for b in simhash._meetings(iter(batches), 0, 20)]
+        ).to_pylist()
+        assert sorted(r["a"] for r in out if r["b"] is None) == [
+            v for k, v in zip(keys.tolist(), values.tolist()) if k in (1, 3, 4)
+        ]
+
+
 def test_secrets(docs):
     found = secrets.span_digests(secrets.find_secrets(docs)).collect()
     got = []
