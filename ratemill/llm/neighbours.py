@@ -15,8 +15,8 @@ them, at the latest when they look into every bucket.
 
 Equal vectors are one class with its rows' ids; as ties go to the smaller id, the six
 smallest ids of a class are all that five neighbours can need. Buckets above
-``piece_rows`` are cut into pieces, and their queries visit every piece, so a dense
-region is spread and nothing is dropped.
+``piece_rows`` are cut into pieces, and so are the queries that look into them; every piece of
+queries visits every piece of members, so a dense region is spread and nothing is dropped.
 
 Vectors that are NULL, empty or zero, or hold NULL or non-finite components take no
 part. Vectors meet only those of their own length. A repeated row is a row of its own:
@@ -128,7 +128,9 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.array(column.to_pylist(), np.float64)
 
 
-def _hashed(batches: Iterator[pa.RecordBatch], tables: int, sizes: dict, probes: dict):
+def _hashed(
+    batches: Iterator[pa.RecordBatch], tables: int, sizes: dict, probes: dict, carried: list[str]
+):
     for batch in batches:
         for part in _pieces(batch, probes):
             vectors = _matrix(part.column("vector"))
@@ -141,9 +143,9 @@ def _hashed(batches: Iterator[pa.RecordBatch], tables: int, sizes: dict, probes:
                         pa.array(np.full(len(row), length, np.int64)),
                         pa.array(np.full(len(row), table, np.int64)),
                         pa.array(found.ravel()),
-                        *part.take(pa.array(row)).columns,
+                        *part.select(carried).take(pa.array(row)).columns,
                     ],
-                    names=["length", "table", "bucket", *part.schema.names],
+                    names=["length", "table", "bucket", *carried],
                 )
 
 
@@ -274,6 +276,18 @@ def _usable(vector: Column) -> Column:
     return vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0)
 
 
+def _pieces_of(piece_rows: int) -> Column:
+    return F.ceil(F.count("*") / piece_rows).cast("int")
+
+
+def _piece_of(pieces: str) -> Column:
+    return F.pmod(F.xxhash64("k", F.lit(2)), F.col(pieces)).cast("int")
+
+
+def _every(pieces: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col(pieces) - 1))
+
+
 def nearest(
     vectors: DataFrame,
     is_query: Column,
@@ -321,23 +335,26 @@ def nearest(
         ).collect()
     }
     key = ["length", "table", "bucket"]
-    fields = "length long, table long, bucket long, k string, vector array<double>"
+    place = "length long, table long, bucket long"
+    fields = f"{place}, k string, vector array<double>"
+    entries = ["k", "vector", "ids", "rows"]
     index = stored(
-        classes.mapInArrow(lambda b: _hashed(b, tables, sizes, {}), f"{fields}, ids array<long>, rows array<long>")
+        classes.mapInArrow(
+            lambda b: _hashed(b, tables, sizes, {}, entries),
+            f"{fields}, ids array<long>, rows array<long>",
+        )
     )
     looked = _probes(classes, asked, sizes, neighbours, tables, probes, recall, sample)
-    seen = asked.mapInArrow(lambda b: _hashed(b, tables, sizes, looked), fields)
-    large = index.groupBy(*key).agg(F.count("*").alias("n")).select(
-        *key, F.ceil(F.col("n") / piece_rows).cast("int").alias("pieces")
-    )
-    large = stored(large)
-    members = index.join(large, key).withColumn(
-        "piece", F.pmod(F.xxhash64("k", F.lit(2)), F.col("pieces")).cast("int")
-    )
-    visits = seen.join(large, key).withColumn(
-        "piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))
-    )
-    group = [*key, "piece"]
+    seen = asked.mapInArrow(lambda b: _hashed(b, tables, sizes, looked, ["k", "vector"]), fields)
+    # Counted without the vectors; both counts are small beside what they count.
+    asking = asked.mapInArrow(lambda b: _hashed(b, tables, sizes, looked, []), place)
+    cuts = index.groupBy(*key).agg(_pieces_of(piece_rows).alias("pieces"))
+    cuts = cuts.join(asking.groupBy(*key).agg(_pieces_of(piece_rows).alias("asking")), key)
+    cuts = stored(cuts)
+    members, visits = index.join(cuts, key), seen.join(cuts, key)
+    members = members.withColumn("piece", _piece_of("pieces")).withColumn("part", _every("asking"))
+    visits = visits.withColumn("part", _piece_of("asking")).withColumn("piece", _every("pieces"))
+    group = [*key, "piece", "part"]
     met = (
         visits.select(*group, "k", "vector")
         .groupBy(*group)

@@ -159,6 +159,16 @@ def test_neighbours_odd_vectors(spark):
     assert neighbours.nearest(df.where("false"), F.col("vec_id") == 0).count() == 0
 
 
+def test_neighbours_of_a_dense_region(spark):
+    """All rows ask and lie in few buckets: both sides are cut into several pieces."""
+    rng = np.random.default_rng(9)
+    rows = [(i, (100.0 + rng.normal(size=5)).tolist()) for i in range(150)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = neighbours.nearest(df, F.lit(True), tables=3, probes=64, piece_rows=20)
+    got = [(r[0], r[1], r[2]) for r in found.collect()]
+    assert sorted_rows(got) == sorted_rows((a, b, c) for a, b, c, _ in exact(rows, 1))
+
+
 def test_neighbours_recall(spark):
     """At least nine of ten exact neighbours are found, and scores are exact."""
     table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
