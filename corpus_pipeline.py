@@ -16,7 +16,7 @@ from ratemill.llm.tables import read, stored
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Quality rules: documents they reject go."""
+    """Quality rules: documents they reject go, NULL and empty texts with them, as they have no words."""
     model = quality.fit(docs, read(spark, sf_dir, "labels"))
     return quality.filter_documents(docs, model)
 
@@ -31,12 +31,15 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secret scan: spans are replaced by a mark."""
+    """Secret scan: spans are replaced by a mark. NULL and empty texts stay as they are."""
     return secrets.redact(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mixing: each document as often as its source's budget takes it."""
+    """Mixing: each document as often as its source's budget takes it.
+
+    A NULL source is a source of its own; a NULL text has size 0.
+    """
     return mixing.mixed_documents(docs)
 
 
