@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import regex
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ratemill.llm import bpe, lexicon, quality, queries, secrets, simhash
@@ -83,6 +84,39 @@ def test_quality_on_labels_that_were_not_fitted(spark):
     assert len(clean) > 500 and sum(clean) >= 0.99 * len(clean)
 
 
+def test_quality_trusts_all_labelled_documents(spark):
+    """Above the 20,000 ids that once were the most, every one still counts in the fit or the threshold."""
+    n = 21_000
+    labels = spark.range(n).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    assert quality.trusted_ids(labels.union(labels)).count() == n
+    docs = spark.range(n).selectExpr("id AS doc_id", "'good words ' || id AS text")
+    model = quality.fit(docs, labels, buckets=1 << 12, held_out=1 << 40)
+    raw, trusted = quality._bucket_sums(docs.selectExpr("text", "true AS trusted"), 1 << 12)
+    assert (raw == trusted).all() and raw.sum() == 5 * n
+    prior = (raw + 1) / (raw.sum() + len(raw))
+    target = (trusted + len(raw) * prior) / (trusted.sum() + len(raw))
+    assert (model.ratios == np.rint(np.log(target / prior) * quality.SCALE)).all()
+
+
+def test_quality_joins_all_labelled_texts(spark, monkeypatch):
+    """Whatever the table of bits lets through, the rows are those of a join; repeated ids give rows of their own."""
+    docs = spark.range(3000).selectExpr("if(id % 50 = 0, null, id % 1500) AS doc_id", "'text ' || id AS text")
+    ids = spark.range(0, 2000, 3).selectExpr("if(id % 5 = 0, null, id) AS doc_id", "id % 2 = 0 AS trusted").distinct()
+    expected = sorted_rows(docs.join(ids, "doc_id").select("doc_id", "text", "trusted").collect())
+    assert len(expected) > 500
+    for slots in (1, 8, 1 << 17):
+        monkeypatch.setattr(quality, "SLOTS", slots)
+        assert sorted_rows(quality._with_texts(docs, ids).select("doc_id", "text", "trusted").collect()) == expected
+
+
+@pytest.mark.parametrize("n", [1, 2, 101, 1000])
+def test_quality_quantiles_are_percentiles(spark, n):
+    rows = spark.range(n).select(F.pmod(F.xxhash64("id"), F.lit(701)).cast("double").alias("x"))
+    expected = rows.agg(F.percentile("x", F.array(F.lit(0.01), F.lit(0.5)))).first()[0]
+    assert quality._quantiles(rows, "x", [0.01, 0.5]) == pytest.approx(list(expected), abs=1e-9)
+    assert quality._quantiles(rows.where("false"), "x", [0.5]) is None
+
+
 def test_quality_filter_keeps_columns_and_nulls(odd, model):
     kept = quality.filter_documents(odd, model)
     assert kept.schema == odd.schema
