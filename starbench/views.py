@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ratemill.session import size_partitions
+
 STAR_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
 # State whose lines are flagged, in place of CA.
@@ -196,6 +198,7 @@ class Star:
         self.spark = spark
         self._sf_dir = sf_dir.rstrip("/")
         self._frames: dict[str, DataFrame] = {}
+        size_partitions(spark, [f"{self._sf_dir}/{name}.parquet" for name in STAR_TABLES])
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in VIEWS and name not in STAR_TABLES:

@@ -7,6 +7,7 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from starbench.compare import compare, duck
 from starbench.queries import registered
+from starbench.views import Star
 
 SF_DIR = "/root/testdata/sf0.001"
 #: Rules with a customer that is constant in a branch of their view go into a store: Spark plans the
@@ -118,3 +119,39 @@ def test_missing_keys_are_filtered_at_the_scan(spark):
     plan = plan_of(quantity_rollup(drop_null_keys(spark.read.parquet(path))))
     assert "PushedFilters: [IsNotNull(customer), IsNotNull(item)]" in plan
     assert "location" not in plan and "billing_date" not in plan
+
+
+def test_partitions_grow_in_number_not_in_size(spark, tmp_path, monkeypatch):
+    """Twice the input gives twice the partitions of a shuffle, each with as many rows."""
+    from pyspark.sql import functions as F
+
+    from ratemill import session
+
+    keys = (
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+        "spark.sql.files.maxPartitionBytes",
+    )
+    before = {k: spark.conf.get(k, None) for k in keys}
+    monkeypatch.setattr(session, "SHUFFLED_BYTES", 20_000)
+    monkeypatch.setattr(session, "ADVISORY_BYTES", 10_000)
+    largest = {}
+    try:
+        for n in (200_000, 400_000):
+            folder = f"{tmp_path}/{n}"
+            spark.range(n).selectExpr("id AS l_orderkey").write.parquet(f"{folder}/lineitem.parquet")
+            Star(spark, folder)
+            assert spark.conf.get(keys[1]) == "10000"
+            assert int(spark.conf.get(keys[2])) <= session.SCANNED_BYTES
+            rows = spark.read.parquet(f"{folder}/lineitem.parquet").groupBy("l_orderkey").count()
+            sizes = [r[1] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == n
+            largest[n] = max(sizes)
+        assert largest[400_000] < 1.2 * largest[200_000] < 20_000
+        spark.conf.set(keys[1], "5000b")
+        session.size_partitions(spark, [])
+        assert spark.conf.get(keys[1]) == "5000"  # finer already
+        assert spark.conf.get(keys[0]) == spark.conf.get("spark.sql.shuffle.partitions")
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
