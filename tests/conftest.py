@@ -20,6 +20,8 @@ def spark(tmp_path_factory):
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.ui.showConsoleProgress": "false",
+            # Plans show whole paths, however long the folder of the tests is.
+            "spark.sql.maxMetadataStringLength": "10000",
             "spark.eventLog.enabled": "true",
             "spark.eventLog.dir": tmp_path_factory.mktemp("events").as_uri(),
             "spark.eventLog.compress": "false",
