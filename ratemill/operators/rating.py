@@ -18,6 +18,7 @@ How the joins run depends on measured sizes (see ``assign_price_level``).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +33,9 @@ DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
 HOT_TRIPLES = 1000
 SALTS = 4096
 
+#: Most rules of one customer that lines of it meet as one row.
+CUSTOMER_RULES = 64
+
 _RULE_TYPE = "struct<rule_id:bigint,price_level_name:string>"
 
 
@@ -154,6 +158,31 @@ def _join_shapes(
     return matched
 
 
+def _inner_key(shape: RuleShape) -> Column:
+    """One text for the dimensions besides the customer that a shape fixes; NULL if one is."""
+    return F.concat(
+        *(c for d in shape.fixed if d != "customer" for c in (F.length(_key(d)), F.lit(":"), F.col(_key(d))))
+    )
+
+
+def _rules_by_customer(shapes: list[RuleShape]) -> DataFrame:
+    """One row per customer key: a map from the other keys to the rule for each shape, or the one rule."""
+    parts = []
+    for shape in shapes:
+        inner = _inner_key(shape) if len(shape.fixed) > 1 else F.lit("")
+        parts.append(
+            shape.rules.select(
+                _key("customer"), F.lit(shape.hit).alias("_shape"), inner.alias("_inner"), F.col("_rule")
+            )
+        )
+    rules = reduce(DataFrame.unionByName, parts)
+    maps = []
+    for shape in shapes:
+        entry = F.when(F.col("_shape") == shape.hit, F.struct("_inner", "_rule"))
+        maps.append(F.map_from_entries(F.collect_list(entry)).alias(shape.hit + "_map"))
+    return rules.groupBy(F.col(_key("customer")).alias("_ruled_customer")).agg(*maps)
+
+
 def _best_hit(shapes: list[RuleShape]) -> Column:
     """The hit with the highest score, or NULL.
 
@@ -203,7 +232,9 @@ class Rater:
     """Rules, split and measured once, ready to rate lines.
 
     ``in_place`` tells whether every shape is small enough to be broadcast. If
-    so lines are rated where they are, without any shuffle. Otherwise the
+    so lines are rated where they are, without any shuffle. ``by_customer`` tells whether
+    those without a customer are, and no customer has more than ``CUSTOMER_RULES`` rules: then the
+    rules of a customer are one row, and lines are shuffled once to meet it. Otherwise the
     distinct (customer, county, type) triples are rated, written once and joined back.
     """
 
@@ -220,13 +251,28 @@ class Rater:
         self.shapes = rule_shapes(rules, mode)
         self._hint = _hints(self.shapes, strategy, broadcast_bytes)
         self.in_place = all(self._hint[s.fixed] == "broadcast" for s in self.shapes if s.fixed)
+        self._own = [s for s in self.shapes if "customer" in s.fixed]
+        self._common = [s for s in self.shapes if "customer" not in s.fixed]
+        self.by_customer = (
+            strategy == "auto"
+            and not self.in_place
+            and all(self._hint[s.fixed] == "broadcast" for s in self._common if s.fixed)
+            and self._most_rules() <= CUSTOMER_RULES
+        )
+
+    def _most_rules(self) -> int:
+        """The number of rules of the customer that has most."""
+        own = reduce(DataFrame.unionByName, (s.rules.select(_key("customer")) for s in self._own))
+        return own.groupBy(_key("customer")).count().agg(F.max("count")).first()[0] or 0
 
     def rate(
         self, lines: DataFrame, default_level: str, triples_from: DataFrame | None = None
     ) -> DataFrame:
         """``lines`` with their ``price_level``.
 
-        Rules that are all broadcast are matched where the lines are. Otherwise the triples of the lines are
+        Rules that are all broadcast are matched where the lines are. Otherwise lines meet the rules of their
+        customer in one shuffle join, if ``by_customer``; partitions with very many lines of a customer are
+        split by adaptive execution. If not, the triples of the lines are
         counted, rated and written once, and lines get the level of their triple: the most frequent triples, at most
         ``HOT_TRIPLES``, by broadcast, the others by a shuffle join. Lines of hot triples find nothing in that
         join, so their keys are salted, and they are dealt out evenly.
@@ -236,6 +282,8 @@ class Rater:
         """
         if self.in_place:
             return self._match(lines, default_level)
+        if self.by_customer:
+            return self._rate_by_customer(lines, default_level)
         triples = self._rated_triples(lines if triples_from is None else triples_from, default_level)
         keys = [f"_rated_{d}" for d in DIMENSIONS]
         hot = F.broadcast(triples.where("_hot").select(*keys, F.col("price_level").alias("_hot_level")))
@@ -253,6 +301,31 @@ class Rater:
         level = F.coalesce("_hot_level", "_level")
         return joined.select(*(marked[c] for c in lines.columns), level.alias("price_level"))
 
+    def _rate_by_customer(self, lines: DataFrame, default_level: str) -> DataFrame:
+        """Lines with the best of their customer's rules and the broadcast ones.
+
+        The customer's key is made where it is compared, so the shuffled lines do not carry it. Lines without
+        customer or with the wildcard's text meet no such rule and are dealt out evenly. Each customer has one
+        row of rules, so a hash table of a partition's rows is small and lines need no sort.
+        """
+        key = self.mode.key("customer", F.col("customer"))
+        apart = key.isNull() | (key == self.mode.wildcard("customer"))
+        salt = F.when(apart, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)) + 1).otherwise(0)
+        marked = lines.withColumn("_salt", salt)
+        rules = _rules_by_customer(self._own).withColumn("_no_salt", F.lit(0))
+        joined = marked.join(
+            rules.hint("shuffle_hash"),
+            (key == F.col("_ruled_customer")) & (F.col("_salt") == F.col("_no_salt")),
+            "left",
+        )
+        keyed = _with_keys(joined, {d: d for d in DIMENSIONS}, self.mode)
+        hits = {
+            s.hit: F.try_element_at(s.hit + "_map", _inner_key(s) if len(s.fixed) > 1 else F.lit(""))
+            for s in self._own
+        }
+        matched = _join_shapes(keyed.withColumns(hits), self._common, self._hint)
+        return self._with_level(matched, lines.columns, default_level)
+
     def _rated_triples(self, lines: DataFrame, default_level: str) -> DataFrame:
         """The triples of ``lines`` with their level, written to the shared folder, and whether they are hot.
 
@@ -270,9 +343,11 @@ class Rater:
         return saved.withColumn("_hot", F.col("_lines") > F.lit(total / HOT_TRIPLES)).drop("_lines")
 
     def _match(self, lines: DataFrame, default_level: str) -> DataFrame:
-        matched = self._join(lines)
+        return self._with_level(self._join(lines), lines.columns, default_level)
+
+    def _with_level(self, matched: DataFrame, columns: list[str], default_level: str) -> DataFrame:
         level = F.coalesce(_best_hit(self.shapes)["price_level_name"], F.lit(default_level))
-        return matched.select(*lines.columns, level.alias("price_level"))
+        return matched.select(*columns, level.alias("price_level"))
 
     def _join(self, lines: DataFrame) -> DataFrame:
         keyed = _with_keys(lines, {d: d for d in DIMENSIONS}, self.mode)
@@ -316,7 +391,7 @@ def assign_price_level(
 
     With ``auto`` the rules are measured first. Shapes are broadcast, smallest
     first, as long as together they stay within ``broadcast_bytes``; the rest
-    goes through shuffle joins on the distinct triples. ``shuffle`` makes all
-    of them shuffle joins.
+    goes through a shuffle join on the customer or shuffle joins on the distinct
+    triples (see ``Rater``). ``shuffle`` makes all of them shuffle joins on triples.
     """
     return Rater(rules, mode, strategy, broadcast_bytes).rate(lines, default_level)

@@ -199,3 +199,48 @@ def test_shuffled_rating_scans_the_lines_once(spark, tmp_path):
     rated.collect()
     plan = rated._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert plan.count(f"{path}]") == 1
+
+
+# --- rules of a customer as one row -----------------------------------------
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("mode", [NORMALISED, STRICT], ids=["normalised", "strict"])
+def test_rating_by_customer_agrees_with_the_direct_statement(spark, monkeypatch, seed, mode):
+    lines, rule_rows = random_case(seed + 20)
+    rule_rows += [("Acme, Inc", "X", "ANY", "cc"), ("Acme, Inc", "ANY", "A", "ct"), ("Beta", "X", "A", "cct")]
+    rule_rows += [("Gamma", "ANY", "ANY", "c"), ("DEFAULT", "X", "A", "both"), ("Acme, Inc", "X", "A", "all")]
+    rater = Rater(rules(spark, rule_rows), mode)
+    monkeypatch.setattr(rater, "in_place", False)
+    df = spark.createDataFrame(lines, LINES)
+    rater.by_customer = True
+    rated = rater.rate(df, "none")
+    assert rated.columns == [*df.columns, "price_level"]
+    want = {i: best_level(line, rule_rows, mode) for i, *line in lines}
+    assert {r.id: r.price_level for r in rated.collect()} == want
+
+
+def test_rating_by_customer_shuffles_the_lines_once(spark, executed_plans, tmp_path):
+    """No job reads the lines before the result's, whose plan reads and shuffles them once."""
+    path = str(tmp_path / "lines")
+    _hot_lines(spark, 3000).write.parquet(path)
+    rater = Rater(_some_rules(spark), broadcast_bytes=1000)
+    assert rater.by_customer
+    rated = rater.rate(spark.read.parquet(path), "none")
+    assert not any(f"{path}]" in plan for plan in executed_plans()[1:])
+    one = rated.groupBy("customer", "county", "type", "price_level").count().collect()
+    two = assign_price_level(spark.read.parquet(path), _some_rules(spark), default_level="none")
+    assert sorted(map(str, one)) == sorted(
+        map(str, two.groupBy("customer", "county", "type", "price_level").count().collect())
+    )
+    plan = rated._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(f"{path}]") == 1
+
+
+def test_customer_with_many_rules_is_rated_by_triples(spark, monkeypatch):
+    from ratemill.operators import rating
+
+    monkeypatch.setattr(rating, "CUSTOMER_RULES", 2)
+    rows_ = [("C", "X", "ANY", "one"), ("C", "Y", "ANY", "two"), ("C", "Z", "ANY", "three"), ("DEFAULT", "ANY", "ANY", "d")]
+    rater = Rater(rules(spark, rows_), broadcast_bytes=30)
+    assert not rater.in_place and not rater.by_customer

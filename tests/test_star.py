@@ -157,3 +157,18 @@ def test_partitions_grow_in_number_not_in_size(spark, tmp_path, monkeypatch):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_orders_meet_their_customer_before_their_lines(spark):
+    """Lines are joined by order key only, and the planned views hold the rows of the stated ones."""
+    from starbench.views import PLANNED, VIEWS, _used
+
+    star = Star(spark, SF_DIR)
+    for name in PLANNED:
+        rows = getattr(star, name)
+        tables = {t: getattr(star, t) for t in _used(name)}
+        stated = spark.sql(VIEWS[name], **tables)
+        assert rows.columns == stated.columns
+        assert rows.exceptAll(stated).isEmpty() and stated.exceptAll(rows).isEmpty()
+        above = str(rows._jdf.queryExecution().optimizedPlan()).split("l_orderkey")[0]
+        assert "o_custkey" not in above
