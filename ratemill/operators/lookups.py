@@ -89,6 +89,10 @@ def price_keys(prices: DataFrame, text_keys: bool = False) -> DataFrame:
     )
 
 
+#: The columns that ``add_match_keys`` adds.
+MATCH_KEYS = ("customer_key", "item_key", "level_key")
+
+
 def add_match_keys(sheet: DataFrame, text_keys: bool = False) -> DataFrame:
     key = item_key_text if text_keys else item_key
     return sheet.withColumns(

@@ -22,6 +22,7 @@ from ..functions.keys import (
     state_flag,
 )
 from ..operators.lookups import (
+    MATCH_KEYS,
     add_match_keys,
     default_customer_id,
     fill_missing,
@@ -91,14 +92,15 @@ def rated_quantities(
 
     Where all rules are broadcast, lines are rated where they are, and the rollup's
     shuffle is the only one of the lines; it combines map-side, so a hot customer
-    weighs no more than its rows of the sheet per task. Where rules are shuffled,
+    weighs no more than its rows of the sheet per task. Where lines meet the rules of
+    their customer, they are shuffled for that and then for the rollup. Where rules are shuffled by triples,
     lines that no later step can tell apart are added up first, and what remains is
     rated.
     """
     rater = Rater(rules, mode, options.strategy, options.broadcast_bytes)
     flag = state_flag(F.col("state"), options.flagged_state)
     billed = drop_null_keys(billing).withColumn("ca_line", flag)
-    if rater.in_place:
+    if rater.in_place or rater.by_customer:
         rated = rater.rate(billed, default_level)
     else:
         rated = rater.rate(combine_lines(billed), default_level, triples_from=billed)
@@ -133,10 +135,14 @@ def billing_sheet(
     sheet = rated_quantities(
         billing, tables.rules, options, NORMALISED, options.default_level
     )
-    sheet = add_match_keys(sheet, text_item_keys)
-    sheet = join_customer(sheet, tables.customers, dedupe)
-    sheet = join_item(sheet, tables.items, dedupe, text_item_keys)
-    sheet = join_price(sheet, tables.prices, text_item_keys)
+    # The widest key first, while rows are narrow; keys are made anew for each lookup, so no shuffle carries
+    # those of another.
+    for looked_up in (
+        lambda keyed: join_price(keyed, tables.prices, text_item_keys),
+        lambda keyed: join_item(keyed, tables.items, dedupe, text_item_keys),
+        lambda keyed: join_customer(keyed, tables.customers, dedupe),
+    ):
+        sheet = looked_up(add_match_keys(sheet, text_item_keys)).drop(*MATCH_KEYS)
     sheet = fill_missing(
         sheet,
         options.default_line_order,

@@ -202,3 +202,19 @@ def test_options(spark):
     assert (row.external_id, row.invoice_date, row.trade_credit, row.due_date, row.ca_line) == (
         "1226-J", "12/20/2026", "Net 30", "1/19/2027", "YES",
     )
+
+
+def test_no_shuffle_of_the_sheet_carries_keys_of_another_lookup(spark):
+    import re
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = billing(spark, (JOHNSON, "1001", "NY", "County X", "A", 2.0))
+        sheet = plans.billing_sheet(lines, tables(spark))
+        plan = sheet._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    with_lines = [line for line in plan.splitlines() if "Project [" in line and "qty#" in line]
+    assert len(with_lines) > 3
+    assert not [line for line in with_lines if re.search(r"(?<!AS )\b(customer|item|level)_key#", line)]
