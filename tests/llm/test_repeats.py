@@ -4,7 +4,7 @@ from collections import Counter
 
 import pytest
 
-from ratemill.llm import repeats
+from ratemill.llm import queries, repeats
 
 from .conftest import sorted_rows, texts
 
@@ -75,3 +75,23 @@ def test_long_texts_in_pieces(spark, monkeypatch):
     rows = {r[0]: r for r in found(docs)}
     assert rows[1][2:4] == (700 + 3000, 2) or rows[1][2] >= 3700
     assert rows[2][2] == 0 and rows[3][2] == 445
+
+
+def test_passages_of_over_50_words_go_from_400_bytes_on(spark, tmp_path):
+    """Through the query: what a passage shared by documents has in words does not count, and n_bytes stays whole."""
+    rnd = random.Random(7)
+    words = lambda n, size: " ".join("".join(rnd.choices("abcdefgh", k=size)) for _ in range(n))
+    passages = {399: words(57, 6) + "i", 400: words(57, 6) + "ij", 419: words(60, 6), 359: words(60, 5)}
+    assert all(len(p) == size for size, p in passages.items())
+    rows, want = [], {}
+    for size, passage in [*passages.items(), (0, "")] * 3:
+        i = len(rows)
+        # Different characters beside the passage, so that no more than it is shared.
+        text = f"{words(40, 7)} {i:03}{chr(ord('A') + i)}{passage}{chr(ord('a') + i)}{i:03} {words(40, 7)}"
+        rows.append((i, text))
+        gone = size if size >= 400 else 0
+        want[i] = (len(text), gone, int(gone > 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    found = queries.op7_repeats(spark, str(tmp_path)).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in found} == want
