@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from ratemill.llm import queries, repeats
@@ -77,6 +78,51 @@ def test_long_texts_in_pieces(spark, monkeypatch):
     assert rows[2][2] == 0 and rows[3][2] == 445
 
 
+def test_equal_runs_of_a_tasks_texts_go_on_as_one():
+    """A long run of one character, a period and a common passage leave few rows of any class to be shuffled."""
+    rnd = random.Random(9)
+    passage = "".join(rnd.choices("abcdefgh", k=900))
+    ends = ["".join(rnd.choices("stuvwxyz", k=300)) for _ in range(300)]
+    rows = ["z" * 9000, "z" * 5000 + ends[0], "xy" * 3000, *(passage + e for e in ends)]
+    batch = pa.record_batch([pa.array(range(len(rows))), pa.array(rows)], ["row", "text"])
+    first = [r for b in repeats._first_round(iter([batch]), 400, 96) for r in b.to_pylist()]
+    # Where the passage ends, runs have one core and different spans; none of them is settled yet.
+    most, second = (n for _, n in Counter(r["core"] for r in first if r["n"]).most_common(2))
+    assert most <= len(ends) and second < 30
+    assert sum(r["n"] > 0 and r["row"] in (0, 2) for r in first) < 10
+    listed = [(i, t.encode(), [r["place"] for r in first if r["n"] and r["row"] == i]) for i, t in enumerate(rows)]
+    for width in (None, 16, 1):
+        runs = [r for b in repeats._hashed_runs(iter(listed), width, 400) for r in b.to_pylist()]
+        assert max(Counter((r["core"], r["span"], r["span2"]) for r in runs if r["n"]).values()) == 1
+        assert len({(r["row"], r["place"]) for r in runs if r["n"]}) == sum(r["n"] > 0 for r in runs)
+    # What is settled in the first round is right and already covers the long runs.
+    gone = dict(enumerate(_removed(first, rows)))
+    want = {i: r[2] for i, r in enumerate(brute(list(enumerate(rows)), 400))}
+    assert all(gone[i] <= want[i] for i in want)
+    assert (gone[0], gone[1]) == (9000, 5000) and gone[2] > 5990
+
+
+def _removed(first, rows):
+    for i, text in enumerate(rows):
+        places = [r["place"] for r in first if not r["n"] and r["row"] == i]
+        yield len(text) - sum(map(len, repeats.kept_text(text.encode(), places, 400)[0]))
+
+
+@pytest.mark.parametrize("copies", [1, 40])
+def test_long_runs_and_copies_beside_each_other_and_apart(spark, copies):
+    """Equal runs within a task's texts and elsewhere, with one, few or many of them."""
+    rnd = random.Random(copies)
+    passage = "".join(rnd.choices("abcdefgh", k=700))
+    rows = [(0, "z" * 3000), (1, "q" + "z" * 399), (2, "z" * 450 + passage), (3, "xy" * 600), (4, "y" + "xy" * 201)]
+    for i in range(5, 5 + copies):
+        rows += [(i, "".join(rnd.choices("stuv", k=i)) + passage[i:] + "".join(rnd.choices("stuv", k=500)))]
+    rows += [(100, passage), (101, passage[1:-1]), (102, passage + "z" * 401), (103, None), (104, "z" * 400)]
+    want = sorted_rows(brute(rows, 400))
+    for parts in (1, 7):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        assert sorted_rows(found(docs)) == want
+
+
 def test_passages_of_over_50_words_go_from_400_bytes_on(spark, tmp_path):
     """Through the query: what a passage shared by documents has in words does not count, and n_bytes stays whole."""
     rnd = random.Random(7)
