@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import item_key, item_key_text, level_key, match_key
+from .places import PLACE, in_all_places, place
 
 
 def _payload(df: DataFrame, keys: list[str], order: str) -> Column:
@@ -94,18 +95,26 @@ MATCH_KEYS = ("customer_key", "item_key", "level_key")
 
 
 def add_match_keys(sheet: DataFrame, text_keys: bool = False) -> DataFrame:
+    """The keys of customer, item and price level; a customer's key that is there stays, and rows with it."""
     key = item_key_text if text_keys else item_key
-    return sheet.withColumns(
-        {
-            "customer_key": match_key(F.col("customer")),
-            "item_key": key(F.col("item")),
-            "level_key": level_key(F.col("price_level")),
-        }
-    )
-
-
-def join_customer(sheet: DataFrame, customers: DataFrame, dedupe: bool = True) -> DataFrame:
-    return sheet.join(customer_ids(customers, dedupe), "customer_key", "left")
+    keys = {
+        "customer_key": match_key(F.col("customer")),
+        "item_key": key(F.col("item")),
+        "level_key": level_key(F.col("price_level")),
+    }
+    if "customer_key" in sheet.columns:
+        del keys["customer_key"]
+    return sheet.withColumns(keys)
+
+
+def join_customer(
+    sheet: DataFrame, customers: DataFrame, dedupe: bool = True, everyone: str | None = None
+) -> DataFrame:
+    """With ``everyone``, the key of the wildcard customer, rows meet by customer and ``PLACE``."""
+    ids = customer_ids(customers, dedupe)
+    if everyone is None:
+        return sheet.join(ids, "customer_key", "left")
+    return sheet.join(in_all_places(ids, "customer_key", everyone), ["customer_key", PLACE], "left")
 
 
 def join_item(
@@ -114,30 +123,55 @@ def join_item(
     return sheet.join(item_ids(items, dedupe, text_keys), "item_key", "left")
 
 
-def join_price(sheet: DataFrame, prices: DataFrame, text_keys: bool = False) -> DataFrame:
+def join_price(
+    sheet: DataFrame, prices: DataFrame, text_keys: bool = False, everyone: str | None = None
+) -> DataFrame:
+    """With ``everyone`` as in ``join_customer``."""
     keys = ["customer_key", "item_key", "level_key"]
-    return sheet.join(price_keys(prices, text_keys), keys, "left")
+    keyed = price_keys(prices, text_keys)
+    if everyone is not None:
+        keyed = keyed.withColumn(PLACE, place(F.col("customer_key"), F.col("item_key"), everyone))
+        keys.append(PLACE)
+    return sheet.join(keyed, keys, "left")
 
 
-def join_price_strict(sheet: DataFrame, prices: DataFrame) -> DataFrame:
-    """Price of exactly this customer, item and level, as written."""
+def join_price_strict(
+    sheet: DataFrame, prices: DataFrame, everyone: str | None = None
+) -> DataFrame:
+    """Price of exactly this customer, item and level, as written; with ``everyone`` as in ``join_customer``."""
     exact = prices.select(
         F.col("customer_name").alias("customer"),
         F.col("item_code").alias("item"),
         F.col("price_level_name").alias("price_level"),
         "price",
     )
-    return sheet.join(exact, ["customer", "item", "price_level"], "left")
+    keys = ["customer", "item", "price_level"]
+    if everyone is not None:
+        exact = exact.withColumn(PLACE, place(F.col("customer"), F.col("item"), everyone))
+        keys.append(PLACE)
+    return sheet.join(exact, keys, "left")
 
 
 def lookup_last(
-    sheet: DataFrame, key: str, table: DataFrame, table_key: str, value: str, as_name: str
+    sheet: DataFrame,
+    key: str,
+    table: DataFrame,
+    table_key: str,
+    value: str,
+    as_name: str,
+    everyone: str | None = None,
 ) -> DataFrame:
-    """Add the value the table last gave to the key; NULL where it has none."""
+    """Add the value the table last gave to the key; NULL where it has none.
+
+    With ``everyone`` as in ``join_customer``, for a key that is the customer.
+    """
     pairs = table.select(
         F.col(table_key).alias(key), F.col(value).alias(as_name), "seq"
     ).dropna(subset=[key])
-    return sheet.join(last_per_key(pairs, [key]), key, "left")
+    last = last_per_key(pairs, [key])
+    if everyone is None:
+        return sheet.join(last, key, "left")
+    return sheet.join(in_all_places(last, key, everyone), [key, PLACE], "left")
 
 
 def default_customer_id(customers: DataFrame, name: str = "DEFAULT") -> Column:

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import match_key, strip_text
 from ..session import shared_dir
+from .places import PLACE, place
 
 DIMENSIONS = ("customer", "county", "type")
 DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
@@ -165,8 +166,14 @@ def _inner_key(shape: RuleShape) -> Column:
     )
 
 
-def _rules_by_customer(shapes: list[RuleShape]) -> DataFrame:
-    """One row per customer key: a map from the other keys to the rule for each shape, or the one rule."""
+def _rules_by_customer(shapes: list[RuleShape], everyone: str) -> DataFrame:
+    """One row per customer key: a map from the other keys to the rule for each shape, or the one rule.
+
+    The key, never missing here, is made anew, so the rows are shuffled once more for their join: rows known to be
+    shuffled by the customer's key alone would have lines shuffled likewise, whatever their place, and adaptive
+    execution splits a hot customer only between two shuffles. All have place 0, as none is for ``everyone``; a
+    literal would be taken out of the join's keys.
+    """
     parts = []
     for shape in shapes:
         inner = _inner_key(shape) if len(shape.fixed) > 1 else F.lit("")
@@ -180,7 +187,12 @@ def _rules_by_customer(shapes: list[RuleShape]) -> DataFrame:
     for shape in shapes:
         entry = F.when(F.col("_shape") == shape.hit, F.struct("_inner", "_rule"))
         maps.append(F.map_from_entries(F.collect_list(entry)).alias(shape.hit + "_map"))
-    return rules.groupBy(F.col(_key("customer")).alias("_ruled_customer")).agg(*maps)
+    grouped = rules.groupBy(_key("customer")).agg(*maps)
+    key = F.coalesce(_key("customer"), F.lit(""))
+    ruled_place = F.when(key == everyone, 1).otherwise(0)
+    return grouped.select(
+        key.alias("_ruled_customer"), ruled_place.alias("_ruled_place"), *(s.hit + "_map" for s in shapes)
+    )
 
 
 def _best_hit(shapes: list[RuleShape]) -> Column:
@@ -266,7 +278,11 @@ class Rater:
         return own.groupBy(_key("customer")).count().agg(F.max("count")).first()[0] or 0
 
     def rate(
-        self, lines: DataFrame, default_level: str, triples_from: DataFrame | None = None
+        self,
+        lines: DataFrame,
+        default_level: str,
+        triples_from: DataFrame | None = None,
+        item_key: Column | None = None,
     ) -> DataFrame:
         """``lines`` with their ``price_level``.
 
@@ -279,11 +295,15 @@ class Rater:
 
         ``triples_from`` may name a cheaper source of the same triples, if
         ``lines`` is the result of an aggregation.
+
+        With ``item_key`` lines that meet the rules of their customer also get ``PLACE`` and, if names are
+        normalised, ``customer_key``: by place and key, or else name, they were shuffled, so later steps find them
+        where they are. It is for lines that have a customer.
         """
         if self.in_place:
             return self._match(lines, default_level)
         if self.by_customer:
-            return self._rate_by_customer(lines, default_level)
+            return self._rate_by_customer(lines, default_level, item_key)
         triples = self._rated_triples(lines if triples_from is None else triples_from, default_level)
         keys = [f"_rated_{d}" for d in DIMENSIONS]
         hot = F.broadcast(triples.where("_hot").select(*keys, F.col("price_level").alias("_hot_level")))
@@ -301,30 +321,40 @@ class Rater:
         level = F.coalesce("_hot_level", "_level")
         return joined.select(*(marked[c] for c in lines.columns), level.alias("price_level"))
 
-    def _rate_by_customer(self, lines: DataFrame, default_level: str) -> DataFrame:
+    def _rate_by_customer(
+        self, lines: DataFrame, default_level: str, item_key: Column | None = None
+    ) -> DataFrame:
         """Lines with the best of their customer's rules and the broadcast ones.
 
-        The customer's key is made where it is compared, so the shuffled lines do not carry it. Lines without
-        customer or with the wildcard's text meet no such rule and are dealt out evenly. Each customer has one
-        row of rules, so a hash table of a partition's rows is small and lines need no sort.
+        Without ``item_key`` the customer's key is made where it is compared, so the shuffled lines do not carry
+        it. Lines without customer or with the wildcard's text meet no such rule and are dealt out evenly. Each
+        customer has one row of rules, so a hash table of a partition's rows is small and lines need no sort.
         """
         key = self.mode.key("customer", F.col("customer"))
-        apart = key.isNull() | (key == self.mode.wildcard("customer"))
-        salt = F.when(apart, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)) + 1).otherwise(0)
-        marked = lines.withColumn("_salt", salt)
-        rules = _rules_by_customer(self._own).withColumn("_no_salt", F.lit(0))
+        everyone = self.mode.wildcard("customer")
+        if item_key is None:
+            apart = key.isNull() | (key == everyone)
+            salt = F.when(apart, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)) + 1).otherwise(0)
+        else:
+            # An expression is rewritten here and there, so rows are known to be shuffled by a column only.
+            if self.mode.normalise:
+                lines, key = lines.withColumn("customer_key", key), F.col("customer_key")
+            salt = place(key, item_key, everyone)
+        marked = lines.withColumn(PLACE, salt)
+        rules = _rules_by_customer(self._own, everyone)
         joined = marked.join(
             rules.hint("shuffle_hash"),
-            (key == F.col("_ruled_customer")) & (F.col("_salt") == F.col("_no_salt")),
+            (key == F.col("_ruled_customer")) & (F.col(PLACE) == F.col("_ruled_place")),
             "left",
         )
+        kept = lines.columns if item_key is None else [*lines.columns, PLACE]
         keyed = _with_keys(joined, {d: d for d in DIMENSIONS}, self.mode)
         hits = {
             s.hit: F.try_element_at(s.hit + "_map", _inner_key(s) if len(s.fixed) > 1 else F.lit(""))
             for s in self._own
         }
         matched = _join_shapes(keyed.withColumns(hits), self._common, self._hint)
-        return self._with_level(matched, lines.columns, default_level)
+        return self._with_level(matched, kept, default_level)
 
     def _rated_triples(self, lines: DataFrame, default_level: str) -> DataFrame:
         """The triples of ``lines`` with their level, written to the shared folder, and whether they are hot.

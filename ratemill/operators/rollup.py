@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,13 +22,14 @@ def combine_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def quantity_rollup(rated: DataFrame) -> DataFrame:
+def quantity_rollup(rated: DataFrame, placed_by: Sequence[str] = ()) -> DataFrame:
     """Units per customer, item, price level and flag, as written in the lines.
 
-    A group whose units are all missing has quantity 0.
+    A group whose units are all missing has quantity 0. ``placed_by`` names columns that follow from customer and
+    item; lines that are shuffled by them already stay where they are.
     """
     return (
         drop_null_keys(rated)
-        .groupBy(*ROLLUP_KEYS)
+        .groupBy(*placed_by, *ROLLUP_KEYS)
         .agg(F.coalesce(F.sum("units"), F.lit(0.0)).alias("qty"))
     )

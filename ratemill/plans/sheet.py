@@ -19,6 +19,7 @@ from ..functions.keys import (
     fill_level_template,
     invoice_date_text,
     item_key,
+    item_key_text,
     state_flag,
 )
 from ..operators.lookups import (
@@ -34,6 +35,7 @@ from ..operators.lookups import (
     lookup_last,
 )
 from ..operators.order import with_positions
+from ..operators.places import PLACE
 from ..operators.rating import (
     DEFAULT_BROADCAST_BYTES,
     NORMALISED,
@@ -87,6 +89,7 @@ def rated_quantities(
     mode: MatchMode,
     default_level: str,
     from_template: bool = False,
+    item_key: Column | None = None,
 ) -> DataFrame:
     """Customer, item, price level, flag and quantity.
 
@@ -96,19 +99,23 @@ def rated_quantities(
     their customer, they are shuffled for that and then for the rollup. Where rules are shuffled by triples,
     lines that no later step can tell apart are added up first, and what remains is
     rated.
+
+    With ``item_key`` lines that meet the rules of their customer are rolled up where they
+    are, and the rows keep ``PLACE`` (and ``customer_key``, if names are normalised) for lookups by customer
+    in the same shuffle; a customer with very many lines is left to adaptive execution, which splits its partition.
     """
     rater = Rater(rules, mode, options.strategy, options.broadcast_bytes)
     flag = state_flag(F.col("state"), options.flagged_state)
     billed = drop_null_keys(billing).withColumn("ca_line", flag)
     if rater.in_place or rater.by_customer:
-        rated = rater.rate(billed, default_level)
+        rated = rater.rate(billed, default_level, item_key=item_key)
     else:
         rated = rater.rate(combine_lines(billed), default_level, triples_from=billed)
     if from_template:
         rated = rated.withColumn(
             "price_level", fill_level_template(F.col("price_level"), F.col("customer"))
         )
-    return quantity_rollup(rated)
+    return quantity_rollup(rated, [c for c in ("customer_key", PLACE) if c in rated.columns])
 
 
 def _finish(sheet: DataFrame, options: SheetOptions, columns: list[str]) -> DataFrame:
@@ -121,30 +128,49 @@ def _finish(sheet: DataFrame, options: SheetOptions, columns: list[str]) -> Data
     ).select(*columns)
 
 
-def billing_sheet(
+def looked_up(
     billing: DataFrame,
     tables: ReferenceTables,
     options: SheetOptions = SheetOptions(),
     text_item_keys: bool = False,
     dedupe: bool = True,
 ) -> DataFrame:
-    """The invoice-import sheet, 14 columns, one row per customer, item, level and flag.
-
-    Not sorted; ``in_sheet_order`` and the CSV sink do that.
-    """
+    """The rollup with prices, customers and items looked up; what is not found is NULL."""
+    key = item_key_text if text_item_keys else item_key
     sheet = rated_quantities(
-        billing, tables.rules, options, NORMALISED, options.default_level
+        billing, tables.rules, options, NORMALISED, options.default_level, item_key=key(F.col("item"))
     )
+    if PLACE in sheet.columns:
+        # Rows are with their customer: prices and ids come to them, and only items need another shuffle.
+        everyone = NORMALISED.wildcard("customer")
+        sheet = join_price(add_match_keys(sheet, text_item_keys), tables.prices, text_item_keys, everyone)
+        sheet = join_customer(sheet, tables.customers, dedupe, everyone).drop(*MATCH_KEYS, PLACE)
+        sheet = join_item(add_match_keys(sheet, text_item_keys), tables.items, dedupe, text_item_keys)
+        return sheet.drop(*MATCH_KEYS)
     # The widest key first, while rows are narrow; keys are made anew for each lookup, so no shuffle carries
     # those of another.
-    for looked_up in (
+    for lookup in (
         lambda keyed: join_price(keyed, tables.prices, text_item_keys),
         lambda keyed: join_item(keyed, tables.items, dedupe, text_item_keys),
         lambda keyed: join_customer(keyed, tables.customers, dedupe),
     ):
-        sheet = looked_up(add_match_keys(sheet, text_item_keys)).drop(*MATCH_KEYS)
+        sheet = lookup(add_match_keys(sheet, text_item_keys)).drop(*MATCH_KEYS)
+    return sheet
+
+
+def billing_sheet(
+    billing: DataFrame,
+    tables: ReferenceTables,
+    options: SheetOptions = SheetOptions(),
+    text_item_keys: bool = False,
+    dedupe: bool = True,
+) -> DataFrame:
+    """The invoice-import sheet, 14 columns, one row per customer, item, level and flag.
+
+    Not sorted; ``in_sheet_order`` and the CSV sink do that.
+    """
     sheet = fill_missing(
-        sheet,
+        looked_up(billing, tables, options, text_item_keys, dedupe),
         options.default_line_order,
         options.default_customer_id,
         options.default_price,
@@ -167,12 +193,13 @@ def billing_sheet_strict(
 ) -> DataFrame:
     """The sheet with all names compared exactly as written."""
     sheet = rated_quantities(
-        billing, tables.rules, options, STRICT, options.default_level
+        billing, tables.rules, options, STRICT, options.default_level, item_key=F.col("item")
     )
-    sheet = join_price_strict(sheet, tables.prices)
+    everyone = STRICT.wildcard("customer") if PLACE in sheet.columns else None
+    sheet = join_price_strict(sheet, tables.prices, everyone)
     sheet = lookup_last(
-        sheet, "customer", tables.customers, "customer_name", "netsuite_id", "customer_id"
-    )
+        sheet, "customer", tables.customers, "customer_name", "netsuite_id", "customer_id", everyone
+    ).drop(PLACE)
     sheet = lookup_last(
         sheet, "item", tables.items, "item_code", "netsuite_internal_id", "item_id"
     )

@@ -1,8 +1,11 @@
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 from ratemill import schemas
 from ratemill.plans import sheet as plans
+from ratemill.session import share_shuffles
 
 from .seeds import JOHNSON, POWELL, RULES_FILE, billing, numbered, rows, rules, seed_frames, tables
 
@@ -218,3 +221,104 @@ def test_no_shuffle_of_the_sheet_carries_keys_of_another_lookup(spark):
     with_lines = [line for line in plan.splitlines() if "Project [" in line and "qty#" in line]
     assert len(with_lines) > 3
     assert not [line for line in with_lines if re.search(r"(?<!AS )\b(customer|item|level)_key#", line)]
+
+
+# --- one shuffle by customer -------------------------------------------------
+
+#: Rules with a customer do not fit, so lines are shuffled to meet them.
+BY_CUSTOMER = plans.SheetOptions(broadcast_bytes=0)
+
+
+@pytest.fixture
+def settings(spark):
+    """A function that changes settings of the session until the test ends."""
+    before = {}
+
+    def change(**values):
+        for key, value in values.items():
+            key = f"spark.sql.{key.replace('__', '.')}"
+            before.setdefault(key, spark.conf.get(key, None))
+            spark.conf.set(key, value)
+
+    yield change
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def _with_everyone(spark):
+    """Lines of customers, of one without rules and of the wildcard customer's name; reference tables with copies."""
+    customers = (POWELL, JOHNSON, "johnson-clark", "Other", "DEFAULT", " default.", "Default")
+    lines = billing(
+        spark,
+        *((c, item, "CA", f"County {'XY'[n % 2]}", "AB"[n % 3 % 2], float(n))
+          for n, c in enumerate(customers * 6) for item in ("1001", "01002.0", str(1000 + n), "fee", "1001.0")),
+    )
+    prices = [("DEFAULT", str(1000 + n), "Base Price", float(n)) for n in range(40)]
+    prices += [("default", "01001", "Base Price", 7.0), (None, "1001", "Base Price", 8.0), ("Other", "fee", "Base Price", 9.0)]
+    later = numbered(spark, [("default", "SECOND"), ("other", "OTHER"), (None, "NONE")], schemas.CUSTOMERS)
+    customers_db = seed_frames(spark)["customers_db"].unionByName(later.withColumn("seq", F.col("seq") + 90))
+    return lines, tables(spark, prices_db=numbered(spark, prices, schemas.PRICES), customers_db=customers_db)
+
+
+@pytest.mark.parametrize(
+    "build", [plans.billing_sheet, plans.billing_sheet_text_keys, plans.billing_sheet_strict]
+)
+def test_sheet_by_customer_is_the_same(spark, settings, build):
+    settings(autoBroadcastJoinThreshold="-1")
+    lines, reference = _with_everyone(spark)
+    want = rows(build(lines, reference), *schemas.SHEET_COLUMNS)
+    assert rows(build(lines, reference, BY_CUSTOMER), *schemas.SHEET_COLUMNS) == want
+    assert {r[8] for r in want} >= {"SECOND" if build is plans.billing_sheet_text_keys else "NS-CUST-0000"}
+
+
+@pytest.mark.parametrize(
+    "build", [plans.billing_sheet, plans.billing_sheet_text_keys, plans.billing_sheet_strict]
+)
+def test_lines_are_shuffled_for_their_customer_and_for_their_item_only(spark, settings, build):
+    settings(autoBroadcastJoinThreshold="-1")
+    lines, reference = _with_everyone(spark)
+    sheet = build(lines, reference, BY_CUSTOMER)
+    plan = sheet._jdf.queryExecution().executedPlan().toString().splitlines()
+    below = [b for a, b in zip(plan, plan[1:]) if "Exchange " in a]
+    assert len([b for b in below if "ca_line#" in b]) == 2
+
+
+def test_lines_of_everyone_are_dealt_out(spark, settings):
+    """The wildcard customer's lines, prices and id meet in many tasks, without splitting at run time."""
+    settings(adaptive__enabled="false", autoBroadcastJoinThreshold="-1")
+    lines = billing(spark, *(("Default", str(n), "CA", "County X", "A", 1.0) for n in range(4000)))
+    prices = numbered(spark, [("DEFAULT", str(n), "Base Price", float(n)) for n in range(4000)], schemas.PRICES)
+    key = plans.item_key(F.col("item"))
+    placed = plans.rated_quantities(
+        lines, tables(spark).rules, BY_CUSTOMER, plans.NORMALISED, "Base Price", item_key=key
+    )
+    found = plans.join_price(plans.add_match_keys(placed), prices, everyone="default")
+    found = plans.join_customer(found, tables(spark).customers, everyone="default")
+    found = found.withColumn("part", F.spark_partition_id()).collect()
+    assert {(r.price, r.customer_id) for r in found} == {(float(n), "NS-CUST-0000") for n in range(4000)}
+    sizes = sorted(Counter(r.part for r in found).values())
+    assert len(sizes) == 8 and sizes[-1] < 1.5 * sizes[4]
+
+
+def test_hot_customer_is_split_at_run_time(spark, settings, tmp_path):
+    share_shuffles(spark)
+    settings(
+        autoBroadcastJoinThreshold="-1",
+        adaptive__forceOptimizeSkewedJoin="true",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="20000",
+        adaptive__advisoryPartitionSizeInBytes="10000",
+        adaptive__coalescePartitions__minPartitionSize="1000",
+    )
+    lines = billing(
+        spark,
+        *((JOHNSON, str(n), "CA", "County X", "A", 1.0) for n in range(20000)),
+        *((f"Client {n}", "1001", "CA", "County X", "B", 1.0) for n in range(2000)),
+    )
+    lines.repartition(8).write.parquet(str(tmp_path / "lines"))
+    lines = spark.read.parquet(str(tmp_path / "lines"))
+    sheet = plans.billing_sheet(lines, tables(spark), BY_CUSTOMER)
+    found = rows(sheet, *schemas.SHEET_COLUMNS)
+    assert found == rows(plans.billing_sheet(lines, tables(spark)), *schemas.SHEET_COLUMNS)
+    shown = sheet.select("customer", "item", "price", "customer_id", "item_id")
+    shown.collect()
+    assert "skew=true" in shown._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
