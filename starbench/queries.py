@@ -165,7 +165,8 @@ def _looked_up(star: Star) -> DataFrame:
 
 @query
 def fallback_fill(star: Star) -> DataFrame:
-    filled = lookups.fill_missing(_looked_up(star), 1, "NS-CUST-0000", 100.0)
+    found = plans.looked_up(star.billing, _tables(star), OPTIONS)
+    filled = lookups.fill_missing(found, 1, "NS-CUST-0000", 100.0)
     return filled.select(
         *rollup.ROLLUP_KEYS, "line_order", "customer_id", "item_id", "price"
     )

@@ -172,3 +172,25 @@ def test_orders_meet_their_customer_before_their_lines(spark):
         assert rows.exceptAll(stated).isEmpty() and stated.exceptAll(rows).isEmpty()
         above = str(rows._jdf.queryExecution().optimizedPlan()).split("l_orderkey")[0]
         assert "o_custkey" not in above
+
+
+def _lines_shuffled(df) -> int:
+    plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    return sum("Exchange hashpartitioning" in a and "ca_line#" in b for a, b in zip(plan, plan[1:]))
+
+
+def test_fallbacks_shuffle_lines_for_their_customer_and_for_their_item_only(spark, connection, monkeypatch):
+    from dataclasses import replace
+
+    from starbench import queries as star
+
+    monkeypatch.setattr(star, "OPTIONS", replace(star.OPTIONS, broadcast_bytes=2_000))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = queries()["fallback_fill"](spark, SF_DIR)
+        assert _lines_shuffled(df) == 2
+        problem, n = compare(df, connection, oracle_sql()["fallback_fill"])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert not problem and n > 0
