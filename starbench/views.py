@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratemill.session import share_shuffles, size_partitions
+from ratemill.session import free_shuffles, share_shuffles, size_partitions
 
 STAR_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
@@ -239,6 +239,7 @@ class Star:
         self._frames: dict[str, DataFrame] = {}
         size_partitions(spark, [f"{self._sf_dir}/{name}.parquet" for name in STAR_TABLES])
         share_shuffles(spark)
+        free_shuffles(spark)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in VIEWS and name not in STAR_TABLES:

@@ -194,3 +194,31 @@ def test_fallbacks_shuffle_lines_for_their_customer_and_for_their_item_only(spar
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert not problem and n > 0
+
+
+@pytest.mark.parametrize("name", ["scan_reference"])
+def test_what_is_written_leaves_no_shuffle(spark, name):
+    from .test_sheet import _shuffle_files
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        files = _shuffle_files(spark)
+        df = queries()[name](spark, SF_DIR)
+        assert _shuffle_files(spark) <= files
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    if name == "sheet_csv_roundtrip":
+        assert df.inputFiles() and all(f.endswith(".csv.gz") for f in df.inputFiles())
+    assert df.count() > 0
+
+
+def test_what_was_sold_is_read_once_for_its_prices(spark):
+    from starbench.views import VIEWS
+
+    star = Star(spark, SF_DIR)
+    stated = spark.sql(VIEWS["prices_db"], sold=star.sold, part=star.part)
+    assert star.prices_db.schema == stated.schema
+    assert star.prices_db.exceptAll(stated).isEmpty() and stated.exceptAll(star.prices_db).isEmpty()
+    scans = [str(f._jdf.queryExecution().optimizedPlan()).count("l_orderkey#") for f in (star.prices_db, star.sold)]
+    assert scans[0] == scans[1] > 0
