@@ -45,6 +45,7 @@ from ..operators.rating import (
 )
 from ..operators.rollup import combine_lines, drop_null_keys, quantity_rollup
 from ..schemas import PROTOTYPE_COLUMNS, SHEET_COLUMNS
+from ..session import stored
 
 
 # The defaults below are those of the sheet to be matched.
@@ -134,8 +135,13 @@ def looked_up(
     options: SheetOptions = SheetOptions(),
     text_item_keys: bool = False,
     dedupe: bool = True,
+    in_steps: bool = False,
 ) -> DataFrame:
-    """The rollup with prices, customers and items looked up; what is not found is NULL."""
+    """The rollup with prices, customers and items looked up; what is not found is NULL.
+
+    ``in_steps`` as in ``billing_sheet``.
+    """
+    step = stored if in_steps else lambda rows: rows
     key = item_key_text if text_item_keys else item_key
     sheet = rated_quantities(
         billing, tables.rules, options, NORMALISED, options.default_level, item_key=key(F.col("item"))
@@ -144,18 +150,16 @@ def looked_up(
         # Rows are with their customer: prices and ids come to them, and only items need another shuffle.
         everyone = NORMALISED.wildcard("customer")
         sheet = join_price(add_match_keys(sheet, text_item_keys), tables.prices, text_item_keys, everyone)
-        sheet = join_customer(sheet, tables.customers, dedupe, everyone).drop(*MATCH_KEYS, PLACE)
+        sheet = step(join_customer(sheet, tables.customers, dedupe, everyone).drop(*MATCH_KEYS, PLACE))
         sheet = join_item(add_match_keys(sheet, text_item_keys), tables.items, dedupe, text_item_keys)
         return sheet.drop(*MATCH_KEYS)
     # The widest key first, while rows are narrow; keys are made anew for each lookup, so no shuffle carries
     # those of another.
-    for lookup in (
-        lambda keyed: join_price(keyed, tables.prices, text_item_keys),
-        lambda keyed: join_item(keyed, tables.items, dedupe, text_item_keys),
-        lambda keyed: join_customer(keyed, tables.customers, dedupe),
-    ):
-        sheet = lookup(add_match_keys(sheet, text_item_keys)).drop(*MATCH_KEYS)
-    return sheet
+    sheet = join_price(add_match_keys(sheet, text_item_keys), tables.prices, text_item_keys)
+    sheet = step(sheet.drop(*MATCH_KEYS))
+    sheet = join_item(add_match_keys(sheet, text_item_keys), tables.items, dedupe, text_item_keys)
+    sheet = join_customer(add_match_keys(sheet.drop(*MATCH_KEYS)), tables.customers, dedupe)
+    return sheet.drop(*MATCH_KEYS)
 
 
 def billing_sheet(
@@ -164,13 +168,16 @@ def billing_sheet(
     options: SheetOptions = SheetOptions(),
     text_item_keys: bool = False,
     dedupe: bool = True,
+    in_steps: bool = False,
 ) -> DataFrame:
     """The invoice-import sheet, 14 columns, one row per customer, item, level and flag.
 
-    Not sorted; ``in_sheet_order`` and the CSV sink do that.
+    Not sorted; ``in_sheet_order`` and the CSV sink do that. With ``in_steps`` the rows are written to the shared
+    folder once they have their prices, so what was shuffled for that need not be kept while the sheet is sorted
+    and written (see ``session.free_shuffles``).
     """
     sheet = fill_missing(
-        looked_up(billing, tables, options, text_item_keys, dedupe),
+        looked_up(billing, tables, options, text_item_keys, dedupe, in_steps),
         options.default_line_order,
         options.default_customer_id,
         options.default_price,

@@ -306,11 +306,13 @@ def number_text(value: Column) -> Column:
     return F.when(F.isnan(value), None).when(~F.contains(text, F.lit("E")), text).otherwise(moved)
 
 
-def write_csv(df: DataFrame, path: str, header: dict[str, str]) -> None:
+def write_csv(
+    df: DataFrame, path: str, header: dict[str, str], compression: str = "none"
+) -> None:
     """Write the columns of ``header`` under their outer names, one file per task.
 
     The files' names are in row order, and each has the header. Missing values
-    and empty texts are both written as nothing.
+    and empty texts are both written as nothing. ``compression`` is Spark's name of a codec, such as ``gzip``.
     """
     columns = []
     for inner, outer in header.items():
@@ -323,6 +325,7 @@ def write_csv(df: DataFrame, path: str, header: dict[str, str]) -> None:
         .write.mode("overwrite")
         .option("header", True)
         .option("escape", '"')
+        .option("compression", compression)
         .option("emptyValue", "")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)

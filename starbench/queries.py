@@ -492,8 +492,8 @@ def scan_reference(star: Star) -> DataFrame:
 def sheet_csv_roundtrip(star: Star) -> DataFrame:
     """Write the sheet as CSV in its order and read it back."""
     path = shared_dir(star.spark)
-    sheet = plans.billing_sheet(star.billing, _tables(star), OPTIONS)
-    csvfiles.write_csv(plans.in_sheet_order(sheet), path, schemas.SHEET_HEADER)
+    sheet = plans.billing_sheet(star.billing, _tables(star), OPTIONS, in_steps=True)
+    csvfiles.write_csv(plans.in_sheet_order(sheet), path, schemas.SHEET_HEADER, compression="gzip")
     return csvfiles.read_sheet(star.spark, path, schemas.SHEET_HEADER)
 
 

@@ -1,11 +1,12 @@
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from ratemill import schemas
 from ratemill.plans import sheet as plans
-from ratemill.session import share_shuffles
+from ratemill.session import free_shuffles, share_shuffles
 
 from .seeds import JOHNSON, POWELL, RULES_FILE, billing, numbered, rows, rules, seed_frames, tables
 
@@ -322,3 +323,26 @@ def test_hot_customer_is_split_at_run_time(spark, settings, tmp_path):
     shown = sheet.select("customer", "item", "price", "customer_id", "item_id")
     shown.collect()
     assert "skew=true" in shown._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+# --- what is kept on disk ----------------------------------------------------
+
+
+def _shuffle_files(spark) -> set[str]:
+    found = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return {f.getName() for f in (found.apply(i) for i in range(found.size())) if f.getName().endswith(".data")}
+
+
+@pytest.mark.parametrize("limits", [{}, {"broadcast_bytes": 0}, {"strategy": "shuffle"}])
+def test_sheet_in_steps_is_the_same_and_leaves_no_shuffle(spark, settings, limits):
+    settings(autoBroadcastJoinThreshold="-1", classic__shuffleDependency__fileCleanup__enabled="false")
+    lines, reference = _with_everyone(spark)
+    options = plans.SheetOptions(**limits)
+    want = rows(plans.billing_sheet(lines, reference, options), *schemas.SHEET_COLUMNS)
+    free_shuffles(spark)
+    before = _shuffle_files(spark)
+    sheet = plans.billing_sheet(lines, reference, options, in_steps=True)
+    assert _shuffle_files(spark) <= before
+    assert rows(sheet, *schemas.SHEET_COLUMNS) == want
+    plan = sheet._jdf.queryExecution().executedPlan().toString()
+    assert "prices" not in plan and "partial_sum(units" not in plan  # what it was made of is not read again
