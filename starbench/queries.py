@@ -268,7 +268,8 @@ def sheet_preview(star: Star) -> DataFrame:
 @query
 def sheet_order(star: Star) -> DataFrame:
     """Every sheet line with its position in the order in which the sheet is written."""
-    return plans.with_sheet_positions(plans.billing_sheet(star.billing, _tables(star), OPTIONS))
+    sheet = plans.billing_sheet(star.billing, _tables(star), OPTIONS, in_steps=True)
+    return plans.with_sheet_positions(sheet)
 
 
 # --- pipelines --------------------------------------------------------------

@@ -346,3 +346,20 @@ def test_sheet_in_steps_is_the_same_and_leaves_no_shuffle(spark, settings, limit
     assert rows(sheet, *schemas.SHEET_COLUMNS) == want
     plan = sheet._jdf.queryExecution().executedPlan().toString()
     assert "prices" not in plan and "partial_sum(units" not in plan  # what it was made of is not read again
+
+
+def test_positions_of_the_sheet_are_kept_as_parquet(spark, settings):
+    settings(autoBroadcastJoinThreshold="-1")
+    lines, reference = _with_everyone(spark)
+    sheet = plans.billing_sheet(lines, reference)
+    shared = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    before = set(shared.rglob("rdd-*"))
+    placed = plans.with_sheet_positions(sheet)
+    assert set(shared.rglob("rdd-*")) == before
+    assert all(".parquet" in name for name in placed.inputFiles()) and placed.inputFiles()
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    found = placed.orderBy("position").collect()
+    assert [r.position for r in found] == [*range(1, sheet.count() + 1)]
+    want = [tuple(r) for r in plans.in_sheet_order(sheet).select("customer", "item", "price_level").collect()]
+    assert [(r.customer, r.item, r.price_level) for r in found] == want

@@ -196,7 +196,7 @@ def test_fallbacks_shuffle_lines_for_their_customer_and_for_their_item_only(spar
     assert not problem and n > 0
 
 
-@pytest.mark.parametrize("name", ["scan_reference", "sheet_csv_roundtrip"])
+@pytest.mark.parametrize("name", ["scan_reference", "sheet_csv_roundtrip", "sheet_order"])
 def test_what_is_written_leaves_no_shuffle(spark, name):
     from .test_sheet import _shuffle_files
 
