@@ -279,7 +279,7 @@ def _total_order(sheet: DataFrame) -> list[Column]:
 
 def with_sheet_positions(sheet: DataFrame) -> DataFrame:
     """The sheet with each row's ``position`` in sheet order, from 1."""
-    return with_positions(sheet, _total_order(sheet), "position", stored)
+    return with_positions(sheet, _total_order(sheet), "position", wide=True)
 
 
 def preview(sheet: DataFrame, n: int = 10) -> DataFrame:
